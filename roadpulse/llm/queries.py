@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import packing, quality_rules, toxicity
 from .common import read
 
 
@@ -12,7 +13,30 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules}
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file that is installed beside the tokenizer libraries on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = read(spark, sf_dir, "labels").filter(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.fit(docs.filter(~held_out).join(labels, "doc_id"))
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
+}
 
 _STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, toxicity
+from . import importance, lm_scoring, packing, quality_rules, toxicity
 from .common import read
+from .ngrams import flagged
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,10 +33,30 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", held_out)
 
 
+def _with_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; ``target``: labelled as good."""
+    good = read(spark, sf_dir, "labels").filter("quality = 1")
+    return flagged(read(spark, sf_dir, "documents").select("doc_id", "text"), good, "doc_id", "target")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws as many documents as labels say are good."""
+    docs = _with_good(spark, sf_dir)
+    share = read(spark, sf_dir, "labels").agg(F.avg(F.col("quality").cast("double")).alias("s")).first()["s"] or 0.0
+    return importance.gumbel_top_k(importance.log_weights(docs, importance.fit(docs)), share)
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_good(spark, sf_dir)
+    return lm_scoring.score(docs, lm_scoring.fit(docs))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 _STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, lm_scoring, packing, quality_rules, toxicity
+from . import importance, lm_scoring, mixing, packing, quality_rules, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -51,9 +51,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(docs, lm_scoring.fit(docs))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix_sources(docs)
+    return mixed.select("doc_id", "epoch", "lang", "source", mixing.token_count(F.col("text")).alias("n_tokens"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_packing": op3_packing,
+    "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
@@ -61,6 +68,40 @@ QUERIES = {
 
 _STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
+
+
+def _mixing_sql() -> str:
+    """The same budgets level by level, then a plain running sum over each leaf."""
+    levels = list(mixing.TREE)
+    tree = r"""'domain' || coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4, -1) AS domain, coalesce(lang, '?') AS language, coalesce(source, '?') AS origin"""
+    out = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, {tree}, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n FROM documents),
+leaf AS (SELECT domain, language, origin, sum(n)::HUGEINT AS tokens FROM d GROUP BY ALL),
+b AS (SELECT floor(coalesce(sum(tokens), 0)::BIGINT * {mixing.BUDGET_SHARE}::DOUBLE)::HUGEINT AS budget FROM leaf)"""
+    above, before = "b", []
+    for level in levels:
+        cols = [*before, level]
+        cases = "".join(f" WHEN '{k}' THEN {w}" for k, w in mixing.WEIGHTS.get(level, {}).items())
+        weight = f"CASE {level}{cases} ELSE 1 END" if cases else "1"
+        part = f"PARTITION BY {', '.join(before)}" if before else ""
+        join = f"JOIN {above} USING ({', '.join(before)})" if before else f", {above}"
+        out += f""",
+n_{level} AS (SELECT {', '.join(cols)}, sum(tokens)::HUGEINT * {mixing.MAX_EPOCHS} AS supply, ({weight})::HUGEINT AS weight FROM leaf GROUP BY {', '.join(cols)}),
+o_{level} AS (SELECT n.*, budget, coalesce(sum(supply) OVER w, 0)::HUGEINT AS given,
+  (sum(weight) OVER ({part} ORDER BY supply::DOUBLE / weight::DOUBLE, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS rest
+  FROM n_{level} n {join} WINDOW w AS ({part} ORDER BY supply::DOUBLE / weight::DOUBLE, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s_{level} AS (SELECT *, supply * rest <= (budget - given) * weight AS short FROM o_{level}),
+b_{level} AS (SELECT {', '.join(cols)}, CASE WHEN short THEN supply ELSE
+  weight * (budget - coalesce(sum(supply) FILTER (short) OVER ({part}), 0)::HUGEINT) // (sum(weight) FILTER (NOT short) OVER ({part}))::HUGEINT END AS budget FROM s_{level})"""
+        above, before = f"b_{level}", cols
+    return out + f""",
+l AS (SELECT domain, language, origin, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END::BIGINT AS whole, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+  FROM leaf JOIN {above} USING (domain, language, origin)),
+k AS (SELECT d.*, whole, rest, md5('{mixing.SEED}|' || whole || '|' || coalesce(doc_id::VARCHAR, '?')) AS key FROM d JOIN l USING (domain, language, origin)),
+t AS (SELECT *, whole + CASE WHEN rest > 0 AND sum(n) OVER (PARTITION BY domain, language, origin ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest THEN 1 ELSE 0 END AS times FROM k)
+SELECT doc_id, unnest(range(0, times)) AS epoch, lang, source, n AS n_tokens FROM t WHERE times > 0"""
+
+
 ORACLE_SQL = {
     "op1_quality_rules": rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
@@ -81,4 +122,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND n_stops / n_words >= 0.04 AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AND n_repeat_words / n_words <= 0.3, false) AS kept,
   n_stops, n_lines
 FROM b""",
+    "op4_mixing": _mixing_sql(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, lm_scoring, mixing, packing, quality_rules, toxicity
+from . import embedding_dedup, importance, lm_scoring, mixing, packing, quality_rules, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -46,6 +46,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.gumbel_top_k(importance.log_weights(docs, importance.fit(docs)), share)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _with_good(spark, sf_dir)
     return lm_scoring.score(docs, lm_scoring.fit(docs))
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
 }
@@ -75,7 +80,8 @@ def _mixing_sql() -> str:
     levels = list(mixing.TREE)
     tree = r"""'domain' || coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4, -1) AS domain, coalesce(lang, '?') AS language, coalesce(source, '?') AS origin"""
     out = rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, {tree}, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, {tree}, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS n FROM documents),
 leaf AS (SELECT domain, language, origin, sum(n)::HUGEINT AS tokens FROM d GROUP BY ALL),
 b AS (SELECT floor(coalesce(sum(tokens), 0)::BIGINT * {mixing.BUDGET_SHARE}::DOUBLE)::HUGEINT AS budget FROM leaf)"""
     above, before = "b", []

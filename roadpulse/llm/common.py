@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,18 @@ def buckets_for(docs: DataFrame, text: str, bytes_per_bucket: int, least: int =
 # ---- vectorised helpers used inside tasks -------------------------------------------------------
 
 
+def small(batches: Iterable[pa.RecordBatch], column: int = 0, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, so that memory doesn't depend on the length of texts in a batch."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield b.slice(at, to - at)
+            at = to
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of a batch of texts in order, and offsets: words of text i are [off[i], off[i+1])."""
     if isinstance(texts, pa.ChunkedArray):

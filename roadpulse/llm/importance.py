@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, materialize, mix, split_words
+from .common import hash_words, materialize, mix, small, split_words
 from .ngrams import slot_counts
 
 SLOTS = 10_000
@@ -40,7 +40,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text
     schema = docs.select(id_col, F.lit(0.0).alias("log_weight")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 1):
             slot, doc = _slots(b.column(1))
             # rounded: order of summation must not decide ties
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.round(np.bincount(doc, shared.value[slot], b.num_rows), 9))], [id_col, "log_weight"])

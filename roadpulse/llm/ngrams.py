@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 BLOCK = 1 << 14
 
 
@@ -28,7 +30,7 @@ def slot_counts(docs: DataFrame, text: str, flag: str, slots: int, slots_of: Cal
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, blocks * BLOCK), np.int64)
-        for b in batches:
+        for b in small(batches):
             slot, doc = slots_of(b.column(0))
             flagged = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
             total[0] += np.bincount(slot, minlength=total.shape[1])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, importance, lm_scoring, mixing, packing, quality_rules, toxicity
+from . import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read(spark, sf_dir, "documents"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_join(read(spark, sf_dir, "documents"))
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     """A vocabulary file that is installed beside the tokenizer libraries on every machine."""
     import public_tokenizers
@@ -63,6 +67,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_join": op2_ngram_join,
     "op3_packing": op3_packing,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,

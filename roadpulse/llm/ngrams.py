@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,8 +26,14 @@ def slot_counts(docs: DataFrame, text: str, flag: str, slots: int, slots_of: Cal
     schema = "block int, counts binary"
 
     def emit(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Counts in as few bytes each as the largest needs, compressed: most are small."""
         for b, a in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([a.tobytes()], pa.binary())], ["block", "counts"])
+            packed = zlib.compress(a.astype(np.min_scalar_type(int(a.max()))).tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([packed], pa.binary())], ["block", "counts"])
+
+    def unpack(packed: bytes) -> np.ndarray:
+        raw = zlib.decompress(packed)
+        return np.frombuffer(raw, f"u{len(raw) // (2 * BLOCK)}").reshape(2, BLOCK).astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, blocks * BLOCK), np.int64)
@@ -42,14 +49,14 @@ def slot_counts(docs: DataFrame, text: str, flag: str, slots: int, slots_of: Cal
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, a in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                one = np.frombuffer(a.as_buffer(), np.int64).reshape(2, BLOCK)
-                sums[b] = sums[b] + one if b in sums else one.copy()
+                one = unpack(a.as_py())
+                sums[b] = sums[b] + one if b in sums else one
         yield from emit(sums)
 
     parts = docs.select(text, F.coalesce(F.col(flag), F.lit(False)).alias(flag)).mapInArrow(count, schema)
     out = np.zeros((2, blocks, BLOCK), np.int64)
     for row in parts.repartition("block").mapInArrow(add, schema).toArrow().to_pylist():
-        out[:, row["block"]] = np.frombuffer(row["counts"], np.int64).reshape(2, BLOCK)
+        out[:, row["block"]] = unpack(row["counts"])
     return out.reshape(2, -1)[:, :slots]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, toxicity
+from . import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -37,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", held_out)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+
+
 def _with_good(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; ``target``: labelled as good."""
     good = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,

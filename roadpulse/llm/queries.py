@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, toxicity
+from . import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -58,6 +58,11 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "spans")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _with_good(spark, sf_dir)
     return lm_scoring.score(docs, lm_scoring.fit(docs))
@@ -78,6 +83,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scoring": op10_lm_scoring,
 }
 

@@ -214,13 +214,17 @@ def is_in(v: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, v), len(known) - 1)] == v
 
 
-def for_all_rows(docs: DataFrame, by_text: DataFrame, id_col: str, text_col: str, size: str, least: int, whole: dict[str, Column]) -> DataFrame:
+def for_all_rows(docs: DataFrame, by_text: DataFrame, id_col: str, text_col: str, size: str, least: int, whole: dict[str, Column], keep: bool = False) -> DataFrame:
     """Results of distinct texts (key, first_id, ...) for every row of ``docs``.
 
-    A row whose text has a smaller id elsewhere and a ``size`` of at least ``least`` gets the values of ``whole``.
+    A row whose text has a smaller id elsewhere and a ``size`` of at least ``least`` gets the values of ``whole``. With ``keep``
+    the row's own columns come along as __rp_own_0, __rp_own_1, ...; otherwise its id does.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("__rp_id"), *[c.alias(f"__rp_{n}") for n, c in (("sort", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))), ("key", F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))))])
+    own = [F.col(f"`{c}`").alias(f"__rp_own_{i}") for i, c in enumerate(docs.columns if keep else [id_col])]
+    sort = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("__rp_sort")
+    rows = docs.select(*own, sort, F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))).alias("__rp_key"))
     joined = rows.join(by_text, F.col("__rp_key") == F.col("key"))
     copy = (F.col("__rp_sort") > F.col("first_id")) & (F.col(size) >= least)
     cols = [F.when(copy, whole[c]).otherwise(F.col(c)).alias(c) if c in whole else F.col(c) for c in by_text.columns if c not in ("key", "first_id")]
-    return joined.select(F.col("__rp_id").alias(id_col), *cols)
+    mine = [F.col(f"__rp_own_{i}") for i in range(len(own))] if keep else [F.col("__rp_own_0").alias(id_col)]
+    return joined.select(*mine, *cols)

@@ -152,4 +152,6 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def quality_filter(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass every rule, with all their own columns; rows with a null text go."""
-    return _measured(df, text_col).filter(_kept(rules)).select(*[F.col(f"`{x}`") for x in df.columns])
+    # The row number keeps Spark from moving the filter below the measures, where it would compute all of them again.
+    judged = _measured(df, text_col).withColumns({_T + "kept": _kept(rules), _T + "row": F.monotonically_increasing_id()})
+    return judged.filter(F.col(_T + "kept") & (F.col(_T + "row") >= 0)).select(*[F.col(f"`{x}`") for x in df.columns])

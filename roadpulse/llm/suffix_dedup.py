@@ -32,7 +32,7 @@ RANGE = 400_000
 MOST_RANGES = 4096
 SAMPLED = 64
 #: Runs that one set of loser trees merges, and its trees times runs.
-FAN_IN = 256
+FAN_IN = 8
 TREES = 1 << 19
 
 #: Bytes whose anchors are found together, and bits for a place among them.

@@ -1 +1 @@
-"""Spark-native analytics for connected-vehicle traffic data."""
+"""Link measures of effectiveness from connected-vehicle observations, as composable Spark DataFrame operators."""

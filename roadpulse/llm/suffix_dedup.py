@@ -36,8 +36,8 @@ FAN_IN = 8
 TREES = 1 << 19
 
 #: Bytes whose anchors are found together, and bits for a place among them.
-_SEGMENT = 1 << 22
-_PLACE = 23
+_SEGMENT = 1 << 20
+_PLACE = 21
 
 
 # ---- anchors -----------------------------------------------------------------------------------
@@ -59,8 +59,7 @@ class Anchors:
         found = []
         for base in range(0, max(len(c.data) - LENGTH + 1, 0), _SEGMENT):
             piece = c.data[base : base + _SEGMENT + LENGTH - 1]
-            ends = np.arange(ANCHOR, len(piece) + 1)
-            h = RunHash(piece)(ends - ANCHOR, ends)
+            h = RunHash(piece)(slice(0, len(piece) - ANCHOR + 1), slice(ANCHOR, len(piece) + 1))
             # by hash, the leftmost of equal ones
             key = (h >> np.uint64(_PLACE) << np.uint64(_PLACE)) | np.arange(len(h), dtype=np.uint64)
             least = (_least(key, LEFT + 1) & np.uint64((1 << _PLACE) - 1)).astype(np.int64)

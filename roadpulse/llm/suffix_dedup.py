@@ -28,7 +28,7 @@ LEFT = LENGTH - ANCHOR
 #: A suffix: LENGTH bytes, LEFT bytes backwards, and the range of strings that have this anchor (each + 1).
 WIDTH = LENGTH + LEFT + 2
 #: Suffixes aimed at in a range; most ranges (each has a boundary that all tasks know); suffixes of a run for one in the sample.
-RANGE = 400_000
+RANGE = 200_000
 MOST_RANGES = 4096
 SAMPLED = 64
 #: Runs that one set of loser trees merges, and its trees times runs.

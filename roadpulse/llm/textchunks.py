@@ -20,7 +20,7 @@ from .common import materialize, mix, small
 
 #: Bytes of text in a chunk (a longer text has a chunk of its own), and bytes of text whose hashes meet in one group.
 CHUNK = 2 << 20
-GROUP = 24 << 20
+GROUP = 8 << 20
 #: A null id stands after all others.
 LAST_ID = (1 << 63) - 1
 

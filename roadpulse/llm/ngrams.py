@@ -63,4 +63,5 @@ def slot_counts(docs: DataFrame, text: str, flag: str, slots: int, slots_of: Cal
 def flagged(docs: DataFrame, chosen: DataFrame, id_col: str, flag: str) -> DataFrame:
     """``docs`` with ``flag``: whether the id is among those of ``chosen``."""
     ids = chosen.select(id_col).dropna().distinct().withColumn(flag, F.lit(True))
-    return docs.join(ids, id_col, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    # a shuffle join at every size: a broadcast would be another plan on little data
+    return docs.join(ids.hint("merge"), id_col, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

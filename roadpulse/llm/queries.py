@@ -49,9 +49,9 @@ def _with_good(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws as many documents as labels say are good."""
-    docs = _with_good(spark, sf_dir)
+    model = importance.fit(_with_good(spark, sf_dir))
     share = read(spark, sf_dir, "labels").agg(F.avg(F.col("quality").cast("double")).alias("s")).first()["s"] or 0.0
-    return importance.gumbel_top_k(importance.log_weights(docs, importance.fit(docs)), share)
+    return importance.gumbel_top_k(importance.log_weights(read(spark, sf_dir, "documents"), model), share)
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +64,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _with_good(spark, sf_dir)
-    return lm_scoring.score(docs, lm_scoring.fit(docs))
+    return lm_scoring.score(read(spark, sf_dir, "documents"), lm_scoring.fit(_with_good(spark, sf_dir)))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so when the driver's JVM collects its garbage, which may be late."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table made by ``materialize``."""
     jvm = df.sparkSession._jvm

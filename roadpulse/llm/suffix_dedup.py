@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, mix
+from .common import discard, materialize, mix, release
 from .textchunks import Chunk, RunHash, batch, distinct_chunks, for_all_rows, gathered, group_starts, is_in, parts_for, rows_of, shared_hashes, squeeze, unpack48, unsqueeze
 
 LENGTH = 50
@@ -445,8 +445,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id); an empty table gives an empty one.
     """
     chunks = distinct_chunks(docs, id_col, text_col)
+    release(docs.sparkSession)
     runs = _runs(chunks)
-    marks = _marks(runs)
+    release(docs.sparkSession)
+    marks = materialize(_marks(runs))
+    release(docs.sparkSession)
     schema = "key binary, first_id long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept_sha256 string" + ", kept_text string" * with_text
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

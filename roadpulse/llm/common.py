@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: A word is a longest run of characters other than ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -36,15 +38,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")  # nothing reads this job's shuffle files once its table is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now: it does so when the driver's JVM collects its garbage, which may be late."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def discard(df: DataFrame) -> None:
     """Delete the files of a table made by ``materialize``."""
     jvm = df.sparkSession._jvm

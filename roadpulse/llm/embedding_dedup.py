@@ -114,13 +114,13 @@ def near_duplicates(
     """One row per row: id, n_links, component_id (smallest id reachable) and kept (it is that id).
 
     Rows of equal, non-null label are linked if their cosine is at least ``threshold``. Vectors that are null,
-    empty, zero, or hold null or non-finite components have no links; nor do vectors of different length.
+    empty, zero, or hold null or non-finite components have no links; nor do vectors of different length or rows with a null id.
     Rows with equal vectors (repeated rows too) are compared once and counted as linked with one another. The index is
     fitted on about ``sample`` rows; all rows are indexed, and lists are probed by an exact
     bound, so every link is found. An empty table gives an empty one; other columns aren't read.
     """
     base = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("vec"))
-    base = base.withColumn("ok", F.col("label").isNotNull() & _usable(F.col("vec")))
+    base = base.withColumn("ok", F.col("id").isNotNull() & F.col("label").isNotNull() & _usable(F.col("vec")))
     keys = [F.when(F.col("ok"), F.xxhash64(F.lit(s), "label", "vec")).alias(k) for s, k in ((1, "k1"), (2, "k2"))]
     keyed = materialize(base.select("id", "ok", *keys, "label", F.when(F.col("ok"), F.col("vec")).alias("vec")))
     classes = materialize(
@@ -136,7 +136,7 @@ def near_duplicates(
     out = keyed.select("id", "k1", "k2").join(result, ["k1", "k2"], "left")
     return out.select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"),
-        (F.col("id") == F.coalesce("component_id", "id")).alias("kept"),
+        F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"),
     )
 
 

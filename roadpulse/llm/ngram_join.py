@@ -88,7 +88,7 @@ def _bands(classes: DataFrame) -> DataFrame:
             rep, grams = (np.repeat(b.column(i).to_numpy(), k) for i in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(bucket.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(k, dtype=np.int8), b.num_rows)), pa.array(rep), pa.array(grams)], ["bucket", "band", "rep", "grams"])
 
-    return classes.filter("grams > 0").select("rep", "grams", "sig").mapInArrow(run, "bucket long, band byte, rep long, grams long")
+    return classes.filter("grams > 0 AND rep IS NOT NULL").select("rep", "grams", "sig").mapInArrow(run, "bucket long, band byte, rep long, grams long")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -182,7 +182,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class_id: the smallest id with exactly this text. n_links: other rows whose sets of word n-grams
     have a Jaccard similarity of at least ``threshold`` (copies included). component_id: the smallest id reachable
     by links; kept: this row has it. Null and empty texts have no n-grams and link with nothing;
-    a text shorter than n words is one n-gram. Other columns aren't read; an empty table gives an empty one.
+    a text shorter than n words is one n-gram. A null id links with copies of its text alone. Other columns aren't read; an empty table gives an empty one.
 
     Copies are compared once. Buckets of any size are compared whole, in blocks of bounded size; blocks send
     on sums and a spanning forest, never their pairs.

@@ -89,14 +89,12 @@ QUERIES = {
 _STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 
-
 def _mixing_sql() -> str:
     """The same budgets level by level, then a plain running sum over each leaf."""
     levels = list(mixing.TREE)
     tree = r"""'domain' || coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4, -1) AS domain, coalesce(lang, '?') AS language, coalesce(source, '?') AS origin"""
     out = rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, {tree}, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+'))::BIGINT AS n FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, {tree}, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents),
 leaf AS (SELECT domain, language, origin, sum(n)::HUGEINT AS tokens FROM d GROUP BY ALL),
 b AS (SELECT floor(coalesce(sum(tokens), 0)::BIGINT * {mixing.BUDGET_SHARE}::DOUBLE)::HUGEINT AS budget FROM leaf)"""
     above, before = "b", []

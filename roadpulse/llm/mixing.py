@@ -20,6 +20,7 @@ BUDGET_SHARE = 0.6
 SEED = 7
 
 _P = "__rp_m_"
+SALTS = 64
 _SLICES = 4  # hexadecimal digits by which a leaf's order is cut into slices
 
 
@@ -74,6 +75,13 @@ def leaf_budgets(sizes: DataFrame, levels: list[str], weights: dict[str, dict[st
     return sizes.join(budgets, cols)
 
 
+def _beside(rows: DataFrame, leaves: DataFrame, cols: list[str]) -> DataFrame:
+    """``rows`` with the columns of their leaf. Leaves are there once for each salt, so that a hot leaf's rows go to many tasks."""
+    salted = leaves.withColumn(_P + "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(_P + "id"), F.lit(SALTS)).cast("int")
+    return rows.withColumn(_P + "salt", salt).join(salted, [*cols, _P + "salt"]).drop(_P + "salt")
+
+
 def mix_sources(
     docs: DataFrame, tree: dict[str, str] = TREE, weights: dict[str, dict[str, int]] = WEIGHTS, budget_share: float = BUDGET_SHARE,
     max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
@@ -101,7 +109,7 @@ def mix_sources(
     # The place of a row in the next epoch. A hot leaf is cut into slices of its order: sums by slice,
     # then running sums within the slice that the budget ends in.
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(_P + "full").cast("string"), F.coalesce(F.col(_P + "id").cast("string"), F.lit("?"))))
-    placed = rows.join(leaves.filter(F.col(_P + "rest") > 0), cols).withColumn("key", key).withColumn("slice", F.substring("key", 1, _SLICES))
+    placed = _beside(rows, leaves.filter(F.col(_P + "rest") > 0), cols).withColumn("key", key).withColumn("slice", F.substring("key", 1, _SLICES))
     slices = placed.groupBy(*cols, "slice").agg(F.sum("tokens").alias("n"))
     running = Window.partitionBy(*cols).orderBy("slice")
     slices = slices.withColumn("until", F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0)))
@@ -111,7 +119,7 @@ def mix_sources(
     first_out = inside.filter(F.col("until") > F.col(_P + "rest")).groupBy(*cols).agg(F.min("key").alias(_P + "end"))
     ends = materialize(leaves.join(first_out, cols, "left"))
     full, rest = F.col(_P + "full"), F.col(_P + "rest")
-    docs = docs.withColumn(_P + "id", F.col(id_col)).join(ends, cols).withColumn(_P + "key", key)
+    docs = _beside(docs.withColumn(_P + "id", F.col(id_col)), ends, cols).withColumn(_P + "key", key)
     taken = F.when((rest > 0) & (F.col(_P + "key") < F.coalesce(F.col(_P + "end"), F.lit("g"))), full + 1).otherwise(full)
     epochs = F.when(taken > 0, F.sequence(F.lit(0).cast("long"), (taken - 1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
     return docs.select(*own, F.explode(epochs).alias("epoch"))

@@ -32,7 +32,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the budgets of the source tree; a document drawn for two epochs is there twice."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    return mixing.mix_sources(docs, epoch_col="__rp_epoch").drop("__rp_epoch")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,17 +84,18 @@ def _beside(rows: DataFrame, leaves: DataFrame, cols: list[str]) -> DataFrame:
 
 def mix_sources(
     docs: DataFrame, tree: dict[str, str] = TREE, weights: dict[str, dict[str, int]] = WEIGHTS, budget_share: float = BUDGET_SHARE,
-    max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
+    max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", epoch_col: str = "epoch",
 ) -> DataFrame:
-    """The rows of ``docs`` with ``epoch``: once for each epoch in which the row is taken.
+    """The rows of ``docs`` with ``epoch_col``: once for each epoch in which the row is taken.
 
     The budget is ``budget_share`` of all tokens (words). A leaf with a budget of n full epochs and a
     rest gives all its rows n times, and of the next epoch those rows whose tokens, in the order of
     md5(seed, epoch, id), add up to no more than the rest; rows with the same id and leaf stand or fall
     together. Null and empty texts have no tokens: they come along for free where the order
-    reaches them. An empty table gives an empty one; columns keep their names, whatever they are.
+    reaches them. An empty table gives an empty one; an input column named like ``epoch_col`` is
+    replaced, and the others keep their names.
     """
-    levels, names = list(tree), docs.columns
+    levels, names = list(tree), [c for c in docs.columns if c != epoch_col]
     cols = [_P + x for x in levels]
     own = [F.col(f"`{c}`") for c in names]
     docs = docs.select(*own, *[F.expr(e).alias(_P + x) for x, e in tree.items()])
@@ -122,4 +123,4 @@ def mix_sources(
     docs = _beside(docs.withColumn(_P + "id", F.col(id_col)), ends, cols).withColumn(_P + "key", key)
     taken = F.when((rest > 0) & (F.col(_P + "key") < F.coalesce(F.col(_P + "end"), F.lit("g"))), full + 1).otherwise(full)
     epochs = F.when(taken > 0, F.sequence(F.lit(0).cast("long"), (taken - 1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    return docs.select(*own, F.explode(epochs).alias("epoch"))
+    return docs.select(*own, F.explode(epochs).alias(epoch_col))

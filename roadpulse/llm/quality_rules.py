@@ -104,8 +104,11 @@ def _measured(df: DataFrame, text: str) -> DataFrame:
                 c("repeats"),
                 F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
                 lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(WINDOW), i - a["last"])).alias("n")),
-            )["n"].cast("long")
+            )["n"].cast("long"),
+            # The row number keeps Spark from moving a filter on the results below the measures, where it would compute all of them again.
+            "row": F.monotonically_increasing_id(),
         },
+        {"n_repeat_words": F.when(c("row") >= 0, c("n_repeat_words"))},
     ]
     for step in steps:
         df = df.withColumns({_T + k: v for k, v in step.items()})
@@ -152,6 +155,4 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def quality_filter(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass every rule, with all their own columns; rows with a null text go."""
-    # The row number keeps Spark from moving the filter below the measures, where it would compute all of them again.
-    judged = _measured(df, text_col).withColumns({_T + "kept": _kept(rules), _T + "row": F.monotonically_increasing_id()})
-    return judged.filter(F.col(_T + "kept") & (F.col(_T + "row") >= 0)).select(*[F.col(f"`{x}`") for x in df.columns])
+    return _measured(df, text_col).filter(_kept(rules)).select(*[F.col(f"`{x}`") for x in df.columns])

@@ -1,18 +1,29 @@
-"""Cross-entropy difference: how much better a target model predicts a document than a background model."""
+"""Cross-entropy difference: how much better a target model predicts a document than a background model.
+
+``loss_differences`` counts every word and pair of words of the input exactly, so what it gathers grows with the input. ``fit``
+and ``score`` are the variant in fixed memory, where words and pairs that share a slot add up.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import hash_words, mix, small, split_words
+from .common import hash_words, materialize, mix, small, split_words
 from .ngrams import slot_counts
+from .textchunks import batch, gathered, group_starts, rows_of, squeeze, unsqueeze
 
-#: The vocabulary that both models share: words and pairs of words by hash.
+#: Bytes of text in a chunk (a longer text has a chunk of its own), and bytes of text whose words and pairs meet in one group.
+CHUNK = 8 << 20
+GROUP = 16 << 20
+#: The vocabulary that both models of ``fit`` share: words and pairs of words by hash.
 WORD_SLOTS = 1 << 18
 PAIR_SLOTS = 1 << 20
 #: Weight of the uniform distribution in the word model, and of the word model in the pair model.
@@ -75,3 +86,212 @@ def score(docs: DataFrame, models: tuple[PairModel, PairModel], id_col: str = "d
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n.astype(np.int64)), *[pa.array(x, mask=none) for x in (t, g, t - g)]], [id_col, *names])
 
     return docs.select(id_col, text).mapInArrow(run, schema)
+
+
+# ---- exact counts ------------------------------------------------------------------------------
+
+_RESULT = ("n_words", "target_loss", "background_loss", "loss_difference")
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    """Counts byte by byte, all lowest bytes first: most of the others are zero."""
+    return squeeze(np.ascontiguousarray(counts, "<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unsqueeze(packed, np.uint8).reshape(8, -1).T).reshape(-1).view("<i8")
+
+
+def _pack_keys(sorted_keys: np.ndarray) -> bytes:
+    """Keys as the steps between them, which are shorter than the keys."""
+    return _pack(np.diff(sorted_keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed).view("<u8"), dtype=np.uint64)
+
+
+def _chunks(docs: DataFrame, id_col: str, text: str, target: str) -> DataFrame:
+    """One row per chunk: (chunk, size, ids, flags, ends, data), a stored table of all rows."""
+    own = docs.select(id_col).schema[0].dataType
+    binary = [StructField(n, BinaryType()) for n in ("flags", "ends", "data")]
+    schema = StructType([StructField("chunk", LongType()), StructField("size", LongType()), StructField("ids", ArrayType(own)), *binary])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.RecordBatch, list[bytes]]] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            texts = [t for _, part in held for t in part]
+            ids = pa.concat_arrays([b.column(0) for b, _ in held])
+            flags = np.concatenate([b.column(2).to_numpy(zero_copy_only=False) for b, _ in held]).astype(np.uint8)
+            ends = np.cumsum([0, *[len(t) for t in texts]]).astype("<i8")
+            columns = [flags.tobytes(), ends.tobytes(), squeeze(np.frombuffer(b"".join(texts), np.uint8))]
+            rows = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            arrays = [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([size], pa.int64()), rows, *[pa.array([c], pa.binary()) for c in columns]]
+            return pa.RecordBatch.from_arrays(arrays, schema.names)
+
+        for b in small(batches, 1, CHUNK // 4):
+            texts = [t or b"" for t in b.column(1).cast(pa.large_binary()).to_pylist()]
+            more = sum(len(t) for t in texts)
+            if held and size + more > CHUNK:
+                yield flush()
+                held, size = [], 0
+            held.append((b, texts))
+            size += more
+        if held:
+            yield flush()
+
+    rows = docs.select(id_col, F.col(text).cast("string").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("flag"))
+    return materialize(rows.mapInArrow(pack, schema))
+
+
+class _Grams:
+    """The words of a chunk and its distinct words and pairs, each by a hash of 80 bits: ``key`` and ``more``.
+
+    The distinct words stand first (the mark before a text's first word is one of them), then the distinct pairs; both sorted by key.
+    """
+
+    def __init__(self, row: dict):
+        ends = np.frombuffer(row["ends"], "<i8")
+        texts = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(row["ends"]), pa.py_buffer(unsqueeze(row["data"], np.uint8)))
+        words, offsets = split_words(texts)
+        self.n_words = np.diff(offsets)
+        self.doc = np.repeat(np.arange(len(self.n_words)), self.n_words)
+        coded = words.dictionary_encode()
+        coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+        mark = len(coded.dictionary)
+        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        before = np.r_[mark, word[:-1]] if len(word) else word
+        before[offsets[:-1][self.n_words > 0]] = mark
+        # the mark's hash is that of two words with white space between, which no word has
+        digests = b"".join(xxhash.xxh3_128_digest(w) for w in [*coded.dictionary.cast(pa.large_binary()).to_pylist(), b"\n \n"])
+        low, high = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+        more = (high >> np.uint64(48)).astype(np.uint16)
+        pairs, pair = np.unique(before * (mark + 1) + word, return_inverse=True)
+        first, second = pairs // (mark + 1), pairs % (mark + 1)
+        with np.errstate(over="ignore"):
+            joint = mix(low[first] * np.uint64(0x9E3779B97F4A7C15) + low[second])
+            joint_more = more[first] * np.uint16(0xCA6B) + more[second]
+        if not len(word):
+            low, more = low[:0], more[:0]  # no text has a word, so none has the mark
+        by_word, by_pair = np.argsort(low, kind="stable"), np.argsort(joint, kind="stable")
+        self.words = len(low)
+        self.key, self.more = np.concatenate([low[by_word], joint[by_pair]]), np.concatenate([more[by_word], joint_more[by_pair]])
+        place = np.empty(len(low), np.int64)
+        place[by_word] = np.arange(len(low))
+        place_of_pair = np.empty(len(joint), np.int64)
+        place_of_pair[by_pair] = len(low) + np.arange(len(joint))
+        self.word, self.before, self.pair = place[word], place[before], place_of_pair[pair]
+
+    def counts(self, chosen: np.ndarray) -> np.ndarray:
+        """How often each word and pair occurs in the chosen texts."""
+        here = chosen[self.doc]
+        starts = np.flatnonzero(np.r_[True, self.doc[1:] != self.doc[:-1]]) if len(self.doc) else self.doc
+        starts = starts[here[starts]]
+        return sum(np.bincount(x, minlength=len(self.key)) for x in (self.word[here], self.before[starts], self.pair[here]))
+
+    def slices(self, parts: int) -> Iterator[tuple[int, slice, slice]]:
+        """Places of the words and of the pairs of each part; equal ranges of keys are parts."""
+        part = ((self.key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        w, p = part[: self.words], part[self.words :]
+        for k in np.unique(part).tolist():
+            a, b = np.searchsorted(w, [k, k + 1])
+            c, d = np.searchsorted(p, [k, k + 1]) + self.words
+            yield k, slice(int(a), int(b)), slice(int(c), int(d))
+
+
+def _sums(key: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each column of counts its sum over the equal keys, and the number of distinct keys."""
+    order = np.argsort(key, kind="stable")
+    k, m = key[order], more[order]
+    if (differ := (k[1:] == k[:-1]) & (m[1:] != m[:-1])).any():
+        order = np.lexsort((more, key))
+        k, m = key[order], more[order]
+        differ = (k[1:] == k[:-1]) & (m[1:] != m[:-1])
+    at = np.union1d(group_starts(k), np.flatnonzero(differ) + 1)
+    out = np.empty_like(counts)
+    if len(key):
+        out[:, order] = np.repeat(np.add.reduceat(counts[:, order], at, axis=1), np.diff(np.r_[at, len(k)]), axis=1)
+    return out, len(at)
+
+
+def _totals(chunks: DataFrame, parts: int) -> DataFrame:
+    """(chunk, part, all_counts, target_counts, ...): how often all rows, and the target's, have the words and pairs of each chunk.
+
+    A chunk sends a word or a pair once, whatever the number of its occurrences, so frequent ones don't pile up. One row
+    of each part also has the number of its distinct words and the sums of their counts; the others have 0.
+    """
+    names = ["part", "chunk", "words", "keys", "more", "all_counts", "target_counts"]
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            g = _Grams(row)
+            flags = np.frombuffer(row["flags"], np.uint8).astype(bool)
+            counts = [g.counts(np.ones(len(flags), bool)), g.counts(flags)]
+            for part, w, p in g.slices(parts):
+                both = lambda x: np.concatenate([x[w], x[p]])  # noqa: B023, E731
+                yield batch(names, [(part, row["chunk"], w.stop - w.start, _pack_keys(both(g.key)), both(g.more).tobytes(), *[_pack(both(c)) for c in counts])], types)
+
+    out_names = ["chunk", "part", "all_counts", "target_counts", "distinct", "total", "target_total"]
+    out_types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 3]
+
+    def meet(t: pa.Table) -> pa.Table:
+        column = lambda n: t.column(n).to_pylist()
+        keys = [_unpack_keys(x) for x in column("keys")]
+        counts = np.stack([np.concatenate([_unpack(x) for x in column(n)]) for n in ("all_counts", "target_counts")])
+        key, more = np.concatenate(keys), np.concatenate([np.frombuffer(x, "<u2") for x in column("more")])
+        is_word = np.concatenate([np.arange(len(k)) < n for k, n in zip(keys, column("words"), strict=True)])
+        total, target_total = counts[:, is_word].sum(1).tolist()
+        distinct = 0
+        for kind in (is_word, ~is_word):
+            counts[:, kind], n = _sums(key[kind], more[kind], counts[:, kind])
+            distinct = n if kind is is_word else distinct
+        out = []
+        edge = np.cumsum([0, *[len(k) for k in keys]]).tolist()
+        for i, (chunk, part, a, b) in enumerate(zip(column("chunk"), column("part"), edge[:-1], edge[1:], strict=True)):
+            out.append((chunk, part, _pack(counts[0, a:b]), _pack(counts[1, a:b]), *((0, 0, 0) if i else (distinct, total, target_total))))
+        return pa.Table.from_batches([batch(out_names, out, out_types)])
+
+    sent = chunks.mapInArrow(send, "part int, chunk long, words long, keys binary, more binary, all_counts binary, target_counts binary")
+    return sent.groupBy("part").applyInArrow(meet, "chunk long, part int, all_counts binary, target_counts binary, distinct long, total long, target_total long")
+
+
+def loss_differences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", target: str = "target") -> DataFrame:
+    """One row per row, as of ``score``, under the models of the rows whose ``target`` is true and of all rows.
+
+    Both models hold the exact counts of all words and pairs of ``docs`` and share its vocabulary: a word is uniform over its
+    distinct words (and the mark at the start). The counts never meet in one place: each chunk of texts gets those of its own words and pairs.
+    """
+    chunks = _chunks(docs, id_col, text, target)
+    parts = max(1, -(-(chunks.agg(F.sum("size").alias("n")).first()["n"] or 0) // GROUP))
+    totals = materialize(_totals(chunks, parts))
+    sums = totals.agg(*[F.sum(c).alias(c) for c in ("distinct", "total", "target_total")]).first()
+    vocabulary = max(1, sums["distinct"] or 0)
+    n_all, n_target = sums["total"] or 0, sums["target_total"] or 0
+    names = [id_col, *_RESULT]
+    schema = docs.select(id_col, *[F.lit(None).cast(t).alias(n) for n, t in zip(_RESULT, ("long", "double", "double", "double"), strict=True)]).schema
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {n: b.column(n)[i].as_py() for n in ("ends", "data", "part", "all_counts", "target_counts")}
+                g = _Grams(row)
+                losses = []
+                for column, total in (("target_counts", n_target), ("all_counts", n_all)):
+                    counts = np.zeros(len(g.key))
+                    received = dict(zip(row["part"] or [], row[column] or [], strict=True))
+                    for part, w, p in g.slices(parts):
+                        x = _unpack(received[part])
+                        counts[w], counts[p] = np.split(x, [w.stop - w.start])
+                    uniform = (counts[g.word] + UNIFORM / vocabulary) / (total + UNIFORM)
+                    loss = np.log(counts[g.before] + BACKOFF) - np.log(counts[g.pair] + BACKOFF * uniform)
+                    losses.append(np.bincount(g.doc, loss, len(g.n_words)) / np.maximum(g.n_words, 1))
+                t, a = losses
+                none = g.n_words == 0
+                ids = b.column("ids").slice(i, 1).flatten()
+                yield pa.RecordBatch.from_arrays([ids, pa.array(g.n_words.astype(np.int64)), *[pa.array(x, mask=none) for x in (t, a, t - a)]], names)
+
+    answers = gathered(totals, "part", "all_counts", "target_counts")
+    return chunks.select("chunk", "ids", "ends", "data").join(answers.hint("merge"), "chunk", "left").mapInArrow(finish, schema)

@@ -64,7 +64,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(read(spark, sf_dir, "documents"), lm_scoring.fit(_with_good(spark, sf_dir)))
+    return lm_scoring.loss_differences(_with_good(spark, sf_dir))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

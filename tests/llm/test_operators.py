@@ -302,6 +302,57 @@ def test_loss_differences_match_plain_counts(spark):
             assert r["target_loss"] is r["background_loss"] is r["loss_difference"] is None
 
 
+def losses_by_strings(rows):
+    """(id, n_words, target_loss, background_loss) of each row, from exact counts of words and pairs as strings."""
+    texts = [words(r[1]) for r in rows]
+    one, two = [Counter(), Counter()], [Counter(), Counter()]
+    for r, w in zip(rows, texts, strict=True):
+        for m in range(2 if r[0] is not None and r[0] % 3 == 0 else 1):
+            if w:
+                one[m].update([None, *w]), two[m].update(zip([None, *w], w, strict=False))
+    total = [sum(c.values()) for c in one]
+
+    def loss(w, m):
+        prob = lambda a, b: (two[m][a, b] + 100 * (one[m][b] + 1000 / len(one[0])) / (total[m] + 1000)) / (one[m][a] + 100)
+        return np.mean([-np.log(prob(a, b)) for a, b in zip([None, *w], w, strict=False)]) if w else None
+
+    return [(r[0], len(w), loss(w, 1), loss(w, 0)) for r, w in zip(rows, texts, strict=True)]
+
+
+@pytest.mark.parametrize("chunk, group", [(lm_scoring.CHUNK, lm_scoring.GROUP), (2000, 3000)])
+def test_loss_differences_match_counts_by_strings(spark, monkeypatch, chunk, group):
+    monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
+    monkeypatch.setattr(lm_scoring, "GROUP", group)
+    rng = random.Random(8)
+    rows = rows_of_all_kinds()
+    # more distinct pairs than would fit in slots without sharing them
+    rows += [(1000 + i, " ".join(f"w{rng.randrange(20000)}" for _ in range(400)), None, None, 1, "k", 2, 3, None, 4) for i in range(50)]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    got = sorted(map(tuple, lm_scoring.loss_differences(with_target(spark, rows)).collect()), key=key)
+    want = sorted(losses_by_strings(rows), key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    for g, w in zip(got, want, strict=True):
+        if w[1]:
+            assert np.allclose(g[2:], [w[2], w[3], w[2] - w[3]], rtol=0, atol=1e-9)
+        else:
+            assert g[2] is g[3] is g[4] is None
+
+
+def test_lm_scoring_query_counts_by_strings(spark):
+    good = {r[0] for r in spark.read.parquet(f"{SMALL}/labels.parquet").filter("quality = 1").select("doc_id").collect()}
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    # ids divisible by 3 are the target of the plain counts
+    ids = {d: 3 * k + (d not in good) for k, (d, _) in enumerate(docs)}
+    want = {i: (t, b) for i, n, t, b in losses_by_strings([(ids[d], x) for d, x in docs]) if n}
+    got = {ids[r["doc_id"]]: (r["target_loss"], r["background_loss"]) for r in queries.op10_lm_scoring(spark, SMALL).collect() if r["n_words"]}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], rtol=0, atol=1e-9) for i in want)
+
+
+def test_loss_differences_of_an_empty_table(spark):
+    docs = table(spark, rows_of_all_kinds(n=5)).filter("false").withColumn("target", F.lit(True))
+    assert lm_scoring.loss_differences(docs).count() == 0
+
+
 def test_empty_tables(spark):
     docs = table(spark, rows_of_all_kinds(n=5)).filter("false").withColumn("toxic", F.lit(1)).withColumn("target", F.lit(True))
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")

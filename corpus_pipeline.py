@@ -20,9 +20,11 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id; repeated rows of it are one row then."""
-    kept = ngram_join.similarity_join(docs).filter("kept").select(F.col("doc_id").alias("__rp_kept")).distinct()
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__rp_kept"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    kept = ngram_join.similarity_join(docs, with_key=True).filter("kept").select(F.col("doc_id").alias("__rp_kept"), F.col("text_key").alias("__rp_kept_key")).distinct()
+    # by id and text: rows with a null or shared id are decided on one by one
+    keyed = docs.withColumn("__rp_key", ngram_join.text_key(F.col("text")))
+    stay = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__rp_kept"]) & (keyed["__rp_key"] == kept["__rp_kept_key"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", "__rp_key"]).drop("__rp_key")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import hash_words, materialize, mix, rolling_hash, small, split_words
@@ -58,6 +58,21 @@ def fewest_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -
     return np.array(out)
 
 
+def _keys(texts: pa.Array) -> pa.Array:
+    """128-bit hashes of whole texts; null texts are empty."""
+    return pa.array([xxhash.xxh3_128_digest((t or "").encode()) for t in texts.to_pylist()], pa.binary())
+
+
+def text_key(text: Column) -> Column:
+    """The ``text_key`` of ``similarity_join``."""
+
+    @F.arrow_udf("binary")
+    def key(texts: pa.Array) -> pa.Array:
+        return _keys(texts)
+
+    return key(text)
+
+
 def _sketch(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(id, key of the exact text, number of n-grams, signature)."""
 
@@ -66,9 +81,8 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
             words, at = split_words(b.column(1))
             h = hash_words(words)
             grams = [shingles(h[i:j], n) for i, j in zip(at[:-1], at[1:], strict=True)]
-            keys = [xxhash.xxh3_128_digest(t.encode()) for t in (x or "" for x in b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(keys, pa.binary()), pa.array([len(g) for g in grams], pa.int64()), pa.array([signature(g).tobytes() for g in grams], pa.binary())], ["id", "key", "grams", "sig"]
+                [b.column(0), _keys(b.column(1)), pa.array([len(g) for g in grams], pa.int64()), pa.array([signature(g).tobytes() for g in grams], pa.binary())], ["id", "key", "grams", "sig"]
             )
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, key binary, grams long, sig binary")
@@ -176,8 +190,8 @@ def _common(grams: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray
     return total[i, j].astype(np.int64)
 
 
-def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
-    """One row per row of ``docs``: id, class_id, n_links, component_id, kept.
+def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, n: int = WORDS, with_key: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, class_id, n_links, component_id, kept and, if ``with_key``, text_key.
 
     class_id: the smallest id with exactly this text. n_links: other rows whose sets of word n-grams
     have a Jaccard similarity of at least ``threshold`` (copies included). component_id: the smallest id reachable
@@ -220,7 +234,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ))
     out = sketch.select("id", "key").join(result, "key")
     component_id = F.when(F.col("words"), F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("rep").alias("class_id"), "n_links", component_id.alias("component_id"), component_id.eqNullSafe(F.col("id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("rep").alias("class_id"), "n_links", component_id.alias("component_id"), component_id.eqNullSafe(F.col("id")).alias("kept"), *[F.col("key").alias("text_key")] * with_key)
 
 
 def _gram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:

@@ -399,5 +399,14 @@ def test_each_stage_of_the_pipeline(spark):
     check_pieces([(r["doc_id"], r["text"]) for r in mixed.collect()], pieces, 0.3)
 
 
+def test_near_duplicates_with_null_and_shared_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a), (None, a), (7, a), (7, b), (None, c), (None, c), (8, d), (8, d), (9, d)]
+    docs = table(spark, [(*r, None, None, 1, "k", 2, 3, None, 4) for r in rows])
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, None)
+    assert out.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter([(1, a), (7, b), (None, c), (8, d)])
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0

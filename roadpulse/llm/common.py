@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +28,40 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary folder only where none is configured (tests)."""
+    """This application's part of the folder that all machines share: ``spark.checkpoint.dir``.
+
+    Where it is unset a local session (tests) takes a temporary folder; a cluster has no such folder, so there that is an error.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         shared = f"file://{tempfile.gettempdir()}/roadpulse-scratch"
-    return f"{shared.rstrip('/')}/roadpulse"
+    return f"{shared.rstrip('/')}/roadpulse/{spark.sparkContext.applicationId}"
+
+
+class _CleanUp:
+    """Lets Spark delete a job's shuffle files when its table is written, as nothing reads them then; jobs may overlap."""
+
+    lock = threading.Lock()
+    open = 0
+    before: str | None = None
+
+    def __init__(self, spark: SparkSession):
+        self.conf = spark.conf
+
+    def __enter__(self) -> None:
+        with _CleanUp.lock:
+            if not _CleanUp.open:
+                _CleanUp.before = self.conf.get(_CLEAN_UP, None)
+                self.conf.set(_CLEAN_UP, "true")
+            _CleanUp.open += 1
+
+    def __exit__(self, *_: object) -> None:
+        with _CleanUp.lock:
+            _CleanUp.open -= 1
+            if not _CleanUp.open:
+                self.conf.unset(_CLEAN_UP) if _CleanUp.before is None else self.conf.set(_CLEAN_UP, _CleanUp.before)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -38,22 +71,32 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEAN_UP, None)
-    spark.conf.set(_CLEAN_UP, "true")  # nothing reads this job's shuffle files once its table is written
-    try:
+    with _CleanUp(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table made by ``materialize``."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``materialize`` that nothing reads any more."""
+    for df in tables:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            _delete(df.sparkSession, folder)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every stored table of this application, those behind results that are still lazy included."""
+    _delete(spark, scratch_dir(spark))
+
+
+def share(spark: SparkSession, value: object) -> Callable[[], Any]:
+    """A broadcast ``value`` that tasks get by a call. Classes of this package travel with it, so executors need no copy of the package."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
 
 
 def words_of(text: Column) -> Column:

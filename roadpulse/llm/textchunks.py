@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +63,6 @@ def batch(schema: list[str], rows: list[tuple], types: list[pa.DataType]) -> pa.
 # ---- hashes of runs of bytes -----------------------------------------------------------------------
 
 
-@lru_cache(2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         up, down = np.full(n + 1, np.uint64(_BASE)), np.full(n + 1, np.uint64(pow(_BASE, -1, 1 << 64)))
@@ -76,8 +74,7 @@ class RunHash:
     """64-bit hashes of any runs of bytes of one array; one pass, then two look-ups for each run."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(16, int(len(data)).bit_length())
-        self.up, self.down = _powers(size)
+        self.up, self.down = _powers(len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         with np.errstate(over="ignore"):
             np.cumsum(_LETTERS[data] * self.up[: len(data)], out=self.sums[1:])

@@ -51,3 +51,13 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         state = sums
     roots = edges.select("v").distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("component")))
+
+
+def smallest_ids(links: DataFrame, a: str, b: str, classes: DataFrame, *least: str) -> DataFrame:
+    """(node, component, and the values ``least`` of the class whose values come first in its component) for every node with a link.
+
+    Classes are known by a ``node`` number of their own, so those that share an id stay apart.
+    """
+    component = materialize(connected_components(links, a, b))
+    first = component.join(classes.select("node", *least), "node").groupBy("component").agg(F.min(F.struct(*least)).alias("first"))
+    return component.join(first, "component").select("node", "component", *[F.col(f"first.{c}").alias(f"first_{c}") for c in least])

@@ -167,6 +167,32 @@ def test_embedding_links_match_all_pairs(spark):
     assert Counter(map(tuple, got.select("vec_id", "n_links", "component_id", "kept").collect())) == want
 
 
+def test_embedding_probes_find_nearly_all_links(spark):
+    """Many lists: recall against all pairs, among random vectors with partners just above the threshold; no link that isn't one."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=(1000, 64))
+    away -= (away * x[:1000]).sum(1)[:, None] * x[:1000]
+    c = rng.uniform(0.975, 0.99, 1000)[:, None]
+    x = np.concatenate([x, c * x[:1000] + np.sqrt(1 - c * c) * away / np.linalg.norm(away, axis=1, keepdims=True)]).astype(np.float32)
+    wide = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = ((wide @ wide.T) >= 0.98).sum(1) - 1
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df, per_list=10).collect()}
+    links = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (links <= want).all() and links.sum() >= 0.97 * want.sum() > 1000
+    assert all(got[i]["component_id"] == min(i, got[i]["component_id"]) and (links[i] > 0 or got[i]["kept"]) for i in got)
+
+
+def test_embeddings_that_share_an_id(spark):
+    a, b = [1.0] * 8, [1.0, -1.0] * 4
+    near = lambda v: [x * 1.01 if i else x for i, x in enumerate(v)]
+    df = spark.createDataFrame([(1, a, 0), (1, b, 0), (2, near(a), 0), (3, near(b), 0)], "vec_id long, embedding array<double>, label int")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 # ---- packing ---------------------------------------------------------------------------------------
 
 
@@ -254,14 +280,17 @@ def test_importance_weights_and_draw(spark):
             np.add.at(chosen, s, 1)
     ratio = np.log(chosen / chosen.sum()) - np.log(raw / raw.sum())
     out = importance.gumbel_top_k(importance.log_weights(docs, importance.fit(docs)), 0.3).collect()
-    weights = sorted((-1 if r[0] is None else r[0], ratio[s].sum()) for r, s in zip(rows, slots, strict=True))
-    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["log_weight"]) for r in out)
+    # a text without n-grams has no weight and is never drawn
+    weights = sorted((-1 if r[0] is None else r[0], ratio[s].sum() if s else -1e9) for r, s in zip(rows, slots, strict=True))
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], -1e9 if r["log_weight"] is None else r["log_weight"]) for r in out)
     assert [d for d, _ in got] == [d for d, _ in weights]
     assert np.allclose([w for _, w in got], [w for _, w in weights], atol=1e-6)
-    k = round(0.3 * len(rows))
-    least = sorted((round(r["gumbel_key"] * 1e9) for r in out), reverse=True)[k - 1]
-    assert {r["doc_id"] for r in out if r["kept"]} == {r["doc_id"] for r in out if round(r["gumbel_key"] * 1e9) >= least}
-    assert sum(r["kept"] for r in out) >= k
+    some = [r for r in out if r["gumbel_key"] is not None]
+    assert len(some) == sum(1 for s in slots if s) < len(rows)
+    k = round(0.3 * len(some))
+    least = sorted((round(r["gumbel_key"] * 1e9) for r in some), reverse=True)[k - 1]
+    assert {r["doc_id"] for r in out if r["kept"]} == {r["doc_id"] for r in some if round(r["gumbel_key"] * 1e9) >= least}
+    assert sum(r["kept"] for r in out) >= k and not any(r["kept"] for r in out if r["log_weight"] is None)
 
 
 def test_loss_differences_match_plain_counts(spark):

@@ -7,18 +7,17 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, materialize, mix, rolling_hash, small, split_words
-from .components import connected_components, local_roots
+from .common import discard, hash_words, materialize, mix, rolling_hash, small, split_words
+from .components import local_roots, smallest_ids
 
 WORDS = 5
 THRESHOLD = 0.8
-#: MinHash values, and how many make a band. A pair at similarity s shares no band with probability (1 - s**4)**32: 5e-8 at 0.8.
+#: MinHash values. Bands of k of them miss a pair at similarity s with probability (1 - s**k)**(VALUES / k), which must be at most MISSED.
 VALUES = 128
-BAND = 4
+MISSED = 1e-6
 #: A pair is dropped once the probability that it reaches the threshold is below this.
 TOLERANCE = 1e-7
 STEP = 16
@@ -45,6 +44,14 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return (low * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16)
 
 
+def band_width(threshold: float) -> int:
+    """The most values that a band may have (4, 2 or 1) so that no pair at the threshold is missed; 4 at 0.8, with a miss in 5e-8."""
+    for k in (4, 2, 1):
+        if (1 - threshold**k) ** (VALUES // k) <= MISSED:
+            return k
+    raise ValueError(f"a threshold of {threshold} is too low for {VALUES} values")
+
+
 def fewest_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> np.ndarray:
     """For n = STEP, 2 STEP, ... values compared: the fewest matches with which a pair goes on.
 
@@ -58,51 +65,45 @@ def fewest_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -
     return np.array(out)
 
 
-def _keys(texts: pa.Array) -> pa.Array:
-    """128-bit hashes of whole texts; null texts are empty."""
-    return pa.array([xxhash.xxh3_128_digest((t or "").encode()) for t in texts.to_pylist()], pa.binary())
-
-
 def text_key(text: Column) -> Column:
-    """The ``text_key`` of ``similarity_join``."""
+    """128-bit hash of a whole text, the ``text_key`` of ``similarity_join``; a null text is empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
-    @F.arrow_udf("binary")
-    def key(texts: pa.Array) -> pa.Array:
-        return _keys(texts)
 
-    return key(text)
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_key(text).alias("key"), text.alias("text"))
 
 
 def _sketch(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(id, key of the exact text, number of n-grams, signature)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 1):
-            words, at = split_words(b.column(1))
+        for b in small(batches, 2):
+            words, at = split_words(b.column(2))
             h = hash_words(words)
             grams = [shingles(h[i:j], n) for i, j in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), _keys(b.column(1)), pa.array([len(g) for g in grams], pa.int64()), pa.array([signature(g).tobytes() for g in grams], pa.binary())], ["id", "key", "grams", "sig"]
-            )
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(g) for g in grams], pa.int64()), pa.array([signature(g).tobytes() for g in grams], pa.binary())], ["id", "key", "grams", "sig"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, key binary, grams long, sig binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, key binary, grams long, sig binary")
 
 
-def _bands(classes: DataFrame) -> DataFrame:
-    """(bucket, band, rep, grams): one row for each band of each class."""
+def _bands(classes: DataFrame, width: int) -> DataFrame:
+    """(bucket, band, node, grams): one row for each band of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64).reshape(b.num_rows, -1)
+            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), f"u{2 * width}").reshape(b.num_rows, -1).astype(np.uint64)
             k = sig.shape[1]
             with np.errstate(over="ignore"):
                 bucket = mix(mix(sig) + np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            rep, grams = (np.repeat(b.column(i).to_numpy(), k) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(k, dtype=np.int8), b.num_rows)), pa.array(rep), pa.array(grams)], ["bucket", "band", "rep", "grams"])
+            node, grams = (np.repeat(b.column(i).to_numpy(), k) for i in (0, 1))
+            band = np.tile(np.arange(k, dtype=np.int16), b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.reshape(-1).view(np.int64)), pa.array(band), pa.array(node), pa.array(grams)], ["bucket", "band", "node", "grams"])
 
-    return classes.filter("grams > 0 AND rep IS NOT NULL").select("rep", "grams", "sig").mapInArrow(run, "bucket long, band byte, rep long, grams long")
+    return classes.filter("grams > 0 AND rep IS NOT NULL").select("node", "grams", "sig").mapInArrow(run, "bucket long, band short, node long, grams long")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -127,10 +128,10 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
         yield t, cut(t)[0]
 
 
-def _likely_pairs(t: pa.Table, group: np.ndarray, fewest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _likely_pairs(t: pa.Table, group: np.ndarray, fewest: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows that first meet in this bucket and stay likely through all steps of the comparison."""
     sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(t.num_rows, VALUES)
-    bands = sig.view(np.uint64)
+    bands = sig.view(f"u{2 * width}")
     band, side = t.column("band").to_numpy(), t.column("side").to_numpy()
     same_block = t.column("i").to_numpy() == t.column("j").to_numpy()
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -198,64 +199,72 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by links; kept: this row has it. Null and empty texts have no n-grams and link with nothing;
     a text shorter than n words is one n-gram. A null id links with copies of its text alone. Other columns aren't read; an empty table gives an empty one.
 
+    Of rows with one id and different texts each has its own links; if their component's smallest id is theirs, only the one whose
+    ``text_key`` comes first is kept. Long texts are read whole, in memory for their own n-grams alone.
+
     Copies are compared once. Buckets of any size are compared whole, in blocks of bounded size; blocks send
     on sums and a spanning forest, never their pairs.
     """
     sketch = materialize(_sketch(docs, id_col, text_col, n))
-    classes = materialize(sketch.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.max("grams").alias("grams"), F.min("sig").alias("sig")))
-    bands = _bands(classes)
+    classes = sketch.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.max("grams").alias("grams"), F.min("sig").alias("sig"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()))
+    width = band_width(threshold)
+    bands = _bands(classes, width)
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("grams") * 8 / BLOCK_BYTES)).cast("int")
     buckets = materialize(bands.groupBy("bucket").agg(F.count("*").alias("size"), blocks.alias("blocks")).filter("size > 1").select("bucket", "blocks"))
-    members = bands.join(buckets, "bucket").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    members = bands.join(buckets, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("byte").alias("side"), "rep")
+    members = members.select("bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("byte").alias("side"), "node")
     fewest = fewest_matches(threshold)
     place = ["bucket", "i", "j"]
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, group in _whole_groups(batches):
-            i, j = _likely_pairs(t, group, fewest)
+            i, j = _likely_pairs(t, group, fewest, width)
             rows = np.unique(np.concatenate([i, j]))
             if len(rows):
-                yield from t.select(["bucket", "band", "i", "j", "side", "rep"]).take(pa.array(rows)).to_batches()
+                yield from t.select(["bucket", "band", "i", "j", "side", "node"]).take(pa.array(rows)).to_batches()
 
-    signed = members.join(classes.select("rep", "sig"), "rep").select(*members.columns, "sig")
-    ahead = signed.repartition(*place).sortWithinPartitions(*place, "rep").mapInArrow(likely, members.schema)
+    signed = members.join(classes.select("node", "sig"), "node").select(*members.columns, "sig")
+    ahead = signed.repartition(*place).sortWithinPartitions(*place, "node").mapInArrow(likely, members.schema)
     ahead = materialize(ahead)
-    grams = _gram_sets(docs, ahead.select("rep").distinct(), id_col, text_col, n)
-    full = ahead.join(classes.select("rep", "n", "sig"), "rep").join(grams, "rep").select(*members.columns, "n", "sig", "set")
-    found = materialize(full.repartition(*place).sortWithinPartitions(*place, "rep").mapInArrow(_verify(fewest, threshold), "rep long, links long, root long"))
-    linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    component = connected_components(found, "rep", "root").withColumnRenamed("node", "rep")
-    result = classes.select("key", "rep", "n", "grams").join(linked, "rep", "left").join(component, "rep", "left")
+    wanted = ahead.select("node").distinct().join(classes.select("node", "rep", "key"), "node")
+    full = ahead.join(classes.select("node", "n", "sig"), "node").join(_gram_sets(docs, wanted, id_col, text_col, n), "node").select(*members.columns, "n", "sig", "set")
+    found = materialize(full.repartition(*place).sortWithinPartitions(*place, "node").mapInArrow(_verify(fewest, width, threshold), "node long, links long, root long"))
+    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
+    component = smallest_ids(found, "node", "root", classes, "rep", "key")
+    result = classes.select("key", "node", "rep", "n", "grams").join(linked, "node", "left").join(component, "node", "left")
     words = F.col("grams") > 0
     result = materialize(result.select(
-        "key", "rep", words.alias("words"), F.when(words, F.col("n") - 1 + F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links"), F.coalesce("component", "rep").alias("component_id"),
+        "key", "rep", words.alias("words"), F.when(words, F.col("n") - 1 + F.coalesce("links", F.lit(0))).otherwise(0).alias("n_links"), F.coalesce("first_rep", "rep").alias("component_id"),
+        F.coalesce(F.col("first_key") == F.col("key"), F.lit(True)).alias("first"),
     ))
+    discard(buckets, ahead, found, classes)
     out = sketch.select("id", "key").join(result, "key")
     component_id = F.when(F.col("words"), F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("rep").alias("class_id"), "n_links", component_id.alias("component_id"), component_id.eqNullSafe(F.col("id")).alias("kept"), *[F.col("key").alias("text_key")] * with_key)
+    kept = component_id.eqNullSafe(F.col("id")) & (F.col("first") | ~F.col("words"))
+    return out.select(F.col("id").alias(id_col), F.col("rep").alias("class_id"), "n_links", component_id.alias("component_id"), kept.alias("kept"), *[F.col("key").alias("text_key")] * with_key)
 
 
 def _gram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(rep, set): sorted distinct n-grams of the wanted documents."""
+    """(node, set): sorted distinct n-grams of the wanted classes, from a row with the class's smallest id and its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 1):
             words, at = split_words(b.column(1))
             h = hash_words(words)
             sets = [np.unique(shingles(h[i:j], n)).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["rep", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "set"])
 
     # A shuffle join at every size: the plan that is measured on little data is the one that runs on much.
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "rep", "left_semi")
-    return texts.dropDuplicates(["rep"]).mapInArrow(run, "rep long, set binary")
+    texts = _texts(docs, id_col, text_col).join(wanted.withColumnRenamed("rep", "id").hint("merge"), ["id", "key"])
+    return texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, set binary")
 
 
-def _verify(fewest: np.ndarray, threshold: float):
+def _verify(fewest: np.ndarray, width: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, group in _whole_groups(batches):
-            i, j = _likely_pairs(t, group, fewest)
+            i, j = _likely_pairs(t, group, fewest, width)
             if not len(i):
                 continue
             sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
@@ -266,10 +275,10 @@ def _verify(fewest: np.ndarray, threshold: float):
             both = np.concatenate([_common(sets, i[a:b], j[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)])
             hit = both >= threshold * (sizes[i] + sizes[j] - both) - 1e-9
             i, j = i[hit], j[hit]
-            rep, n = t.column("rep").to_numpy(), t.column("n").to_numpy()
-            nodes, back = np.unique(np.concatenate([rep[i], rep[j]]), return_inverse=True)
+            node, n = t.column("node").to_numpy(), t.column("n").to_numpy()
+            nodes, back = np.unique(np.concatenate([node[i], node[j]]), return_inverse=True)
             a, b = back[: len(i)], back[len(i) :]
             links = np.bincount(a, n[j], len(nodes)) + np.bincount(b, n[i], len(nodes))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links.astype(np.int64)), pa.array(nodes[local_roots(a, b, len(nodes))])], ["rep", "links", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links.astype(np.int64)), pa.array(nodes[local_roots(a, b, len(nodes))])], ["node", "links", "root"])
 
     return run

@@ -142,6 +142,35 @@ def test_similarity_join_matches_all_pairs(spark, monkeypatch):
         assert Counter(map(tuple, got)) == want
 
 
+def test_rows_that_share_an_id_keep_their_links(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    docs = table(spark, [(i, t, None, None, 1, "k", 2, 3, None, 4) for i, t in [(1, a + " x"), (1, b + " x"), (2, a), (3, b), (4, a + " y"), (4, a + " z"), (4, "c d e f g h")]])
+    got = Counter((r["doc_id"], r["n_links"], r["component_id"], r["kept"]) for r in ngram_join.similarity_join(docs).collect())
+    assert got == Counter([(1, 3, 1, True), (1, 1, 1, True), (2, 3, 1, False), (3, 1, 1, False), (4, 3, 1, False), (4, 3, 1, False), (4, 0, 4, True)])
+
+
+def test_similarity_join_at_other_thresholds(spark):
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(80)] for _ in range(8)]
+    rows = []
+    for i in range(120):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(9)):
+            w[rng.randrange(80)] = f"w{rng.randrange(5000)}"
+        rows.append((i, " ".join(w)))
+    grams = [{tuple(t.split()[k : k + 5]) for k in range(76)} for _, t in rows]
+    for threshold in (0.5, 0.3):
+        links = Counter()
+        for i in range(120):
+            for j in range(i):
+                if len(grams[i] & grams[j]) >= threshold * len(grams[i] | grams[j]):
+                    links.update((i, j))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert {r["doc_id"]: r["n_links"] for r in ngram_join.similarity_join(docs, threshold=threshold).collect()} == {i: links[i] for i in range(120)}
+    with pytest.raises(ValueError):
+        ngram_join.band_width(0.05)
+
+
 def test_embedding_links_match_all_pairs(spark):
     rng = np.random.default_rng(5)
     rows = []

@@ -31,14 +31,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     labels = read(spark, sf_dir, "labels").filter(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     model = toxicity.fit(docs.filter(~held_out).join(labels, "doc_id"))
-    return toxicity.score(docs, model).withColumn("held_out", held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "log_ratio")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+    out = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
 
 
 def _with_good(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,6 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background model.
 
-``loss_differences`` counts every word and pair of words of the input exactly, so what it gathers grows with the input. ``fit``
-and ``score`` are the variant in fixed memory, where words and pairs that share a slot add up.
+``loss_differences`` counts every word and pair of words of the input exactly, so what it gathers grows with the input.
 """
 
 from __future__ import annotations
@@ -16,76 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import hash_words, materialize, mix, small, split_words
-from .ngrams import slot_counts
+from .common import materialize, mix, small, split_words
 from .textchunks import batch, gathered, group_starts, rows_of, squeeze, unsqueeze
 
 #: Bytes of text in a chunk (a longer text has a chunk of its own), and bytes of text whose words and pairs meet in one group.
 CHUNK = 8 << 20
 GROUP = 16 << 20
-#: The vocabulary that both models of ``fit`` share: words and pairs of words by hash.
-WORD_SLOTS = 1 << 18
-PAIR_SLOTS = 1 << 20
 #: Weight of the uniform distribution in the word model, and of the word model in the pair model.
 UNIFORM = 1000.0
 BACKOFF = 100.0
-_START = np.uint64(0x5851F42D4C957F2D)
-
-
-def _slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: its slot, the slot of the word before it (a mark of its own at the start), the slot of the pair, its text."""
-    words, offsets = split_words(texts)
-    h = hash_words(words)
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    before = np.r_[_START, h[:-1]] if len(h) else h
-    before[offsets[:-1][np.diff(offsets) > 0]] = _START
-    with np.errstate(over="ignore"):
-        pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + h)
-    cut = lambda x, n: (x & np.uint64(n - 1)).astype(np.int64)
-    return cut(h, WORD_SLOTS), cut(before, WORD_SLOTS), cut(pair, PAIR_SLOTS), doc
-
-
-def _all_slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    word, before, pair, doc = _slots(texts)
-    starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else doc
-    return np.concatenate([word, before[starts], WORD_SLOTS + pair]), np.concatenate([doc, doc[starts], doc])
-
-
-class PairModel:
-    """P(word | word before): pair counts smoothed towards word counts, those towards uniform."""
-
-    def __init__(self, counts: np.ndarray):
-        self.count, self.pair = np.split(counts.astype(float), [WORD_SLOTS])
-        self.word = (self.count + UNIFORM / WORD_SLOTS) / (self.count.sum() + UNIFORM)
-
-    def loss(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        return np.log(self.count[before] + BACKOFF) - np.log(self.pair[pair] + BACKOFF * self.word[word])
-
-
-def fit(docs: DataFrame, text: str = "text", target: str = "target") -> tuple[PairModel, PairModel]:
-    """Models of the rows whose ``target`` is true and of all rows, from every word of every row."""
-    counts = slot_counts(docs, text, target, WORD_SLOTS + PAIR_SLOTS, _all_slots)
-    return PairModel(counts[1]), PairModel(counts[0])
-
-
-def score(docs: DataFrame, models: tuple[PairModel, PairModel], id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row: id, n_words, the mean loss under each model (nats a word) and their difference (lower: more like the target).
-
-    A text without words (null, empty) has null losses. Repeated rows give repeated results; other columns aren't read.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    names = ["n_words", "target_loss", "background_loss", "loss_difference"]
-    schema = docs.select(id_col, *[F.lit(None).cast(t).alias(n) for n, t in zip(names, ("long", "double", "double", "double"), strict=True)]).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 1):
-            word, before, pair, doc = _slots(b.column(1))
-            n = np.bincount(doc, minlength=b.num_rows)
-            t, g = (np.bincount(doc, m.loss(word, before, pair), b.num_rows) / np.maximum(n, 1) for m in shared.value)
-            none = n == 0
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n.astype(np.int64)), *[pa.array(x, mask=none) for x in (t, g, t - g)]], [id_col, *names])
-
-    return docs.select(id_col, text).mapInArrow(run, schema)
 
 
 # ---- exact counts ------------------------------------------------------------------------------
@@ -184,12 +122,11 @@ class _Grams:
         place_of_pair[by_pair] = len(low) + np.arange(len(joint))
         self.word, self.before, self.pair = place[word], place[before], place_of_pair[pair]
 
-    def counts(self, chosen: np.ndarray) -> np.ndarray:
-        """How often each word and pair occurs in the chosen texts."""
+    def counts(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each word and pair occurs in the chosen texts, and how often each word (or the mark) has a word after it."""
         here = chosen[self.doc]
-        starts = np.flatnonzero(np.r_[True, self.doc[1:] != self.doc[:-1]]) if len(self.doc) else self.doc
-        starts = starts[here[starts]]
-        return sum(np.bincount(x, minlength=len(self.key)) for x in (self.word[here], self.before[starts], self.pair[here]))
+        seen = np.bincount(self.word[here], minlength=len(self.key)) + np.bincount(self.pair[here], minlength=len(self.key))
+        return seen, np.bincount(self.before[here], minlength=len(self.key))
 
     def slices(self, parts: int) -> Iterator[tuple[int, slice, slice]]:
         """Places of the words and of the pairs of each part; equal ranges of keys are parts."""
@@ -201,8 +138,8 @@ class _Grams:
             yield k, slice(int(a), int(b)), slice(int(c), int(d))
 
 
-def _sums(key: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """For each column of counts its sum over the equal keys, and the number of distinct keys."""
+def _sums(key: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of counts its sum over the equal keys, and a place of each distinct key."""
     order = np.argsort(key, kind="stable")
     k, m = key[order], more[order]
     if (differ := (k[1:] == k[:-1]) & (m[1:] != m[:-1])).any():
@@ -213,85 +150,113 @@ def _sums(key: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.nda
     out = np.empty_like(counts)
     if len(key):
         out[:, order] = np.repeat(np.add.reduceat(counts[:, order], at, axis=1), np.diff(np.r_[at, len(k)]), axis=1)
-    return out, len(at)
+    return out, order[at]
+
+
+#: Of the words and pairs of a chunk: occurrences and occurrences as the word before, in all rows and in the target.
+_COUNTS = ("seen", "before", "target_seen", "target_before")
 
 
 def _totals(chunks: DataFrame, parts: int) -> DataFrame:
-    """(chunk, part, all_counts, target_counts, ...): how often all rows, and the target's, have the words and pairs of each chunk.
+    """(chunk, part, seen, ...): the counts of the whole input for the words and pairs of each chunk.
 
     A chunk sends a word or a pair once, whatever the number of its occurrences, so frequent ones don't pile up. One row
     of each part also has the number of its distinct words and the sums of their counts; the others have 0.
     """
-    names = ["part", "chunk", "words", "keys", "more", "all_counts", "target_counts"]
-    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    names = ["part", "chunk", "words", "keys", "more", *_COUNTS]
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * (2 + len(_COUNTS))]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             g = _Grams(row)
             flags = np.frombuffer(row["flags"], np.uint8).astype(bool)
-            counts = [g.counts(np.ones(len(flags), bool)), g.counts(flags)]
+            counts = [*g.counts(np.ones(len(flags), bool)), *g.counts(flags)]
             for part, w, p in g.slices(parts):
                 both = lambda x: np.concatenate([x[w], x[p]])  # noqa: B023, E731
-                yield batch(names, [(part, row["chunk"], w.stop - w.start, _pack_keys(both(g.key)), both(g.more).tobytes(), *[_pack(both(c)) for c in counts])], types)
+                # only words stand before others
+                own = [_pack(both(c) if i % 2 == 0 else c[w]) for i, c in enumerate(counts)]
+                yield batch(names, [(part, row["chunk"], w.stop - w.start, _pack_keys(both(g.key)), both(g.more).tobytes(), *own)], types)
 
-    out_names = ["chunk", "part", "all_counts", "target_counts", "distinct", "total", "target_total"]
-    out_types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 3]
+    out_names = ["chunk", "part", *_COUNTS, "distinct", "total", "target_total"]
+    out_types = [pa.int64(), pa.int32(), *[pa.binary()] * len(_COUNTS), *[pa.int64()] * 3]
 
     def meet(t: pa.Table) -> pa.Table:
         column = lambda n: t.column(n).to_pylist()
         keys = [_unpack_keys(x) for x in column("keys")]
-        counts = np.stack([np.concatenate([_unpack(x) for x in column(n)]) for n in ("all_counts", "target_counts")])
         key, more = np.concatenate(keys), np.concatenate([np.frombuffer(x, "<u2") for x in column("more")])
         is_word = np.concatenate([np.arange(len(k)) < n for k, n in zip(keys, column("words"), strict=True)])
-        total, target_total = counts[:, is_word].sum(1).tolist()
+        counts = np.zeros((len(_COUNTS), len(key)), np.int64)
+        for c, name in zip(counts, _COUNTS, strict=True):
+            c[is_word if "before" in name else slice(None)] = np.concatenate([_unpack(x) for x in column(name)])
+        # the mark before a text's first word is no word: nothing predicts it
+        total, target_total = counts[0, is_word].sum(), counts[2, is_word].sum()
         distinct = 0
         for kind in (is_word, ~is_word):
-            counts[:, kind], n = _sums(key[kind], more[kind], counts[:, kind])
-            distinct = n if kind is is_word else distinct
+            some, first = _sums(key[kind], more[kind], counts[:, kind])
+            counts[:, kind] = some
+            if kind is is_word:
+                distinct = int((some[0, first] > 0).sum())
         out = []
         edge = np.cumsum([0, *[len(k) for k in keys]]).tolist()
-        for i, (chunk, part, a, b) in enumerate(zip(column("chunk"), column("part"), edge[:-1], edge[1:], strict=True)):
-            out.append((chunk, part, _pack(counts[0, a:b]), _pack(counts[1, a:b]), *((0, 0, 0) if i else (distinct, total, target_total))))
+        for i, (chunk, part, a, b, n) in enumerate(zip(column("chunk"), column("part"), edge[:-1], edge[1:], column("words"), strict=True)):
+            own = [_pack(c[a : a + n] if "before" in name else c[a:b]) for c, name in zip(counts, _COUNTS, strict=True)]
+            out.append((chunk, part, *own, *((0, 0, 0) if i else (distinct, int(total), int(target_total)))))
         return pa.Table.from_batches([batch(out_names, out, out_types)])
 
-    sent = chunks.mapInArrow(send, "part int, chunk long, words long, keys binary, more binary, all_counts binary, target_counts binary")
-    return sent.groupBy("part").applyInArrow(meet, "chunk long, part int, all_counts binary, target_counts binary, distinct long, total long, target_total long")
+    binary = ", ".join(f"{c} binary" for c in _COUNTS)
+    sent = chunks.mapInArrow(send, f"part int, chunk long, words long, keys binary, more binary, {binary}")
+    return sent.repartition(parts, "part").groupBy("part").applyInArrow(meet, f"chunk long, part int, {binary}, distinct long, total long, target_total long")
 
 
 def loss_differences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", target: str = "target") -> DataFrame:
-    """One row per row, as of ``score``, under the models of the rows whose ``target`` is true and of all rows.
+    """One row per row: id, n_words, the mean loss under each model (nats a word) and their difference (lower: more like the target).
+
+    The models predict each word from the one before it (a mark at a text's start): P(w | v) = (n(v w) + BACKOFF P(w)) / (n(v .) +
+    BACKOFF), P(w) = (n(w) + UNIFORM / V) / (n + UNIFORM). The target model counts the rows whose ``target`` is true, the
+    background model all others; both share the V distinct words of all rows. So that they are matched, the background's counts are
+    scaled to as many words as the target has: smoothing then weighs the same in both, and no text is left out. Without target rows,
+    or without others, the models differ in nothing or in smoothing alone. The counts never meet in one place: each chunk of texts
+    gets those of its own words and pairs.
 
-    Both models hold the exact counts of all words and pairs of ``docs`` and share its vocabulary: a word is uniform over its
-    distinct words (and the mark at the start). The counts never meet in one place: each chunk of texts gets those of its own words and pairs.
+    A text without words (null, empty) has null losses; a null ``target`` is false; a null id is kept. Repeated rows count each time
+    and give repeated results; an empty table gives an empty one. Long texts are read whole, each in a chunk of its own.
+    Other columns aren't read.
     """
     chunks = _chunks(docs, id_col, text, target)
     parts = max(1, -(-(chunks.agg(F.sum("size").alias("n")).first()["n"] or 0) // GROUP))
     totals = materialize(_totals(chunks, parts))
     sums = totals.agg(*[F.sum(c).alias(c) for c in ("distinct", "total", "target_total")]).first()
     vocabulary = max(1, sums["distinct"] or 0)
-    n_all, n_target = sums["total"] or 0, sums["target_total"] or 0
+    n_target = sums["target_total"] or 0
+    n_other = (sums["total"] or 0) - n_target
+    # without a target the background keeps its own size
+    scale = n_target / n_other if n_other and n_target else 1.0
     names = [id_col, *_RESULT]
     schema = docs.select(id_col, *[F.lit(None).cast(t).alias(n) for n, t in zip(_RESULT, ("long", "double", "double", "double"), strict=True)]).schema
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                row = {n: b.column(n)[i].as_py() for n in ("ends", "data", "part", "all_counts", "target_counts")}
+                row = {n: b.column(n)[i].as_py() for n in ("ends", "data", "part", *_COUNTS)}
                 g = _Grams(row)
+                counts = np.zeros((len(_COUNTS), len(g.key)))
+                received = {part: k for k, part in enumerate(row["part"] or [])}
+                for part, w, p in g.slices(parts):
+                    for c, name in zip(counts, _COUNTS, strict=True):
+                        x = _unpack(row[name][received[part]])
+                        c[w] = x[: w.stop - w.start]
+                        if "before" not in name:
+                            c[p] = x[w.stop - w.start :]
+                seen, before, target_seen, target_before = counts
                 losses = []
-                for column, total in (("target_counts", n_target), ("all_counts", n_all)):
-                    counts = np.zeros(len(g.key))
-                    received = dict(zip(row["part"] or [], row[column] or [], strict=True))
-                    for part, w, p in g.slices(parts):
-                        x = _unpack(received[part])
-                        counts[w], counts[p] = np.split(x, [w.stop - w.start])
-                    uniform = (counts[g.word] + UNIFORM / vocabulary) / (total + UNIFORM)
-                    loss = np.log(counts[g.before] + BACKOFF) - np.log(counts[g.pair] + BACKOFF * uniform)
+                for n, v, total in ((target_seen, target_before, n_target), (scale * (seen - target_seen), scale * (before - target_before), scale * n_other)):
+                    p = (n[g.word] + UNIFORM / vocabulary) / (total + UNIFORM)
+                    loss = np.log(v[g.before] + BACKOFF) - np.log(n[g.pair] + BACKOFF * p)
                     losses.append(np.bincount(g.doc, loss, len(g.n_words)) / np.maximum(g.n_words, 1))
                 t, a = losses
                 none = g.n_words == 0
                 ids = b.column("ids").slice(i, 1).flatten()
                 yield pa.RecordBatch.from_arrays([ids, pa.array(g.n_words.astype(np.int64)), *[pa.array(x, mask=none) for x in (t, a, t - a)]], names)
 
-    answers = gathered(totals, "part", "all_counts", "target_counts")
+    answers = gathered(totals, "part", *_COUNTS)
     return chunks.select("chunk", "ids", "ends", "data").join(answers.hint("merge"), "chunk", "left").mapInArrow(finish, schema)

@@ -366,58 +366,26 @@ def test_importance_weights_and_draw(spark):
     assert sum(r["kept"] for r in out) >= k and not any(r["kept"] for r in out if r["log_weight"] is None)
 
 
-def test_loss_differences_match_plain_counts(spark):
-    rows = rows_of_all_kinds()
-    docs = with_target(spark, rows)
-    start = int(lm_scoring._START)
-
-    def slots(text):
-        h = [start, *(xxhash.xxh3_64_intdigest(x.encode()) for x in words(text))]
-        pair = lambda a, b: int(mix(np.array([(a * 0x9E3779B97F4A7C15 + b) % 2**64], np.uint64))[0]) % lm_scoring.PAIR_SLOTS
-        return [x % lm_scoring.WORD_SLOTS for x in h], [pair(a, b) for a, b in zip(h, h[1:], strict=False)]
-
-    def model(texts):
-        one, two = Counter(), Counter()
-        for t in texts:
-            w, p = slots(t)
-            if p:
-                one.update(w), two.update(p)
-        total = sum(one.values())
-
-        def loss(text):
-            w, p = slots(text)
-            prob = lambda a, b, ab: (two[ab] + 100 * (one[b] + 1000 / lm_scoring.WORD_SLOTS) / (total + 1000)) / (one[a] + 100)
-            return np.mean([-np.log(prob(a, b, ab)) for a, b, ab in zip(w, w[1:], p, strict=False)]) if p else None
-
-        return loss
-
-    target, background = model([r[1] for r in rows if r[0] is not None and r[0] % 3 == 0]), model([r[1] for r in rows])
-    want = {r[0]: (len(words(r[1])), target(r[1]), background(r[1])) for r in rows}
-    out = lm_scoring.score(docs, lm_scoring.fit(docs)).collect()
-    assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in rows)
-    for r in out:
-        n, t, b = want[r["doc_id"]]
-        assert r["n_words"] == n
-        if n:
-            assert np.allclose([r["target_loss"], r["background_loss"], r["loss_difference"]], [t, b, t - b], atol=1e-9)
-        else:
-            assert r["target_loss"] is r["background_loss"] is r["loss_difference"] is None
-
-
 def losses_by_strings(rows):
-    """(id, n_words, target_loss, background_loss) of each row, from exact counts of words and pairs as strings."""
+    """(id, n_words, target_loss, background_loss) of each row, from exact counts of words and pairs as strings; ids divisible by 3 are the target."""
     texts = [words(r[1]) for r in rows]
-    one, two = [Counter(), Counter()], [Counter(), Counter()]
+    one, before, two = ([Counter(), Counter()] for _ in range(3))
     for r, w in zip(rows, texts, strict=True):
-        for m in range(2 if r[0] is not None and r[0] % 3 == 0 else 1):
-            if w:
-                one[m].update([None, *w]), two[m].update(zip([None, *w], w, strict=False))
+        m = 1 if r[0] is not None and r[0] % 3 == 0 else 0
+        one[m].update(w), before[m].update([None, *w][: len(w)]), two[m].update(zip([None, *w], w, strict=False))
     total = [sum(c.values()) for c in one]
-
-    def loss(w, m):
-        prob = lambda a, b: (two[m][a, b] + 100 * (one[m][b] + 1000 / len(one[0])) / (total[m] + 1000)) / (one[m][a] + 100)
-        return np.mean([-np.log(prob(a, b)) for a, b in zip([None, *w], w, strict=False)]) if w else None
-
+    size = len(set(one[0]) | set(one[1]))
+    scale = [total[1] / total[0], 1.0]
+
+    def prob(a, b, m):
+        p = (scale[m] * one[m][b] + 1000 / size) / (scale[m] * total[m] + 1000)
+        return (scale[m] * two[m][a, b] + 100 * p) / (scale[m] * before[m][a] + 100)
+
+    some = sorted(set(one[0]) | set(one[1]))
+    for a in (None, some[0], some[-1], texts[0][-1] if texts[0] else None):
+        for m in (0, 1):
+            assert sum(prob(a, b, m) for b in some) == pytest.approx(1)
+    loss = lambda w, m: np.mean([-np.log(prob(a, b, m)) for a, b in zip([None, *w], w, strict=False)]) if w else None
     return [(r[0], len(w), loss(w, 1), loss(w, 0)) for r, w in zip(rows, texts, strict=True)]
 
 
@@ -476,7 +444,7 @@ def test_empty_tables(spark):
     for df in (
         quality_rules.quality_report(docs), ngram_join.similarity_join(docs), packing.pack_documents(docs, queries.vocabulary_path()), mixing.mix_sources(docs),
         toxicity.score(docs, toxicity.fit(docs)), embedding_dedup.near_duplicates(vectors), importance.gumbel_top_k(importance.log_weights(docs, importance.fit(docs)), 0.5),
-        lm_scoring.score(docs, lm_scoring.fit(docs)),
+        lm_scoring.loss_differences(docs),
     ):
         assert df.count() == 0
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, share
 
 WINDOW = 2048
 END_ID = 1
@@ -226,11 +226,11 @@ def pack(pieces: DataFrame, window: int = WINDOW, depth: int = 3, rows_per_group
     order = [F.col(f"`{c}`") for c in names if c not in by_length]
     ranked = salted.withColumn("__rp_rank", F.row_number().over(Window.partitionBy(*by_length).orderBy(*order)) - 1)
     ranked = ranked.join(bases, list(by_length)).select(*[F.col(f"`{c}`") for c in names], (F.col("__rp_rank") + F.col("__rp_base")).alias("__rp_rank"))
-    shared = spark.sparkContext.broadcast(plan)
+    shared = share(spark, plan)
     schema = ranked.select(*[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = shared.value
+        p = shared()
         for batch in batches:
             if not batch.num_rows:
                 continue

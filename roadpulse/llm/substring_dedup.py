@@ -4,7 +4,7 @@ Every document is cut into blocks of half a window, which don't overlap; they ar
 runs of that length of all documents probe it: a passage of a whole window that stands in two documents holds
 a whole block of either, so both are hit there. Each hit is then extended: the windows
 around it meet those of all other hit documents, and windows that follow each other make up the maximal
-repeats. Windows are compared by 64-bit hashes, after their anchors agreed on a hash of their own.
+repeats. Windows are compared by 128-bit hashes: among 10**13 windows some two that differ agree with a probability of about 10**-13.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from .common import discard, materialize
 from .textchunks import Chunk, RunHash, batch, distinct_chunks, for_all_rows, gathered, group_starts, is_in, part_of, parts_for, rows_of, shared_hashes, squeeze, unpack48, unsqueeze
 
 WINDOW = 50
+#: Words whose hashes are found together.
+_SEGMENT = 1 << 18
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -45,15 +47,21 @@ class Words:
         keep[self.end] = False
         self.data[keep] = c.data[real]
         self.first = np.searchsorted(self.doc, np.arange(len(c.ids) + 1))  # of each document
-        self.hash = RunHash(self.data)
 
-    def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def runs(self, n: int, letters: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """First word, and hash, of each run of n words that lies in one document."""
         last = len(self.doc) - n + 1
         if last <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at = np.flatnonzero(self.doc[:last] == self.doc[n - 1 :])
-        return at, self.hash(self.start[at], self.end[at + n - 1])
+        hashes = []
+        for base in range(0, last, _SEGMENT):
+            some = at[np.searchsorted(at, base) : np.searchsorted(at, base + _SEGMENT)]
+            if len(some):
+                first = self.start[some[0]]
+                hash_of = RunHash(self.data[first : self.end[some[-1] + n - 1]], letters)
+                hashes.append(hash_of(self.start[some] - first, self.end[some + n - 1] - first))
+        return at, np.concatenate(hashes or [np.zeros(0, np.uint64)])
 
 
 def _cut(h: np.ndarray) -> np.ndarray:
@@ -68,14 +76,30 @@ def _spread(at: np.ndarray, size: int, before: int, after: int) -> np.ndarray:
     return np.cumsum(d[:-1]) > 0
 
 
-def _windows(w: Words, hits: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """The windows that hold a hit."""
+def _windows(w: Words, hits: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows that hold a hit, and both halves of their hashes; in the order of the hashes."""
     block = window // 2
     at, h = w.runs(block)
     hit = at[is_in(_cut(h), [unpack48(x) for x in hits])]
     near = _spread(hit, len(w.doc), window - block, 1)
     at, h = w.runs(window)
-    return at[near[at]], h[near[at]]
+    more = w.runs(window, 1)[1]
+    at, h, more = at[near[at]], h[near[at]], more[near[at]]
+    order = _order(h, more)
+    return at[order], h[order], more[order]
+
+
+def _order(h: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """By both hashes; the second decides only where the first ones collide."""
+    order = np.argsort(h, kind="stable")
+    if len(group_starts(h[order])) != len(group_starts(h[order], more[order])):
+        order = np.lexsort((more, h))
+    return order
+
+
+def _least(ids: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """For each row the least of its group's ids; groups begin at ``g``."""
+    return np.repeat(np.minimum.reduceat(ids, g), np.diff(np.r_[g, len(ids)])) if len(g) else ids
 
 
 def _covered(chunks: DataFrame, window: int) -> DataFrame:
@@ -96,31 +120,29 @@ def _covered(chunks: DataFrame, window: int) -> DataFrame:
         for row in rows_of(batches):
             c = Chunk(row)
             w = Words(c)
-            at, h = _windows(w, row["hits"], window)
-            order = np.argsort(h, kind="stable")
-            h, ids = h[order], c.ids[w.doc[at[order]]]
-            g = group_starts(h)
+            at, h, more = _windows(w, row["hits"], window)
+            g = group_starts(h, more)
             if not len(g):
                 continue
-            h, ids = h[g], np.minimum.reduceat(ids, g)
+            ids = np.minimum.reduceat(c.ids[w.doc[at]], g)
+            h, more = h[g], more[g]
             part = part_of(_cut(h), parts)
             cuts = group_starts(part)
-            rows = [(int(part[a]), c.chunk, h[a:b].tobytes(), squeeze(ids[a:b])) for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True)]
+            rows = [(int(part[a]), c.chunk, np.concatenate([h[a:b], more[a:b]]).tobytes(), squeeze(ids[a:b])) for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True)]
             yield batch(["part", "chunk", "hashes", "ids"], rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
     def meet(t: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()]
-        h, ids = np.concatenate(lists), np.concatenate([unsqueeze(x, "<i8") for x in t.column("ids").to_pylist()])
-        order = np.argsort(h, kind="stable")
-        g = group_starts(h[order])
+        lists = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in t.column("hashes").to_pylist()]
+        (h, more), ids = np.concatenate(lists, 1), np.concatenate([unsqueeze(x, "<i8") for x in t.column("ids").to_pylist()])
+        order = _order(h, more)
         least = np.empty(len(h), np.int64)
-        least[order] = np.repeat(np.minimum.reduceat(ids[order], g), np.diff(np.r_[g, len(h)]))
-        edge = np.cumsum([0, *[len(x) for x in lists]])
-        out = [(c, x[e].tobytes()) for c, x, a, b in zip(t.column("chunk").to_pylist(), lists, edge[:-1], edge[1:], strict=True) if (e := least[a:b] < ids[a:b]).any()]
+        least[order] = _least(ids[order], group_starts(h[order], more[order]))
+        edge = np.cumsum([0, *[x.shape[1] for x in lists]])
+        out = [(c, x[:, e].tobytes()) for c, x, a, b in zip(t.column("chunk").to_pylist(), lists, edge[:-1], edge[1:], strict=True) if (e := least[a:b] < ids[a:b]).any()]
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "earlier": pa.array([x[1] for x in out], pa.binary())})
 
     sent = chunks.drop("keys").withColumn("keys", F.lit(b"")).join(hits, "chunk").mapInArrow(send, "part int, chunk long, hashes binary, ids binary")
-    earlier = gathered(sent.groupBy("part").applyInArrow(meet, "chunk long, earlier binary"), "earlier")
+    earlier = gathered(sent.repartition(parts, "part").groupBy("part").applyInArrow(meet, "chunk long, earlier binary"), "earlier")
     return materialize(hits.join(earlier, "chunk", "left"))
 
 
@@ -143,14 +165,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             w = Words(c)
             gone = np.zeros(len(w.doc), bool)
             if row["hits"]:
-                at, h = _windows(w, row["hits"], window)
-                order = np.argsort(h, kind="stable")
+                at, h, more = _windows(w, row["hits"], window)
                 ids = c.ids[w.doc[at]]
-                g = group_starts(h[order])
+                g = group_starts(h, more)
                 if len(g):
-                    least = np.empty(len(h), np.int64)
-                    least[order] = np.repeat(np.minimum.reduceat(ids[order], g), np.diff(np.r_[g, len(h)]))
-                    repeated = (least < ids) | is_in(h, [np.frombuffer(x, np.uint64) for x in row["earlier"] or []])
+                    found = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in row["earlier"] or []]
+                    known = np.concatenate(found, 1) if found else np.zeros((2, 0), np.uint64)
+                    # each group of this chunk's windows is one of those that it has sent
+                    place = np.searchsorted(h[g], known[0])
+                    hit = np.zeros(len(g), bool)
+                    if known.shape[1]:
+                        while (off := (h[g][np.minimum(place, len(g) - 1)] == known[0]) & (more[g][np.minimum(place, len(g) - 1)] != known[1]) & (place < len(g) - 1)).any():
+                            place = place + off
+                        hit[place] = True
+                    repeated = (_least(ids, g) < ids) | np.repeat(hit, np.diff(np.r_[g, len(h)]))
                     gone = _spread(at[repeated], len(w.doc), 0, window)
             out = []
             for i, (a, b) in enumerate(zip(w.first[:-1], w.first[1:], strict=True)):
@@ -169,7 +197,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield batch(names[:n], out[a : a + 500], types[:n])
 
     by_text = materialize(chunks.join(covered, "chunk", "left").mapInArrow(finish, schema))
-    discard(chunks)
+    discard(chunks, covered)
     span = F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("length"))
     whole = {"n_removed": F.col("n_words"), "spans": F.array(span), "kept_sha256": F.lit(hashlib.sha256(b"").hexdigest())} | ({"kept_text": F.lit("")} if with_text else {})
     return for_all_rows(docs, by_text, id_col, text_col, "n_words", window, whole)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, mix
+from .common import discard, materialize, mix, share
 from .textchunks import Chunk, RunHash, batch, distinct_chunks, for_all_rows, gathered, group_starts, is_in, parts_for, rows_of, shared_hashes, squeeze, unpack48, unsqueeze
 
 LENGTH = 50
@@ -128,8 +128,11 @@ def compare(words: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray)
     d = known // 8
     less, common = np.ones(len(a), bool), np.full(len(a), width * 8)
     open_ = np.flatnonzero(d < width)
+    skip: np.ndarray | None = np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * (known[open_] % 8)).astype(np.uint64)
     while len(open_):
         x, y = words[a[open_], d[open_]], words[b[open_], d[open_]]
+        if skip is not None:  # known bytes at the head of a number
+            x, y, skip = x & skip, y & skip, None
         differ = x != y
         hit = open_[differ]
         less[hit] = x[differ] < y[differ]
@@ -373,13 +376,13 @@ def _boundaries(runs: DataFrame) -> tuple[np.ndarray, int]:
 def _marks(runs: DataFrame) -> DataFrame:
     """(chunk, entries, masks): the strings of each run that a smaller id has in any run."""
     bounds, salts = _boundaries(runs)
-    shared = runs.sparkSession.sparkContext.broadcast(bounds)  # at most MOST_RANGES suffixes
+    shared = share(runs.sparkSession, bounds)  # at most MOST_RANGES suffixes
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             s, common = front_decode(row["coded"], row["n"])
             least = unsqueeze(row["least"], "<i8")
-            place = np.searchsorted(shared.value, _keys(s), side="right")
+            place = np.searchsorted(shared(), _keys(s), side="right")
             if salts > 1:
                 w = _as_words(s[:, :ANCHOR])
                 salt = (mix(w[:, 0] ^ mix(w[:, 1] ^ mix(w[:, 2] ^ mix(w[:, 3])))) % np.uint64(salts)).astype(np.int64)
@@ -412,7 +415,8 @@ def _marks(runs: DataFrame) -> DataFrame:
         return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("entries", pa.binary()), ("masks", pa.binary())]))
 
     sent = runs.select("chunk", "n", "coded", "least").mapInArrow(send, "range int, chunk long, n long, coded binary, least binary, entries binary")
-    return gathered(sent.groupBy("range").applyInArrow(merge, "chunk long, entries binary, masks binary"), "entries", "masks")
+    groups = (len(bounds) + 1) * salts
+    return gathered(sent.repartition(groups, "range").groupBy("range").applyInArrow(merge, "chunk long, entries binary, masks binary"), "entries", "masks")
 
 
 def _removed(c: Chunk, row: dict) -> np.ndarray:
@@ -468,8 +472,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     members = runs.select("chunk", "least", "at", "entry", "low", "high").join(marks, "chunk", "left")
     by_text = materialize(chunks.join(members, "chunk", "left").mapInArrow(finish, schema))
-    discard(chunks)
-    discard(runs)
+    discard(chunks, runs, marks)
     span = F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("length"))
     whole = {"n_removed": F.col("n_bytes"), "spans": F.array(span), "kept_sha256": F.lit(hashlib.sha256(b"").hexdigest())} | ({"kept_text": F.lit("")} if with_text else {})
     return for_all_rows(docs, by_text, id_col, text_col, "n_bytes", LENGTH, whole, keep)

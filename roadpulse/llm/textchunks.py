@@ -24,7 +24,8 @@ GROUP = 8 << 20
 LAST_ID = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
-_LETTERS = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Of 64-bit hashes of bytes; two of them make 128 bits.
+_LETTERS = np.random.default_rng(50).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 # ---- packing -----------------------------------------------------------------------------------
@@ -73,11 +74,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class RunHash:
     """64-bit hashes of any runs of bytes of one array; one pass, then two look-ups for each run."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, letters: int = 0):
         self.up, self.down = _powers(len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         with np.errstate(over="ignore"):
-            np.cumsum(_LETTERS[data] * self.up[: len(data)], out=self.sums[1:])
+            np.cumsum(_LETTERS[letters][data] * self.up[: len(data)], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -158,8 +159,11 @@ def split_by_part(v: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
         yield int(part[a]), slice(int(a), int(b))
 
 
-def group_starts(sorted_values: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.zeros(0, np.int64)
+def group_starts(*sorted_values: np.ndarray) -> np.ndarray:
+    """Where groups of equal rows begin."""
+    if not len(sorted_values[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.r_[True, np.any([v[1:] != v[:-1] for v in sorted_values], 0)])
 
 
 def shared_hashes(chunks: DataFrame, emit: Callable[[Chunk], tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int) -> DataFrame:
@@ -201,7 +205,7 @@ def shared_hashes(chunks: DataFrame, emit: Callable[[Chunk], tuple[np.ndarray, n
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "hits": pa.array([x[1] for x in out], pa.binary())})
 
     sent = chunks.drop("keys").withColumn("keys", F.lit(b"")).mapInArrow(send, "part int, chunk long, hashes binary, flags binary")
-    return sent.groupBy("part").applyInArrow(meet, "chunk long, hits binary")
+    return sent.repartition(parts, "part").groupBy("part").applyInArrow(meet, "chunk long, hits binary")
 
 
 def is_in(v: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import mixing, ngram_join, packing, quality_rules, suffix_dedup
-from roadpulse.llm.common import materialize, read
+from roadpulse.llm.common import discard, materialize, read
 from roadpulse.llm.queries import vocabulary_path
 
 
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, stored = read(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
+        if stored is not None:
+            discard(stored)
+        stored = docs
     return STAGES[-1][1](spark, docs, sf_dir)

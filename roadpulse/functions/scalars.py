@@ -21,10 +21,15 @@ def safe_double(text: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+#: Tried where a time isn't in ISO form.
+TIME_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "M/d/yyyy")
+
+
 def safe_timestamp(text: Column, *formats: str) -> Column:
-    """Wall-clock time or null; an offset at the end is dropped. ``formats`` are tried where the text isn't ISO."""
+    """Wall-clock time or null; an offset at the end is dropped. ``formats`` (TIME_FORMATS if none are given) are tried where the text isn't ISO."""
     local = F.regexp_replace(F.trim(text), r"(Z|[+-]\d{2}:?\d{2})$", "")
-    return F.coalesce(F.when(local.rlike(r"\d{4}-"), local).try_cast("timestamp_ntz"), *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    other = [F.try_to_timestamp(F.trim(text), F.lit(f)).cast("timestamp_ntz") for f in formats or TIME_FORMATS]
+    return F.coalesce(F.when(local.rlike(r"\d{4}-"), local).try_cast("timestamp_ntz"), *other)
 
 
 def micros(time: Column) -> Column:
@@ -64,8 +69,17 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def exact(value: Column) -> Column:
-    """As a decimal, so that sums don't depend on the order of rows."""
-    return value.cast("decimal(18,4)")
+    """As a decimal, so that sums don't depend on the order of rows; null for infinities and numbers from a milliard on, whose sums could overflow."""
+    return F.when(F.abs(value) < 1e9, value).try_cast("decimal(19,10)")
+
+
+def inexact(value: Column) -> Column:
+    """The numbers that ``exact`` can't hold; null for all others."""
+    return F.when(exact(value).isNull(), value)
+
+
+def total(sum_exact: Column, sum_inexact: Column) -> Column:
+    return sum_exact.cast("double") + F.coalesce(sum_inexact, F.lit(0.0))
 
 
 def clip_percent(value: Column) -> Column:

@@ -9,6 +9,7 @@ from roadpulse.config import CorridorConfig
 from roadpulse.functions import geometry as g
 from roadpulse.functions.scalars import elapsed_micros, heading_difference, link_family
 from roadpulse.operators.sequence import journey_order
+from roadpulse.operators.speed import posted_speed
 
 #: Successor rows that the driver takes at once; larger tables are looked up step by step.
 DRIVER_ROWS = 100_000
@@ -62,10 +63,20 @@ def walk(network: DataFrame, transitions: DataFrame, config: CorridorConfig = Co
 
     The next link depends on the current one alone, so all choices are made by one distributed job. The walk follows them:
     a small table is taken to the driver (its size is checked), of a large one a row for each step. It stops
-    at a dead end or at a link that it has visited. Without a start it is empty.
+    at a dead end or at a link that it has visited. Without a start (no transitions out of a link of the network) it is empty: no error.
     """
     spark = network.sparkSession
+    transitions = transitions.persist()
     choices = next_link_choices(network, transitions).persist()
+    try:
+        rows = _walked(choices, transitions, network, config)
+    finally:
+        choices.unpersist()
+        transitions.unpersist()
+    return spark.createDataFrame(rows, "corridor_order int, link_key string, transition_support long, selection_method string")
+
+
+def _walked(choices: DataFrame, transitions: DataFrame, network: DataFrame, config: CorridorConfig) -> list[tuple]:
     totals = outgoing_totals(transitions)
     if config.start_link is None:
         found = start_link(transitions, network).collect()
@@ -86,19 +97,20 @@ def walk(network: DataFrame, transitions: DataFrame, config: CorridorConfig = Co
             if step is None:
                 break
             link, support, method = step["next_link"], step["support"], step["selection_method"]
-    choices.unpersist()
-    return spark.createDataFrame(rows, "corridor_order int, link_key string, transition_support long, selection_method string")
+    return rows
 
 
 def with_attributes(corridor: DataFrame, network: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
     """The corridor with its links' attributes, running distance, and how each link joins the one before.
 
-    A corridor has at most ``max_links`` rows, so one ordered window is fine.
+    A corridor has at most ``max_links`` rows (that many are broadcast), so one ordered window is fine.
     """
     w = Window.orderBy("corridor_order")
     size = F.coalesce("length", F.lit(0.0))
     scale = 1.0 if config.distance_unit == "crs" else 1 / g.US_FOOT
-    rows = F.broadcast(corridor).join(network, "link_key", "left").withColumn("lines", g.parse_lines(F.col("geometry")))
+    # the network is cut down to the corridor's links before anything else is done with it
+    own = network.join(F.broadcast(corridor.select("link_key")), "link_key", "left_semi")
+    rows = corridor.join(F.broadcast(own), "link_key", "left").withColumn("lines", g.parse_lines(F.col("geometry")))
     rows = rows.withColumns({
         "link_length_ft": F.col("length"),
         "distance_end_ft": F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)),
@@ -117,3 +129,22 @@ def with_attributes(corridor: DataFrame, network: DataFrame, config: CorridorCon
 
 def corridor_length(corridor: DataFrame) -> DataFrame:
     return corridor.agg(F.coalesce(F.sum("link_length_ft"), F.lit(0.0)).alias("total_length_ft"), F.count("*").alias("links"))
+
+
+#: The corridor's table, in this order; columns that the network lacks are left out.
+CORRIDOR_COLUMNS = [
+    "corridor_order", "link_key", "from_node_id", "to_node_id", "Matched_GID", "txdot_gid",
+    "heading", "transition_support", "selection_method", "link_length_ft", "distance_start_ft",
+    "distance_end_ft", "topology_connected_from_previous", "geometry_connection_gap_ft",
+    "posted_speed_limit_mph", "txdot_link_id", "txdot_match_distance_ft",
+    "txdot_heading_difference_deg", "txdot_candidate_count", "txdot_valid_speed_candidate_count",
+    "speed_match_status", "name", "facility_type", "RDBD_TYPE", "Functional Class", "geometry",
+]
+
+
+def build_corridor(observations: DataFrame, network: DataFrame, segments: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
+    """The finished corridor: walk, attributes and posted speed, at most ``max_links`` rows, which are computed here and now."""
+    links = with_attributes(walk(network, link_transitions(observations, config.gap_s), config), network, config)
+    links = links.join(posted_speed(links, segments, config), "link_key", "left")
+    out = links.select(*[F.col(f"`{c}`") for c in CORRIDOR_COLUMNS if c in links.columns])
+    return network.sparkSession.createDataFrame(out.limit(config.max_links).collect(), out.schema)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.config import FIVE_MINUTES, MoeConfig
-from roadpulse.functions.scalars import elapsed_micros, exact, ratio, time_bin
+from roadpulse.functions.scalars import elapsed_micros, exact, inexact, ratio, time_bin, total
 from roadpulse.operators.sequence import journey_order, with_segments
 
 
@@ -19,40 +19,61 @@ def selected(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(links.select("link_key").dropna().distinct(), "link_key", "left_semi")
 
 
-def valid_waypoints(segments: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
+def _valid(config: MoeConfig) -> Column:
     ok = F.col("speed_mph") >= 0
-    return selected(segments.filter(ok & F.col("event_time").isNotNull() if config.require_time else ok), links)
+    return F.coalesce(ok & F.col("event_time").isNotNull() if config.require_time else ok, F.lit(False))
 
 
-def run_stats(segments: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
-    """Sums by run (and bin): what both the waypoint and the speed-harmony measures need, from one pass.
+def valid_waypoints(segments: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
+    return selected(segments.filter(_valid(config)), links)
+
+
+def binned_runs(segments: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
+    """One row per run (and bin) on any link, with its sums and first time: what all measures need, from one pass.
 
     A change of speed is taken between valid rows that follow each other in a run, so it bridges rows without
-    a valid speed. Runs and bins rise in the journey's order, so the order of the trips serves here too.
+    a valid speed. Runs and bins rise in the journey's order, so the order of the trips serves here too, and so does its
+    distribution by journey. Speeds are summed as decimals; those that no decimal holds (infinite ones) apart.
     """
     groups = [*keys(config), "journey_id", "trip_segment", "run_id"]
-    speed = exact(F.col("speed_mph"))
     inner = [c for c in ("run_id", "time_bin") if c in groups]
-    before = F.lag(F.struct(*inner, speed.alias("speed"))).over(journey_order())
-    rows = valid_waypoints(segments, links, config).withColumn("before", before)
-    same = F.lit(True)
+    valid = _valid(config)
+    earlier = journey_order().rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(F.when(valid, F.struct(*inner, "speed_mph")), ignorenulls=True).over(earlier)
+    rows = segments.withColumns({"valid": valid, "before": before})
+    same = F.col("valid")
     for c in inner:
         same = same & F.col(c).eqNullSafe(F.col(f"before.{c}"))
-    slow = F.col("speed_mph") < config.slow_mph
-    return rows.groupBy(*groups).agg(
-        F.count("*").alias("n"),
-        F.sum(speed).alias("speed_sum"),
+    speed, slow = F.when(F.col("valid"), F.col("speed_mph")), F.col("valid") & (F.col("speed_mph") < config.slow_mph)
+    jump = F.when(same, F.abs(F.col("speed_mph") - F.col("before.speed_mph")))
+    fine = F.when(same, F.abs(exact(F.col("speed_mph")) - exact(F.col("before.speed_mph"))))
+    zero = F.lit(0).cast("decimal(38,10)")
+    return rows.filter(F.col("link_key").isNotNull()).groupBy(*groups).agg(
+        F.count_if("valid").alias("n"),
+        F.coalesce(F.sum(exact(speed)), zero).alias("speed_sum"),
+        F.sum(inexact(speed)).alias("speed_more"),
         F.count_if(slow).alias("slow"),
-        F.sum(F.when(slow, speed).otherwise(0).cast("decimal(18,4)")).alias("slow_sum"),
-        F.coalesce(F.sum(F.when(same, F.abs(speed - F.col("before.speed")))), F.lit(0)).cast("decimal(28,4)").alias("change_sum"),
+        F.coalesce(F.sum(exact(F.when(slow, speed))), zero).alias("slow_sum"),
+        F.coalesce(F.sum(fine), zero).alias("change_sum"),
+        F.sum(F.when(fine.isNull(), jump)).alias("change_more"),
+        F.min("event_time").alias("first_time"),
     )
 
 
+def run_stats(segments: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
+    """The runs (and bins) with valid waypoints on the given links."""
+    return selected(binned_runs(segments, config).filter("n > 0").drop("first_time"), links)
+
+
+def _dsh() -> Column:
+    return total(F.col("change_sum"), F.col("change_more")) / F.col("n")
+
+
 def waypoint_metrics(stats: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
     return stats.groupBy(*keys(config)).agg(
         F.sum("n").alias("waypoint_count"),
         F.count_distinct("journey_id").alias("journey_count"),
-        F.sum("speed_sum").cast("double").alias("total_speed"),
+        total(F.sum("speed_sum"), F.sum("speed_more")).alias("total_speed"),
         F.sum("slow").alias("slow_movement_count"),
         F.sum("slow_sum").cast("double").alias("slow_speed_sum"),
     )
@@ -60,7 +81,7 @@ def waypoint_metrics(stats: DataFrame, config: MoeConfig = FIVE_MINUTES) -> Data
 
 def dsh_runs(stats: DataFrame) -> DataFrame:
     """Speed harmony of each run: the sum of changes over the number of speeds (not of changes)."""
-    return stats.withColumn("trip_dsh", F.col("change_sum").cast("double") / F.col("n"))
+    return stats.withColumn("trip_dsh", _dsh())
 
 
 def dsh_metrics(stats: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
@@ -87,37 +108,54 @@ def travel_time_metrics(crossings: DataFrame, config: MoeConfig = FIVE_MINUTES)
     return rows.groupBy(*keys(config)).agg(F.count("*").alias("complete_traversal_count"), (F.sum("travel_time_us") / 1_000_000.0).alias("travel_time_sum_s"))
 
 
+def _with_travel(runs: DataFrame) -> DataFrame:
+    """Runs (and bins) with ``travel_time_us`` where a complete traversal begins: from a run's first time to that of the next run of the trip.
+
+    Runs of a trip have consecutive numbers, so their neighbours are one number away.
+    """
+    trip = Window.partitionBy("journey_id", "trip_segment").orderBy("run_id")
+    beside = lambda c, k: F.min(c).over(trip.rangeBetween(k, k))
+    runs = runs.withColumns({"entry": beside("first_time", 0), "previous_link": beside("link_key", -1), "next_link": beside("link_key", 1), "next_entry": beside("first_time", 1)})
+    took = elapsed_micros(F.col("entry"), F.col("next_entry"))
+    complete = (F.col("first_time") == F.col("entry")) & F.col("previous_link").isNotNull() & F.col("next_link").isNotNull() & (took > 0)
+    return runs.withColumn("travel_time_us", F.when(complete, took))
+
+
 def _combined(observations: DataFrame, links: DataFrame, config: MoeConfig) -> DataFrame:
-    segments = with_segments(observations, config)
+    """All sums by link (and bin). One scan and one shuffle by journey; each journey's share of a cell is summed there, then one shuffle by cell."""
     by = keys(config)
-    stats = run_stats(segments, links, config)
-    measures = stats.withColumn("trip_dsh", F.col("change_sum").cast("double") / F.col("n")).groupBy(*by).agg(
-        F.sum("n").alias("waypoint_count"),
-        F.count_distinct("journey_id").alias("journey_count"),
-        F.sum("speed_sum").cast("double").alias("total_speed"),
-        F.sum("slow").alias("slow_movement_count"),
-        F.sum("slow_sum").cast("double").alias("slow_speed_sum"),
-        F.count("*").alias("dsh_trip_count"),
-        F.sum("trip_dsh").alias("dsh_sum"),
-    )
-    travel = travel_time_metrics(traversals(segments, links), config)
-    return measures.join(travel, by, "left").withColumns({
-        "slow_movement_pct": ratio(F.col("slow_speed_sum"), F.col("total_speed")) * 100.0,
-        "DSH": F.round(F.col("dsh_sum") / F.col("dsh_trip_count"), 9),
-        "avg_travel_time_s": F.round(F.col("travel_time_sum_s") / F.col("complete_traversal_count"), 6),
+    runs = selected(_with_travel(binned_runs(with_segments(observations, config), config)), links)
+    sums = ["n", "speed_sum", "speed_more", "slow", "slow_sum", "runs", "dsh", "crossed", "travel"]
+    own = runs.withColumns({
+        "runs": (F.col("n") > 0).cast("long"), "dsh": F.when(F.col("n") > 0, _dsh()), "crossed": F.col("travel_time_us").isNotNull().cast("long"), "travel": F.col("travel_time_us"),
     })
+    journeys = own.groupBy(*by, "journey_id").agg(*[F.sum(c).alias(c) for c in sums])
+    cells = journeys.groupBy(*by).agg(F.count_if(F.col("n") > 0).alias("journey_count"), *[F.sum(c).alias(c) for c in sums]).filter("n > 0")
+    speed = total(F.col("speed_sum"), F.col("speed_more"))
+    crossed = F.when(F.col("crossed") > 0, F.col("crossed"))
+    return cells.select(
+        *by, F.col("n").alias("waypoint_count"), "journey_count", speed.alias("total_speed"), F.col("slow").alias("slow_movement_count"), F.col("slow_sum").cast("double").alias("slow_speed_sum"),
+        (ratio(F.col("slow_sum").cast("double"), speed) * 100.0).alias("slow_movement_pct"), F.col("runs").alias("dsh_trip_count"), F.round(F.col("dsh") / F.col("runs"), 9).alias("DSH"),
+        crossed.alias("complete_traversal_count"), F.round(F.col("travel") / 1_000_000.0 / F.col("crossed"), 6).alias("avg_travel_time_s"),
+    )
 
 
 MOE_COLUMNS = ["waypoint_count", "journey_count", "slow_movement_count", "slow_movement_pct", "dsh_trip_count", "DSH", "complete_traversal_count", "avg_travel_time_s"]
 
 
+CORRIDOR_MOE_COLUMNS = ["corridor_order", "link_key", "time_bin", "distance_start_ft", "distance_end_ft", "link_length_ft", "posted_speed_limit_mph", "avg_speed_mph", "speed_reduction_pct", *MOE_COLUMNS]
+
+
 def link_moe(observations: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
     """All measures of the given links. A cell without valid waypoints has no row; one without complete traversals has nulls there."""
     return _combined(observations, links, config).select(*keys(config), *MOE_COLUMNS)
 
 
 def corridor_moe(observations: DataFrame, corridor: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
-    """The measures of a corridor's links with mean speed and its reduction against the posted limit."""
+    """The measures of a corridor's links with mean speed and its reduction against the posted limit.
+
+    ``corridor`` should be a stored table (as of ``corridor.build_corridor``), as it is read twice.
+    """
     own = ["corridor_order", "link_key", "distance_start_ft", "distance_end_ft", "link_length_ft", "posted_speed_limit_mph"]
     moe = _combined(observations, corridor, config).withColumn("avg_speed_mph", F.col("total_speed") / F.col("waypoint_count"))
     limit = F.col("posted_speed_limit_mph")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as g
@@ -23,17 +23,32 @@ def _ranked(links: DataFrame) -> DataFrame:
     return links.withColumn("rank", F.row_number().over(Window.orderBy(F.col("total_waypoints").desc(), "link_key")))
 
 
-def heatmap_grid(moe: DataFrame, metric: str, n: int = 30) -> DataFrame:
-    """(rank, link_key, time_bin, label, value) for the top links and every time at which one of them has a value."""
+def _values(moe: DataFrame, metrics: list[str]) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
+
+
+def _with_times(rows: DataFrame, times: DataFrame, *by: str) -> DataFrame:
+    """Every row at every time of its ``by``. The times travel as one array: 8 bytes for each five minutes, less than 1 MB a year."""
+    lists = times.groupBy(*by).agg(F.sort_array(F.collect_set("time_bin")).alias("times"))
+    both = rows.join(lists, list(by)) if by else rows.crossJoin(F.broadcast(lists))  # one row
+    return both.withColumn("time_bin", F.explode("times")).drop("times")
+
+
+def heatmap_grid(moe: DataFrame, *metrics: str, n: int = 30) -> DataFrame:
+    """(metric, rank, link_key, time_bin, label, value) for the top links and every time at which one of them has a value of the metric.
+
+    ``moe`` should be a stored table, as it is read several times.
+    """
     links = _ranked(top_links(moe, n)).select("rank", "link_key")
-    cells = moe.join(F.broadcast(links), "link_key").groupBy("rank", "link_key", "time_bin").agg(F.avg(metric).alias("value"))
-    times = cells.filter(F.col("value").isNotNull()).select("time_bin").distinct()
-    grid = links.join(F.broadcast(times), how="cross")  # at most n rows with the times of one day
-    return grid.join(cells.drop("rank"), ["link_key", "time_bin"], "left").select("rank", "link_key", "time_bin", clock(F.col("time_bin")).alias("label"), "value")
+    cells = moe.join(F.broadcast(links), "link_key").select("rank", "link_key", "time_bin", _values(moe, list(metrics or HEATMAP_METRICS)).alias("v"))
+    cells = cells.groupBy("rank", "link_key", "time_bin", F.col("v.metric").alias("metric")).agg(F.avg("v.value").alias("value"))
+    rows = links.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics or HEATMAP_METRICS])))
+    grid = _with_times(rows, cells.filter(F.col("value").isNotNull()), "metric")
+    return grid.join(cells.drop("rank"), ["metric", "link_key", "time_bin"], "left").select("metric", "rank", "link_key", "time_bin", clock(F.col("time_bin")).alias("label"), "value")
 
 
 def pivoted(grid: DataFrame) -> DataFrame:
-    """One row per link and one column per time."""
+    """One row per link and one column per time, of the grid of one metric; of times at the same clock on several days the mean."""
     return grid.groupBy("rank", "link_key").pivot("label").agg(F.avg("value")).orderBy("rank")
 
 
@@ -44,14 +59,30 @@ def time_step(moe: DataFrame) -> DataFrame:
     return gaps.agg(F.coalesce(F.expr("percentile(gap, 0.5)") / 1_000_000.0, F.lit(300.0)).alias("step_s"))
 
 
-def timespace_grid(moe: DataFrame, metric: str, mode: str | None = None) -> DataFrame:
-    """Every link of a corridor's measures at every time, with its stretch of the corridor; links without measures have no row."""
+def timespace_grid(moe: DataFrame, metrics: dict[str, str] = TIMESPACE_METRICS) -> DataFrame:
+    """(metric, ...) for every link of a corridor's measures at every time, with its stretch of the corridor; links without measures have no row.
+
+    ``moe`` should be a stored table, as it is read several times.
+    """
     links = moe.select("corridor_order", "link_key", "distance_start_ft", "distance_end_ft").dropDuplicates(["link_key"])
-    times = moe.select("time_bin").dropna().distinct()
-    cells = moe.groupBy("link_key", "time_bin").agg(F.avg(metric).alias("value"))
-    grid = links.join(F.broadcast(times), how="cross").join(cells, ["link_key", "time_bin"], "left")  # at most 40 links
-    value = clip_percent(F.col("value")) if mode == "percent_clip" else F.col("value")
-    return grid.select("corridor_order", "link_key", "time_bin", "distance_start_ft", "distance_end_ft", value.alias("value"))
+    cells = moe.filter(F.col("time_bin").isNotNull()).select("link_key", "time_bin", _values(moe, list(metrics)).alias("v"))
+    cells = cells.groupBy("link_key", "time_bin", F.col("v.metric").alias("metric")).agg(F.avg("v.value").alias("value"))
+    rows = links.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
+    grid = _with_times(rows, moe.filter(F.col("time_bin").isNotNull())).join(cells, ["metric", "link_key", "time_bin"], "left")
+    clipped = [m for m, mode in metrics.items() if mode == "percent_clip"]
+    value = F.when(F.col("metric").isin(*clipped), clip_percent(F.col("value"))).otherwise(F.col("value")) if clipped else F.col("value")
+    return grid.select("metric", "corridor_order", "link_key", "time_bin", "distance_start_ft", "distance_end_ft", value.alias("value"))
+
+
+def timespace_edges(moe: DataFrame) -> DataFrame:
+    """One row: the edges of the grid's cells, along the corridor (y_edges, as floats) and in time (x_edges, one step beyond the last time)."""
+    links = moe.select("corridor_order", "link_key", "distance_start_ft", "distance_end_ft").dropDuplicates(["link_key"])
+    stretch = F.sort_array(F.collect_list(F.struct("corridor_order", "distance_start_ft", "distance_end_ft")))
+    along = links.agg(stretch.alias("s")).select(F.concat(F.transform(F.slice("s", 1, 1), lambda x: x["distance_start_ft"]), F.transform("s", lambda x: x["distance_end_ft"])).alias("y_edges"))
+    times = moe.agg(F.sort_array(F.collect_set("time_bin")).alias("t"))
+    last = F.timestamp_add("MICROSECOND", (F.col("step_s") * 1_000_000).cast("long"), F.element_at("t", -1))
+    x = F.when(F.size("t") > 0, F.concat("t", F.array(last))).otherwise(F.col("t"))
+    return along.crossJoin(times).crossJoin(time_step(moe)).select("y_edges", x.alias("x_edges"))  # one row each
 
 
 def color_limits(moe: DataFrame, metrics: dict[str, str] = TIMESPACE_METRICS) -> DataFrame:
@@ -95,9 +126,19 @@ def map_points(corridor: DataFrame) -> DataFrame:
     return rows.select("corridor_order", "link_key", "distance_start_ft", "distance_end_ft", *cols, *urls)
 
 
+def _suffixed(right: DataFrame, left: DataFrame, suffix: str) -> DataFrame:
+    """``right`` with a suffix on the columns, but for link_key, that ``left`` has too."""
+    return right.select("link_key", *[F.col(f"`{c}`").alias(f"{c}{suffix}" if c in left.columns else c) for c in right.columns if c != "link_key"])
+
+
 def diagnostic(corridor: DataFrame, network: DataFrame, summary: DataFrame) -> DataFrame:
     """The corridor with the network's attributes (suffix _network where names clash), map points and the summary of its measures."""
-    extra = [c for c in network.columns if c != "link_key"]
-    right = network.select("link_key", *[F.col(f"`{c}`").alias(f"{c}_network" if c in corridor.columns else c) for c in extra])
+    own = network.join(F.broadcast(corridor.select("link_key")), "link_key", "left_semi")  # a corridor is a few dozen links
     points = map_points(corridor).drop("corridor_order", "distance_start_ft", "distance_end_ft")
-    return corridor.join(right, "link_key", "left").join(points, "link_key", "left").join(summary, "link_key", "left")
+    return corridor.join(_suffixed(own, corridor, "_network"), "link_key", "left").join(points, "link_key", "left").join(summary, "link_key", "left")
+
+
+def export_layer(network: DataFrame, corridor: DataFrame) -> DataFrame:
+    """The network's links that are in the corridor, in its order, with the corridor's attributes but its geometry (suffix _corridor where names clash)."""
+    own = network.join(F.broadcast(corridor.select("link_key")), "link_key", "left_semi")  # a corridor is a few dozen links
+    return own.join(_suffixed(corridor.drop("geometry"), network, "_corridor"), "link_key", "left").orderBy(F.col("corridor_order").cast("int"))

@@ -17,13 +17,13 @@ def _links(corridor: DataFrame) -> DataFrame:
 def speed_candidates(corridor: DataFrame, segments: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
     """Segments with a link's identifier and a geometry, with distance from the link's midpoint and turn between headings.
 
-    The corridor is at most ``max_links`` rows, so it is the broadcast side; segments that match none don't shuffle.
+    A corridor is at most ``max_links`` rows: Spark broadcasts it then, and segments that match none don't shuffle. A whole network joins by shuffle.
     """
     scale = 1.0 if config.distance_unit == "crs" else 1 / g.US_FOOT
     parts = segments.select(
         F.col("LinkID").alias("segment_id"), normalize_gid(F.col("GID")).alias("gid"), F.col("Heading").alias("segment_heading"), F.col("SpeedLimit").alias("limit"), g.parse_lines(F.col("Geometry")).alias("segment")
     ).filter(F.col("segment").isNotNull())
-    pairs = parts.join(F.broadcast(_links(corridor)), "gid")
+    pairs = parts.join(_links(corridor), "gid")
     pairs = pairs.withColumns({"middle": g.midpoint(F.col("line")), "segment": g.project(F.col("segment"))})
     return pairs.select(
         "link_key", "segment_id", "limit",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from roadpulse.functions import geometry as g
-from roadpulse.operators.report import TIMESPACE_METRICS
+from roadpulse.operators.report import HEATMAP_METRICS, TIMESPACE_METRICS
 from roadpulse.plans.fixtures import NETWORK_SQL, OBSERVATIONS_SQL, SEGMENTS_SQL, duck
 
 
@@ -26,7 +26,7 @@ def _line(table: str, cols: str, geometry: str) -> str:
 
 _GID = "CASE WHEN regexp_replace(trim({0}), '\\.0$', '') NOT IN ('', 'nan', 'None', '-1') THEN regexp_replace(trim({0}), '\\.0$', '') END"
 _TURN = "abs((({0} - {1} + 180.0) % 360 + 360) % 360 - 180.0)"
-_SPEED = "CAST(speed_mph AS DECIMAL(18,4))"
+_SPEED = "CAST(speed_mph AS DECIMAL(28,10))"
 _MEASURES = "waypoint_count, journey_count, slow_movement_count, slow_speed_sum / nullif(total_speed, 0) * 100.0 AS slow_movement_pct, dsh_trip_count, round(dsh_total / dsh_trip_count, 9) AS DSH, complete_traversal_count, round(travel_time_sum_s / complete_traversal_count, 6) AS avg_travel_time_s"
 
 
@@ -66,7 +66,7 @@ STEPS = {
     "obs": OBSERVATIONS_SQL,
     "net": duck(NETWORK_SQL),
     "seg": duck(SEGMENTS_SQL),
-    "links": "SELECT link_key FROM net WHERE net_id < 100 AND net_id % 3 = 0",
+    "links": "SELECT link_key FROM net WHERE net_id < 100",
     "spine": """SELECT obs_id, journey_id, event_time, speed_mph, link_key, time_bucket(INTERVAL '5 minutes', event_time) AS time_bin, (sum(nt) OVER w)::BIGINT AS trip_segment, (sum(nr) OVER w)::BIGINT AS run_id FROM (
       SELECT *, CASE WHEN nt = 1 OR link_key <> pl THEN 1 ELSE 0 END AS nr FROM (
         SELECT *, CASE WHEN link_key IS NULL OR pl IS NULL OR epoch_us(event_time) - epoch_us(pt) > 120000000 THEN 1 ELSE 0 END AS nt FROM (
@@ -106,8 +106,16 @@ STEPS = {
     "cmoe": f"""SELECT corridor_order, link_key, time_bin, distance_start_ft, distance_end_ft, link_length_ft, posted_speed_limit_mph, avg_speed_mph,
       CASE WHEN posted_speed_limit_mph > 0 THEN (posted_speed_limit_mph - avg_speed_mph) / posted_speed_limit_mph * 100.0 END AS speed_reduction_pct, {_MEASURES}
       FROM (SELECT *, total_speed / waypoint_count AS avg_speed_mph FROM wayc) LEFT JOIN trac USING (link_key, time_bin) LEFT JOIN corr USING (link_key) LEFT JOIN speed USING (link_key)""",
-    "top": "SELECT link_key, sum(waypoint_count)::BIGINT AS total_waypoints FROM moe5 GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 10",
+    "top": "SELECT link_key, sum(waypoint_count)::BIGINT AS total_waypoints FROM moe5 GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 30",
     "rank": "SELECT row_number() OVER (ORDER BY total_waypoints DESC, link_key) AS rank, link_key FROM top",
+    "ctab": """SELECT c.corridor_order, link_key, n.from_node_id, n.to_node_id, n.Matched_GID, s.txdot_gid, n.heading, c.transition_support, c.selection_method, c.link_length_ft, c.distance_start_ft, c.distance_end_ft,
+      CASE WHEN c.corridor_order > 1 THEN c.topology_connected_from_previous END AS topology_connected_from_previous, c.geometry_connection_gap_ft, s.posted_speed_limit_mph, s.txdot_link_id, s.txdot_match_distance_ft,
+      s.txdot_heading_difference_deg, s.txdot_candidate_count, s.txdot_valid_speed_candidate_count, s.speed_match_status, n.name, n.geometry FROM corr c JOIN net n USING (link_key) LEFT JOIN speed s USING (link_key)""",
+    "heat": " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, rank, link_key, time_bin, strftime(time_bin, '%H:%M') AS label, CAST({m} AS DOUBLE) AS value FROM rank CROSS JOIN (SELECT DISTINCT time_bin FROM moe5 JOIN rank USING (link_key) WHERE {m} IS NOT NULL) LEFT JOIN moe5 USING (link_key, time_bin)"
+        for m in HEATMAP_METRICS
+    ),
+    "steps": "SELECT coalesce(median(gap) / 1000000.0, 300.0) AS step_s FROM (SELECT epoch_us(time_bin) - epoch_us(lag(time_bin) OVER (ORDER BY time_bin)) AS gap FROM (SELECT DISTINCT time_bin FROM cmoe))",
     "summ": """SELECT link_key, round(avg(avg_speed_mph), 6) AS mean_avg_speed_mph, round(avg(speed_reduction_pct), 6) AS mean_speed_reduction_pct, round(max(speed_reduction_pct), 6) AS max_speed_reduction_pct,
       round(avg(avg_travel_time_s), 6) AS mean_avg_travel_time_s, sum(waypoint_count)::BIGINT AS total_waypoints, round(avg(slow_movement_pct), 6) AS mean_slow_movement_pct, round(avg(DSH), 6) AS "mean_DSH", coalesce(sum(complete_traversal_count), 0)::BIGINT AS total_complete_traversals FROM cmoe GROUP BY link_key""",
 }
@@ -117,6 +125,7 @@ _POINTS = ", ".join(
     f"round({y}, 9) AS {n}_lat, round({x}, 9) AS {n}_lon, coalesce({_URL.format(f'round({y}, 9)', f'round({x}, 9)')}, '') AS {n}_google_maps_url"
     for n, x, y in (("start", "x1", "y1"), ("mid", "(x1 + 0.5 * (x2 - x1))", "(y1 + 0.5 * (y2 - y1))"), ("end", "x2", "y2"))
 )
+_LABELS = ", ".join(f"max(value) FILTER (label = '{19 + k // 12}:{k % 12 * 5:02}') AS \"{19 + k // 12}:{k % 12 * 5:02}\"" for k in range(15))
 _WAY = "waypoint_count, journey_count, total_speed, slow_movement_count, slow_speed_sum"
 
 FINAL = {
@@ -146,10 +155,26 @@ FINAL = {
     "posted_speed": "SELECT * FROM speed",
     "corridor_moe_5min": "SELECT * FROM cmoe",
     "top_links": "SELECT * FROM top",
-    "heatmap_grid": "SELECT rank, link_key, time_bin, strftime(time_bin, '%H:%M') AS label, DSH AS value FROM rank CROSS JOIN (SELECT DISTINCT time_bin FROM moe5 JOIN rank USING (link_key) WHERE DSH IS NOT NULL) LEFT JOIN moe5 USING (link_key, time_bin)",
-    "timespace_grid": "SELECT corridor_order, link_key, time_bin, distance_start_ft, distance_end_ft, least(greatest(value, 0.0), 100.0) AS value FROM (SELECT DISTINCT corridor_order, link_key, distance_start_ft, distance_end_ft FROM cmoe) CROSS JOIN (SELECT DISTINCT time_bin FROM cmoe) LEFT JOIN (SELECT link_key, time_bin, speed_reduction_pct AS value FROM cmoe) USING (link_key, time_bin)",
+    "heatmap_grid": "SELECT * FROM heat",
+    "heatmap_pivot": f"SELECT rank, link_key, {_LABELS} FROM heat WHERE metric = 'DSH' GROUP BY rank, link_key",
+    "timespace_grid": " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, corridor_order, link_key, time_bin, distance_start_ft, distance_end_ft, CAST({'least(greatest(value, 0.0), 100.0)' if mode == 'percent_clip' else 'value'} AS DOUBLE) AS value FROM (SELECT DISTINCT corridor_order, link_key, distance_start_ft, distance_end_ft FROM cmoe) CROSS JOIN (SELECT DISTINCT time_bin FROM cmoe) LEFT JOIN (SELECT link_key, time_bin, {m} AS value FROM cmoe) USING (link_key, time_bin)"
+        for m, mode in TIMESPACE_METRICS.items()
+    ),
+    "timespace_edges": "SELECT 'y' AS axis, (row_number() OVER (ORDER BY o))::INT - 1 AS place, value FROM (SELECT 0 AS o, arg_min(distance_start_ft, corridor_order) AS value FROM cmoe UNION ALL SELECT DISTINCT corridor_order, distance_end_ft FROM cmoe) UNION ALL "
+    "SELECT 'x', (row_number() OVER (ORDER BY value))::INT - 1, value FROM (SELECT DISTINCT epoch_us(time_bin) / 1000000.0 AS value FROM cmoe UNION ALL SELECT max(epoch_us(time_bin)) / 1000000.0 + any_value(step_s) FROM cmoe CROSS JOIN steps)",
+    "corridor_table": "SELECT * FROM ctab",
+    "corridor_diagnostic": f"SELECT c.corridor_order, c.link_key, n.heading, n.heading AS heading_network, n.Matched_GID AS \"Matched_GID_network\", n.length, s.posted_speed_limit_mph, {_POINTS}, m.* EXCLUDE (link_key) FROM corr c JOIN net n USING (link_key) LEFT JOIN speed s USING (link_key) LEFT JOIN summ m USING (link_key)",
+    "corridor_layer": "SELECT n.net_id, n.link_key, n.from_node_id, n.heading, n.name, n.geometry, c.corridor_order, c.link_length_ft, c.Matched_GID AS \"Matched_GID_corridor\", c.name AS name_corridor, c.posted_speed_limit_mph FROM net n JOIN ctab c USING (link_key) JOIN lines l ON l.lk = n.link_key WHERE l.x1 IS NOT NULL",
+    "geopackage_layers": f"SELECT 'corridor_links' AS layer, link_key AS key, 1 AS parts FROM corr WHERE x1 IS NOT NULL UNION ALL SELECT 'txdot_segments', LinkID::VARCHAR, 1 FROM segl WHERE x1 IS NOT NULL AND {_GID.format('GID')} IN (SELECT {_GID.format('Matched_GID')} FROM ctab)",
+    "scan_observations": "SELECT journey_id, event_time AS capture_time, event_time AS local_time, speed_mph, link_key FROM obs",
+    "scan_network": f"SELECT link_key, from_node_id::BIGINT AS from_node_id, to_node_id::BIGINT AS to_node_id, geometry, heading, length, {_GID.format('Matched_GID')} AS \"Matched_GID\", name, 'r' AS \"RDBD_TYPE\" FROM net WHERE net_id < 100",
+    "scan_segments": f"SELECT LinkID::INT AS LinkID, {_GID.format('GID')} AS \"GID_norm\", Geometry, Heading, SpeedLimit FROM seg WHERE {_GID.format('GID')} IN (SELECT {_GID.format('Matched_GID')} FROM net WHERE net_id < 20)",
+    "scan_link_moe": "SELECT * FROM moe5",
+    "scan_corridor": "SELECT * REPLACE (txdot_link_id::VARCHAR AS txdot_link_id) FROM ctab",
+    "scan_corridor_moe": "SELECT * FROM cmoe",
     "color_limits": f"SELECT metric, mode, 0.0::DOUBLE AS vmin, round(CASE WHEN count(value) = 0 THEN 1.0 WHEN mode LIKE 'percent%' THEN 100.0 WHEN coalesce(quantile_cont(value, 0.95) FILTER (value >= 0), max(value)) > 0 THEN coalesce(quantile_cont(value, 0.95) FILTER (value >= 0), max(value)) ELSE 1.0 END, 6)::DOUBLE AS vmax FROM ({_LIMITED}) GROUP BY metric, mode",
-    "time_step": "SELECT coalesce(median(gap) / 1000000.0, 300.0) AS step_s FROM (SELECT epoch_us(time_bin) - epoch_us(lag(time_bin) OVER (ORDER BY time_bin)) AS gap FROM (SELECT DISTINCT time_bin FROM cmoe))",
+    "time_step": "SELECT * FROM steps",
     "corridor_summary": "SELECT * FROM summ",
     "worst_speed_reduction": "SELECT * FROM summ ORDER BY mean_speed_reduction_pct DESC NULLS LAST, link_key LIMIT 10",
     "worst_travel_time": "SELECT * FROM summ ORDER BY mean_avg_travel_time_s DESC NULLS LAST, link_key LIMIT 10",

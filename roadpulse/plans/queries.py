@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import FIVE_MINUTES, HOURLY, MoeConfig
 from roadpulse.functions import geometry as g
-from roadpulse.functions.scalars import heading_difference, link_family, normalize_gid
+from roadpulse.functions.scalars import heading_difference, link_family, micros, normalize_gid
 from roadpulse.operators import corridor as c
 from roadpulse.operators import moe as m
 from roadpulse.operators import report as r
 from roadpulse.operators import sequence, speed
 from roadpulse.plans import fixtures as fx
-from roadpulse.sources.sinks import geopackage_layer
+from roadpulse.sources import readers, sinks
+from roadpulse.sources.scratch import scratch_path, stored
 from roadpulse.streaming.waypoints import stream_waypoints
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,25 +123,36 @@ def posted_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed.posted_speed(fx.network(spark), fx.segments(spark))
 
 
-def _posted_corridor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    corridor = _corridor(spark, sf_dir)
-    return corridor.join(speed.posted_speed(corridor, fx.segments(spark)), "link_key", "left")
+def corridor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c.build_corridor(fx.observations(spark, sf_dir), fx.network(spark), fx.segments(spark))
 
 
 def corridor_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.corridor_moe(fx.observations(spark, sf_dir), _posted_corridor(spark, sf_dir))
+    return m.corridor_moe(fx.observations(spark, sf_dir), corridor_table(spark, sf_dir))
 
 
 def top_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.top_links(_moe(FIVE_MINUTES)(spark, sf_dir), 10)
+    return r.top_links(_moe(FIVE_MINUTES)(spark, sf_dir))
 
 
 def heatmap_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.heatmap_grid(_moe(FIVE_MINUTES)(spark, sf_dir), "DSH", 10)
+    return r.heatmap_grid(stored(_moe(FIVE_MINUTES)(spark, sf_dir)))
+
+
+def heatmap_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r.pivoted(stored(r.heatmap_grid(stored(_moe(FIVE_MINUTES)(spark, sf_dir)), "DSH")))
 
 
 def timespace_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.timespace_grid(corridor_moe_5min(spark, sf_dir), "speed_reduction_pct", "percent_clip")
+    return r.timespace_grid(stored(corridor_moe_5min(spark, sf_dir)))
+
+
+def timespace_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(axis, place, value): distances along the corridor (y), seconds since 1970 (x)."""
+    edges = r.timespace_edges(stored(corridor_moe_5min(spark, sf_dir)))
+    y = edges.select(F.lit("y").alias("axis"), F.posexplode("y_edges").alias("place", "value"))
+    x = edges.select(F.lit("x").alias("axis"), F.posexplode("x_edges").alias("place", "t")).select("axis", "place", (micros(F.col("t")) / 1_000_000.0).alias("value"))
+    return y.unionByName(x)
 
 
 def color_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,20 +179,69 @@ def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.map_points(_corridor(spark, sf_dir))
 
 
+_POINT_COLUMNS = [f"{p}_{x}" for p in ("start", "mid", "end") for x in ("lat", "lon", "google_maps_url")]
+
+
 def corridor_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows only: the corridor beside everything that is known of its links."""
-    return r.diagnostic(_corridor(spark, sf_dir), fx.network(spark), corridor_summary(spark, sf_dir))
+    """The corridor beside what is known of its links; of the clashing columns some."""
+    corridor = corridor_table(spark, sf_dir)
+    moe = m.corridor_moe(fx.observations(spark, sf_dir), corridor)
+    out = r.diagnostic(corridor, fx.network(spark), r.corridor_summary(moe))
+    summary = [x for x in out.columns if x.startswith(("mean_", "max_", "total_"))]
+    return out.select("corridor_order", "link_key", "heading", "heading_network", "Matched_GID_network", "length", "posted_speed_limit_mph", *_POINT_COLUMNS, *summary)
+
+
+def corridor_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer = sinks.geopackage_layer(r.export_layer(fx.network(spark), corridor_table(spark, sf_dir)), "geometry")
+    return layer.select("net_id", "link_key", "from_node_id", "heading", "name", "geometry", "corridor_order", "link_length_ft", "Matched_GID_corridor", "name_corridor", "posted_speed_limit_mph")
 
 
 def geopackage_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows only: the two layers of the export, by name."""
-    a = geopackage_layer(_corridor(spark, sf_dir), "geometry").select(F.lit("corridor_links").alias("layer"), F.col("link_key").alias("key"), "geom")
-    wanted = _corridor(spark, sf_dir).select(normalize_gid(F.col("Matched_GID")).alias("gid")).dropna().distinct()
+    """The two layers of the export, by name."""
+    corridor = corridor_table(spark, sf_dir)
+    a = sinks.geopackage_layer(r.export_layer(fx.network(spark), corridor), "geometry").select(F.lit("corridor_links").alias("layer"), F.col("link_key").alias("key"), "geom")
+    wanted = corridor.select(normalize_gid(F.col("Matched_GID")).alias("gid")).dropna().distinct()
     own = fx.segments(spark).withColumn("gid", normalize_gid(F.col("GID"))).join(wanted, "gid", "left_semi")
-    b = geopackage_layer(own, "Geometry").select(F.lit("txdot_segments").alias("layer"), F.col("LinkID").cast("string").alias("key"), "geom")
+    b = sinks.geopackage_layer(own, "Geometry").select(F.lit("txdot_segments").alias("layer"), F.col("LinkID").cast("string").alias("key"), "geom")
     return a.unionByName(b).select("layer", "key", F.size("geom").alias("parts"))
 
 
+def _as_csv(df: DataFrame, *order: str) -> str:
+    """Where ``df`` was written as CSV files."""
+    path = scratch_path(df.sparkSession)
+    sinks.write_csv(df, path, *order)
+    return path
+
+
+def scan_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_observations(spark, _as_csv(fx.observations(spark, sf_dir).drop("obs_id"))).drop("obs_id")
+
+
+def scan_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each link twice in the file; the first row counts."""
+    net = fx.network(spark).withColumns({"facility_type": F.lit("f"), "rdbd_type": F.lit("r"), "functional_class": F.lit("c")}).withColumnRenamed("Matched_GID", "matched_gid")
+    twice = net.withColumn("copy", F.lit(1)).unionByName(net.withColumns({"copy": F.lit(2), "name": F.lit("again")}))
+    out = readers.read_network(spark, _as_csv(twice, "copy", "net_id"), fx.links(spark))
+    return out.select("link_key", "from_node_id", "to_node_id", "geometry", "heading", "length", "Matched_GID", "name", "RDBD_TYPE")
+
+
+def scan_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = readers.read_segments(spark, _as_csv(fx.segments(spark)), fx.network(spark).filter("net_id < 20"))
+    return out.select(F.col("LinkID").cast("int").alias("LinkID"), "GID_norm", "Geometry", "Heading", "SpeedLimit")
+
+
+def scan_link_moe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_link_moe(spark, _as_csv(_moe(FIVE_MINUTES)(spark, sf_dir), "link_key", "time_bin"))
+
+
+def scan_corridor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_corridor(spark, _as_csv(corridor_table(spark, sf_dir), "corridor_order"))
+
+
+def scan_corridor_moe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_corridor_moe(spark, _as_csv(corridor_moe_5min(spark, sf_dir), "corridor_order", "time_bin"))
+
+
 def stream_waypoints_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream's plan over a table, without the approximate column."""
     return stream_waypoints(fx.observations(spark, sf_dir), fx.links(spark)).drop("journey_count")
@@ -211,10 +272,13 @@ QUERIES: dict[str, Query] = {
     "network_geometry": network_geometry,
     "speed_candidates": speed_candidates,
     "posted_speed": posted_speed,
+    "corridor_table": corridor_table,
     "corridor_moe_5min": corridor_moe_5min,
     "top_links": top_links,
     "heatmap_grid": heatmap_grid,
+    "heatmap_pivot": heatmap_pivot,
     "timespace_grid": timespace_grid,
+    "timespace_edges": timespace_edges,
     "color_limits": color_limits,
     "time_step": time_step,
     "corridor_summary": corridor_summary,
@@ -222,6 +286,13 @@ QUERIES: dict[str, Query] = {
     "worst_travel_time": worst_travel_time,
     "map_points": map_points,
     "corridor_diagnostic": corridor_diagnostic,
+    "corridor_layer": corridor_layer,
     "geopackage_layers": geopackage_layers,
+    "scan_observations": scan_observations,
+    "scan_network": scan_network,
+    "scan_segments": scan_segments,
+    "scan_link_moe": scan_link_moe,
+    "scan_corridor": scan_corridor,
+    "scan_corridor_moe": scan_corridor_moe,
     "stream_waypoints": stream_waypoints_table,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.config import FIVE_MINUTES, MoeConfig
-from roadpulse.functions.scalars import exact, ratio
+from roadpulse.functions.scalars import exact, inexact, ratio, total
 
 
 def stream_waypoints(observations: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES, lateness: str = "10 minutes") -> DataFrame:
@@ -21,7 +21,7 @@ def stream_waypoints(observations: DataFrame, links: DataFrame, config: MoeConfi
     speed = exact(F.col("speed_mph"))
     out = rows.withWatermark("event_time", lateness).groupBy("link_key", F.window("event_time", f"{config.bin_minutes} minutes").alias("bin")).agg(
         F.count("*").alias("waypoint_count"), F.approx_count_distinct("journey_id").alias("journey_count"),
-        F.sum(speed).cast("double").alias("total_speed"), F.count_if(slow).alias("slow_movement_count"), F.sum(F.when(slow, speed)).cast("double").alias("slow_speed_sum"),
+        total(F.coalesce(F.sum(speed), F.lit(0)), F.sum(inexact(F.col("speed_mph")))).alias("total_speed"), F.count_if(slow).alias("slow_movement_count"), F.sum(F.when(slow, speed)).cast("double").alias("slow_speed_sum"),
     )
     pct = ratio(F.coalesce("slow_speed_sum", F.lit(0.0)), F.col("total_speed")) * 100.0
     return out.select("link_key", F.col("bin.start").cast("timestamp_ntz").alias("time_bin"), "waypoint_count", "journey_count", "slow_movement_count", pct.alias("slow_movement_pct"))

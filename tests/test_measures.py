@@ -78,9 +78,32 @@ def test_rows_without_time_journey_or_speed(spark):
     assert measured(spark, []) == []
 
 
+def test_speeds_keep_their_decimals_and_outliers_end_no_job(spark):
+    rows = [("J", 0, 1.234567, "A"), ("J", 10, 13.580247, "A"), ("K", 0, 1e15, "B"), ("K", 5, 1e15 + 8, "B"), ("L", 0, float("inf"), "C"), ("L", 5, 2.0, "C"), ("M", 0, 1e300, "D"), ("M", 5, 1e300, "D")]
+    for config in (FIVE_MINUTES, HOURLY):
+        got = {r["link_key"]: r for r in measured(spark, rows, config)}
+        assert got["A"]["DSH"] == pytest.approx(12.34568 / 2, abs=1e-9)
+        assert (got["B"]["waypoint_count"], got["B"]["DSH"]) == (2, 4.0)
+        assert (got["C"]["waypoint_count"], got["C"]["DSH"], got["C"]["slow_movement_count"], got["C"]["slow_movement_pct"]) == (2, float("inf"), 1, 0.0)
+        assert (got["D"]["waypoint_count"], got["D"]["DSH"]) == (2, 0.0)
+    stats = moe.waypoint_metrics(moe.run_stats(sequence.with_segments(obs(spark, *rows)), links(spark))).collect()
+    assert {r["link_key"]: r["total_speed"] for r in stats} == {"A": pytest.approx(14.814814), "B": 2e15 + 8, "C": float("inf"), "D": 2e300}
+
+
+def test_runs_over_several_bins_count_their_traversal_where_they_begin(spark):
+    rows = [("J", 0, 10.0, "A"), ("J", 100, 10.0, "B"), ("J", 200, 12.0, "B"), ("J", 310, 10.0, "B"), ("J", 400, 10.0, "B"), ("J", 500, 10.0, "C"), ("J", None, 10.0, "D")]
+    got = {(r["link_key"], r["time_bin"].minute): (r["complete_traversal_count"], r["avg_travel_time_s"], r["DSH"]) for r in measured(spark, rows)}
+    assert got == {("A", 0): (None, None, 0.0), ("B", 0): (1, 400.0, 1.0), ("B", 5): (None, None, 0.0), ("C", 5): (None, None, 0.0)}
+
+
 def test_transitions(spark):
     got = corridor.link_transitions(obs(spark, ("J", 0, 1.0, "A"), ("J", 120, 1.0, "B"), ("J", 241, 1.0, "A"), ("J", None, 1.0, "B"))).collect()
     assert [tuple(r) for r in got] == [("A", "B", 1)]
+    # transitions follow the time of capture, measures the local time
+    at = lambda t: T0 + timedelta(seconds=t)
+    turned = spark.createDataFrame([(1, "J", at(60), at(0), 1.0, "A"), (2, "J", at(0), at(60), 1.0, "B")], OBS)
+    assert [tuple(r) for r in corridor.link_transitions(turned).collect()] == [("B", "A", 1)]
+    assert [r["link_key"] for r in sequence.with_segments(turned).orderBy("run_id").collect()] == ["A", "B"]
 
 
 def walked(spark, net, moves):
@@ -143,3 +166,59 @@ def test_readers_and_sinks(spark, tmp_path):
     assert blob[:2] == b"GP" and key == "A"
     sinks.write_csv(net.select("link_key"), str(tmp_path / "out"), "link_key")
     assert readers.read_links(spark, str(tmp_path / "out")).count() == 1
+
+
+def test_rows_are_numbered_by_file(spark, tmp_path):
+    head = "journey_id,capture_time,local_time,speed_mph,link_key\n"
+    (tmp_path / "a.csv").write_text(head + "J,9/20/2025 19:00,9/20/2025 7:00:01 PM,1.5,first\n")
+    (tmp_path / "b.csv").write_text(head + "".join(f"J,2025-09-20 19:00:00,2025-09-20 19:00:00,{i},b{i:02}\n" for i in range(50)))
+    got = readers.read_observations(spark, str(tmp_path)).orderBy("obs_id").collect()
+    assert [r["link_key"] for r in got] == ["first", *[f"b{i:02}" for i in range(50)]]
+    assert (got[0]["capture_time"], got[0]["local_time"]) == (T0, T0 + timedelta(seconds=1))
+    typed = spark.createDataFrame([("J", T0, T0, float("nan"), "A"), ("K", T0, T0, 2.5, "B")], "journey_id string, capture_time timestamp_ntz, local_time timestamp_ntz, speed_mph double, link_key string")
+    typed.coalesce(1).write.parquet(str(tmp_path / "o.parquet"))
+    back = readers.read_observations(spark, str(tmp_path / "o.parquet"))
+    assert [(r["journey_id"], r["speed_mph"], r["local_time"]) for r in back.orderBy("obs_id").collect()] == [("J", None, T0), ("K", 2.5, T0)]
+    plan = back.filter("link_key = 'B'").select("speed_mph")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(link_key,B)" in plan
+
+
+def test_plane_has_the_properties_that_define_it(spark):
+    """The origin, true length along both standard parallels, and areas, from the ellipsoid alone."""
+    from math import cos, log, radians, sin, sqrt
+
+    e2 = 0.00669438002290  # GRS 80
+    corners = [(-100.0, 18.0), (-97.0, 27.5), (-96.999, 27.5), (-103.0, 35.0), (-103.001, 35.0), (-98.0, 31.0), (-97.99, 31.0), (-97.99, 31.01), (-98.0, 31.01)]
+    rows = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(corners)], "i int, x double, y double")
+    p = [(r["p"]["x"], r["p"]["y"]) for r in rows.orderBy("i").select(g.project_point(F.struct("x", "y")).alias("p")).collect()]
+    assert p[0] == pytest.approx((1_500_000, 6_000_000), abs=1e-6)
+    for a, b, lat in ((1, 2, 27.5), (3, 4, 35.0)):
+        arc = 6378137 * cos(radians(lat)) / sqrt(1 - e2 * sin(radians(lat)) ** 2) * radians(0.001)
+        assert sqrt((p[a][0] - p[b][0]) ** 2 + (p[a][1] - p[b][1]) ** 2) == pytest.approx(arc, rel=1e-8)
+    e = sqrt(e2)
+    zone = lambda lat: (lambda s: s / (1 - e2 * s * s) + log((1 + e * s) / (1 - e * s)) / (2 * e))(sin(radians(lat)))
+    area = 6378137**2 * (1 - e2) / 2 * radians(0.01) * (zone(31.01) - zone(31.0))
+    q = p[5:]
+    assert abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(q, [*q[1:], q[0]], strict=True))) / 2 == pytest.approx(area, rel=1e-6)
+
+
+def test_stream_gives_bins_once_and_drops_late_rows(spark, tmp_path):
+    from roadpulse.streaming.waypoints import stream_waypoints
+
+    source, schema = tmp_path / "in", OBS
+    given = []
+
+    def step(*rows):
+        obs(spark, *rows).coalesce(1).write.mode("append").parquet(str(source))
+        query = (
+            stream_waypoints(spark.readStream.schema(schema).parquet(str(source)), links(spark), lateness="10 minutes")
+            .writeStream.foreachBatch(lambda df, _: given.extend(df.collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination(120)
+
+    step(("J", 0, 10.0, "A"), ("K", 30, 4.0, "A"), ("K", 400, 7.0, "B"))
+    assert given == []
+    step(("J", 2000, 10.0, "A"))  # the watermark passes the first two bins
+    step(("J", 60, 99.0, "A"), ("J", 4000, 1.0, "A"))  # too late for its bin
+    got = sorted((r["link_key"], r["time_bin"], r["waypoint_count"], r["journey_count"], r["slow_movement_count"]) for r in given)
+    assert got == [("A", T0, 2, 2, 1), ("A", T0 + timedelta(minutes=30), 1, 1, 0), ("B", T0 + timedelta(minutes=5), 1, 1, 0)]

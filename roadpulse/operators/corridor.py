@@ -10,6 +10,7 @@ from roadpulse.functions import geometry as g
 from roadpulse.functions.scalars import elapsed_micros, heading_difference, link_family
 from roadpulse.operators.sequence import journey_order
 from roadpulse.operators.speed import posted_speed
+from roadpulse.sources.scratch import few
 
 #: Successor rows that the driver takes at once; larger tables are looked up step by step.
 DRIVER_ROWS = 100_000
@@ -144,7 +145,7 @@ CORRIDOR_COLUMNS = [
 
 def build_corridor(observations: DataFrame, network: DataFrame, segments: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
     """The finished corridor: walk, attributes and posted speed, at most ``max_links`` rows, which are computed here and now."""
-    links = with_attributes(walk(network, link_transitions(observations, config.gap_s), config), network, config)
-    links = links.join(posted_speed(links, segments, config), "link_key", "left")
-    out = links.select(*[F.col(f"`{c}`") for c in CORRIDOR_COLUMNS if c in links.columns])
-    return network.sparkSession.createDataFrame(out.limit(config.max_links).collect(), out.schema)
+    # each step is a few rows, which the next ones name several times
+    links = few(with_attributes(walk(network, link_transitions(observations, config.gap_s), config), network, config), config.max_links)
+    links = links.join(F.broadcast(posted_speed(links, segments, config)), "link_key", "left")
+    return few(links.select(*[F.col(f"`{c}`") for c in CORRIDOR_COLUMNS if c in links.columns]), config.max_links)

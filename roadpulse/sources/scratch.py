@@ -23,3 +23,11 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def few(df: DataFrame, most: int) -> DataFrame:
+    """The rows of a table that has at most ``most``, computed here and now; Spark knows how small they are then."""
+    rows = df.limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        raise ValueError(f"more than {most} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)

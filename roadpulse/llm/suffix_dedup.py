@@ -7,6 +7,11 @@ anchor, read backwards) into runs, front-code them and exchange them by ranges;
 the runs, comparing two suffixes only beyond the prefix they are known to share, and give the array of common
 prefixes of the whole range. From that array follows which strings around an anchor repeat: those whose right
 part lies in one interval of common prefixes, and whose left part does likewise.
+
+An anchor with RANGE suffixes or more (a line that very many documents share, with other text around it in each) would be one
+group however large. Its suffixes are sent as their strings instead, up to 21 each: a suffix that stands for one string
+alone, known once per run with its smallest id. These are dealt by hash of the whole string, merged by the same trees, and equal
+neighbours of the merged array are one string.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ WIDTH = LENGTH + LEFT + 2
 RANGE = 200_000
 MOST_RANGES = 4096
 SAMPLED = 64
+#: Suffixes with hot anchors whose strings are made together.
+STRINGS_OF = 1 << 15
 #: Runs that one set of loser trees merges, and its trees times runs.
 FAN_IN = 8
 TREES = 1 << 19
@@ -308,6 +315,20 @@ def repeats(s: np.ndarray, common: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return mask
 
 
+def strings_of(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of each suffix as suffixes that stand for one string alone, so that equal strings are equal rows, and whose they are."""
+    low, high = s[:, -2].astype(np.int64) - 1, s[:, -1].astype(np.int64) - 1
+    n = high - low + 1
+    own = np.repeat(np.arange(len(s)), n)
+    j = np.arange(len(own)) - (np.cumsum(n) - n)[own] + low[own]
+    out = s[own]
+    place = np.arange(LENGTH)
+    out[:, :LENGTH][place >= (LENGTH - j)[:, None]] = 0
+    out[:, LENGTH : LENGTH + LEFT][place[:LEFT] >= j[:, None]] = 0
+    out[:, -2] = out[:, -1] = j + 1
+    return out, own
+
+
 # ---- the exchange ------------------------------------------------------------------------------
 
 _RUN = "chunk long, n long, coded binary, least binary, sample binary, at binary, entry binary, low binary, high binary"
@@ -337,7 +358,7 @@ def _runs(chunks: DataFrame) -> DataFrame:
             ids = c.ids[a.doc[order]]
             entry = np.empty(len(order), np.int64)
             entry[order] = np.cumsum(new) - 1
-            arrays = (np.minimum.reduceat(ids, g), s[g][::SAMPLED], a.at.astype("<u4") if len(c.data) < 1 << 32 else a.at, entry.astype("<u4"), a.low.astype(np.uint8), a.high.astype(np.uint8))
+            arrays = (np.minimum.reduceat(ids, g), s[g][c.chunk % SAMPLED :: SAMPLED], a.at.astype("<u4") if len(c.data) < 1 << 32 else a.at, entry.astype("<u4"), a.low.astype(np.uint8), a.high.astype(np.uint8))
             wide = arrays[2].dtype.itemsize == 8
             out = [c.chunk, len(g), front_code(s[g], common[g]), *[squeeze(x) for x in arrays]]
             out[5] = (b"8" if wide else b"4") + out[5]
@@ -347,12 +368,43 @@ def _runs(chunks: DataFrame) -> DataFrame:
     return materialize(chunks.drop("keys").withColumn("keys", F.lit(b"")).join(hits, "chunk").mapInArrow(sort, _RUN))
 
 
-def _boundaries(runs: DataFrame) -> tuple[np.ndarray, int]:
+def _anchors(s: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(s[:, :ANCHOR]).view(f"S{ANCHOR}").reshape(-1)
+
+
+def _spread(s: np.ndarray) -> np.ndarray:
+    """A hash of each row."""
+    words = _as_words(s)
+    h = np.zeros(len(s), np.uint64)
+    for i in range(words.shape[1]):
+        h = mix(h ^ words[:, i])
+    return h
+
+
+def _hot_anchors(runs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors with about RANGE suffixes or more, sorted, and into how many parts the strings of each are split.
+
+    Counted by Spark in the runs' samples; there are at most about ``total`` / RANGE of them.
+    """
+    if total < RANGE:
+        return np.zeros(0, f"S{ANCHOR}"), np.zeros(0, np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            anchor, n = np.unique(_anchors(unsqueeze(row["sample"], np.uint8).reshape(-1, WIDTH)), return_counts=True)
+            yield batch(["anchor", "n"], list(zip(anchor.tolist(), n.tolist(), strict=True)), [pa.binary(), pa.int64()])
+
+    counts = runs.select("sample").mapInArrow(count, "anchor binary, n long").groupBy("anchor").agg((F.sum("n") * SAMPLED).alias("n"))
+    found = counts.filter(F.col("n") >= RANGE).orderBy("anchor").toArrow()
+    n = found.column("n").to_numpy()
+    return np.array(found.column("anchor").to_pylist(), f"S{ANCHOR}"), -(-n * (LEFT + 1) // RANGE)
+
+
+def _boundaries(runs: DataFrame, total: int) -> tuple[np.ndarray, int]:
     """Boundaries of ranges of about RANGE suffixes, at most MOST_RANGES of them, and into how many parts each is split by hash beyond that.
 
     From a sample of about 40 suffixes for each range.
     """
-    total = runs.agg(F.sum("n").alias("n")).first()["n"] or 0
     ranges = max(1, min(MOST_RANGES, -(-total // RANGE)))
     if ranges == 1:
         return np.zeros(0, f"S{WIDTH}"), max(1, -(-total // (ranges * RANGE)))
@@ -375,28 +427,74 @@ def _boundaries(runs: DataFrame) -> tuple[np.ndarray, int]:
 
 def _marks(runs: DataFrame) -> DataFrame:
     """(chunk, entries, masks): the strings of each run that a smaller id has in any run."""
-    bounds, salts = _boundaries(runs)
-    shared = share(runs.sparkSession, bounds)  # at most MOST_RANGES suffixes
+    total = runs.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bounds, salts = _boundaries(runs, total)
+    hot, parts = _hot_anchors(runs, total)
+    ordinary = (len(bounds) + 1) * salts
+    firsts = ordinary + np.cumsum(parts) - parts
+    shared = share(runs.sparkSession, (bounds, hot, firsts, parts))  # at most MOST_RANGES suffixes and total / RANGE anchors
+
+    names = ["range", "chunk", "n", "coded", "least", "entries", "owners", "own_least"]
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+
+    def send_strings(chunk: int, s: np.ndarray, least: np.ndarray, entries: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The strings of suffixes with hot anchors, each once with its smallest id and with the suffixes it is in."""
+        _, _, firsts, parts = shared()
+        rows, own = strings_of(s)
+        order = np.argsort(_keys(rows), kind="stable")
+        rows, own = rows[order], own[order]
+        new = common_prefixes(_as_words(rows)) < WIDTH
+        new[0] = True
+        g = np.flatnonzero(new)
+        rows, at, ids = rows[g], place[own[g]], np.minimum.reduceat(least[own], g)
+        group = firsts[at] + (_spread(rows) % parts[at].astype(np.uint64)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        rows, ids, group = rows[order], ids[order], group[order]
+        of = rank[np.cumsum(new) - 1]
+        by_row = np.argsort(of, kind="stable")
+        own, owners = own[by_row], np.bincount(of, minlength=len(rows))
+        ends = np.r_[0, np.cumsum(owners)]
+        common = common_prefixes(_as_words(rows))
+        cuts = group_starts(group)
+        for a, b in zip(cuts, np.r_[cuts[1:], len(rows)], strict=True):
+            common[a] = 0
+            mine = own[ends[a] : ends[b]]
+            arrays = (ids[a:b], entries[mine].astype("<u4"), owners[a:b].astype("<u4"), least[mine])
+            yield batch(names, [(int(group[a]), chunk, int(b - a), front_code(rows[a:b], common[a:b]), *[squeeze(x) for x in arrays])], types)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, hot, _, _ = shared()
         for row in rows_of(batches):
             s, common = front_decode(row["coded"], row["n"])
             least = unsqueeze(row["least"], "<i8")
-            place = np.searchsorted(shared(), _keys(s), side="right")
+            entries = np.arange(len(s))
+            if len(hot):
+                anchors = _anchors(s)
+                at = np.minimum(np.searchsorted(hot, anchors), len(hot) - 1)
+                is_hot = hot[at] == anchors
+                some = np.flatnonzero(is_hot)
+                for a in range(0, len(some), STRINGS_OF):
+                    i = some[a : a + STRINGS_OF]
+                    yield from send_strings(row["chunk"], s[i], least[i], i, at[i])
+                if len(some):
+                    entries = np.flatnonzero(~is_hot)
+                    if not len(entries):
+                        continue
+                    s, least = s[entries], least[entries]
+                    common = common_prefixes(_as_words(s))
+            place = np.searchsorted(bounds, _keys(s), side="right")
             if salts > 1:
-                w = _as_words(s[:, :ANCHOR])
-                salt = (mix(w[:, 0] ^ mix(w[:, 1] ^ mix(w[:, 2] ^ mix(w[:, 3])))) % np.uint64(salts)).astype(np.int64)
-                place = place * salts + salt
+                place = place * salts + (_spread(s[:, :ANCHOR]) % np.uint64(salts)).astype(np.int64)
                 order = np.argsort(place, kind="stable")
-                s, least, place = s[order], least[order], place[order]
+                s, least, place, entries = s[order], least[order], place[order], entries[order]
                 common = common_prefixes(_as_words(s))
-            else:
-                order = np.arange(len(s))
             cuts = group_starts(place)
             for a, b in zip(cuts, np.r_[cuts[1:], len(s)], strict=True):
                 common[a] = 0
-                out = (int(place[a]), row["chunk"], int(b - a), front_code(s[a:b], common[a:b]), squeeze(least[a:b]), squeeze(order[a:b].astype("<u4")))
-                yield batch(["range", "chunk", "n", "coded", "least", "entries"], [out], [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3])
+                out = (int(place[a]), row["chunk"], int(b - a), front_code(s[a:b], common[a:b]), squeeze(least[a:b]), squeeze(entries[a:b].astype("<u4")), None, None)
+                yield batch(names, [out], types)
 
     def merge(t: pa.Table) -> pa.Table:
         rows = t.to_pylist()
@@ -406,16 +504,27 @@ def _marks(runs: DataFrame) -> DataFrame:
         ids = np.concatenate([unsqueeze(r["least"], "<i8") for r in rows])
         ends = np.cumsum([r["n"] for r in rows]).tolist()
         place, shared_prefix = _merged(s, common, ends)
-        mask = np.empty(len(s), np.uint32)
-        mask[place] = repeats(s[place], shared_prefix, ids[place])
+        of_string = rows[0]["owners"] is not None
+        if of_string:
+            starts = np.flatnonzero(np.r_[True, shared_prefix[1:] < WIDTH])
+            smallest = np.empty(len(s), np.int64)
+            smallest[place] = np.repeat(np.minimum.reduceat(ids[place], starts), np.diff(np.r_[starts, len(s)]))
+            mask = np.uint32(1) << (s[:, -2].astype(np.uint32) - np.uint32(1))
+        else:
+            mask = np.empty(len(s), np.uint32)
+            mask[place] = repeats(s[place], shared_prefix, ids[place])
         out = []
         for r, a, b in zip(rows, [0, *ends[:-1]], ends, strict=True):
-            if (some := mask[a:b] > 0).any():
-                out.append({"chunk": r["chunk"], "entries": squeeze(unsqueeze(r["entries"], "<u4")[some]), "masks": squeeze(mask[a:b][some])})
+            entries, bits = unsqueeze(r["entries"], "<u4"), mask[a:b]
+            if of_string:
+                owners = unsqueeze(r["owners"], "<u4")
+                bits = np.where(np.repeat(smallest[a:b], owners) < unsqueeze(r["own_least"], "<i8"), np.repeat(bits, owners), 0).astype(np.uint32)
+            if (some := bits > 0).any():
+                out.append({"chunk": r["chunk"], "entries": squeeze(entries[some]), "masks": squeeze(bits[some])})
         return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("entries", pa.binary()), ("masks", pa.binary())]))
 
-    sent = runs.select("chunk", "n", "coded", "least").mapInArrow(send, "range int, chunk long, n long, coded binary, least binary, entries binary")
-    groups = (len(bounds) + 1) * salts
+    sent = runs.select("chunk", "n", "coded", "least").mapInArrow(send, "range int, chunk long, n long, coded binary, least binary, entries binary, owners binary, own_least binary")
+    groups = ordinary + int(parts.sum())
     return gathered(sent.repartition(groups, "range").groupBy("range").applyInArrow(merge, "chunk long, entries binary, masks binary"), "entries", "masks")
 
 
@@ -428,7 +537,7 @@ def _removed(c: Chunk, row: dict) -> np.ndarray:
     least = unsqueeze(row["least"], "<i8")
     mask = np.zeros(len(least), np.uint32)
     for e, m in zip(row["entries"] or [], row["masks"] or [], strict=True):
-        mask[unsqueeze(e, "<u4")] = unsqueeze(m, np.uint32)
+        np.bitwise_or.at(mask, unsqueeze(e, "<u4"), unsqueeze(m, np.uint32))
     own = mask[entry]
     later = c.ids[c.doc_of(at)] > least[entry]  # a smaller id has the same suffix in this chunk
     steps = np.zeros(len(c.data) + 1, np.int64)

@@ -93,6 +93,31 @@ def test_bytes_match_brute_force(spark, monkeypatch, chunk, ranges):
     assert collected(suffix_dedup.remove_repeats(docs, with_text=False), "n_bytes") == by_bytes(rows)
 
 
+@pytest.mark.parametrize("chunk", [500, 4000])
+def test_a_line_of_all_documents(spark, monkeypatch, chunk):
+    """A line of 30 to 49 bytes with other text around it in each document: its suffixes are dealt as strings."""
+    hot = []
+    found = suffix_dedup._hot_anchors
+    monkeypatch.setattr(suffix_dedup, "_hot_anchors", lambda *a: hot.append(found(*a)) or hot[-1])
+    monkeypatch.setattr(textchunks, "CHUNK", chunk)
+    monkeypatch.setattr(textchunks, "GROUP", chunk * 3)
+    for name, value in (("RANGE", 20), ("SAMPLED", 2), ("MOST_RANGES", 4), ("STRINGS_OF", 7)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(5)
+    lines = ["# Licensed under the terms of the notice here", "\0" * 31 + "zero", "a line that many have, of forty-four bytes.."]
+    rows = []
+    for i in range(120):
+        around = ["".join(rng.choice("ab\n") for _ in range(rng.randint(0, 9))) for _ in range(4)]
+        text = around[0] + lines[0] + around[1] + (rng.choice(lines) if rng.random() < 0.5 else "") + around[2] + "".join(rng.choice("cdefg") for _ in range(30))
+        rows.append((i * 7 % 120 if i % 9 else 3, text, 5, "k", 3))
+    rows += [(None, lines[0] + "\n\n\n\n\nb", 5, "k", 3), (500, None, 5, "k", 3)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = by_bytes(rows)
+    assert sum(r[2] > 0 for r in want) > 30
+    assert collected(suffix_dedup.remove_repeats(docs, with_text=False), "n_bytes") == want
+    assert len(hot[0][0]) > 0 and hot[0][1].max() > 1
+
+
 def test_kept_text_is_what_is_left(spark):
     text = "é" * 40 + " tail"
     docs = spark.createDataFrame([(1, text), (2, "x" + "é" * 40)], "doc_id long, text string")

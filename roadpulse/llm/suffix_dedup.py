@@ -121,32 +121,37 @@ def _as_words(s: np.ndarray) -> np.ndarray:
 
 def _first_difference(x: np.ndarray) -> np.ndarray:
     """Leading zero bytes of numbers that aren't 0."""
-    n = np.zeros(len(x), np.int64)
-    for bits in (32, 16, 8):
-        top = x >> np.uint64(64 - bits) == 0
-        n += np.where(top, bits // 8, 0)
-        x = np.where(top, x << np.uint64(bits), x)
-    return n
+    # the exponent of a float gives the highest bit; with the bit below it cleared no rounding carries beyond it
+    highest = ((x & ~(x >> np.uint64(1))).astype(np.float64).view(np.int64) >> 52) - 1023
+    return (63 - highest) >> 3
 
 
 def compare(words: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether words[a] <= words[b], and their common prefix in bytes; the first ``known`` bytes are equal and are not read again."""
     width = words.shape[1]
-    d = known // 8
+    flat = words.reshape(-1)
     less, common = np.ones(len(a), bool), np.full(len(a), width * 8)
-    open_ = np.flatnonzero(d < width)
-    skip: np.ndarray | None = np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * (known[open_] % 8)).astype(np.uint64)
-    while len(open_):
-        x, y = words[a[open_], d[open_]], words[b[open_], d[open_]]
-        if skip is not None:  # known bytes at the head of a number
-            x, y, skip = x & skip, y & skip, None
-        differ = x != y
-        hit = open_[differ]
-        less[hit] = x[differ] < y[differ]
-        common[hit] = d[hit] * 8 + _first_difference((x ^ y)[differ])
-        open_ = open_[~differ]
-        d[open_] += 1
-        open_ = open_[d[open_] < width]
+    open_ = (known < width * 8).nonzero()[0]
+    known = known[open_]
+    d = known >> 3
+    one, two = a[open_] * width + d, b[open_] * width + d
+    unread = np.uint64(0xFFFFFFFFFFFFFFFF) >> ((known & 7) << 3).astype(np.uint64)  # known bytes at the head of a number
+    x, y = flat.take(one) & unread, flat.take(two) & unread
+    differ = x != y
+    less[open_] = x <= y
+    hit = differ.nonzero()[0]
+    common[open_[hit]] = d[hit] * 8 + _first_difference((x ^ y)[hit])
+    on = (~differ & (d + 1 < width)).nonzero()[0]
+    if len(on):  # the rest of the few that agree so far, at once
+        open_, d = open_[on], d[on] + 1
+        ahead = np.minimum(np.arange(width - int(d.min())), (width - 1 - d)[:, None])
+        x, y = flat.take(ahead + (one[on] + 1)[:, None]), flat.take(ahead + (two[on] + 1)[:, None])
+        place = (x != y).argmax(1)
+        row = np.arange(len(on))
+        x, y = x[row, place], y[row, place]
+        hit = (x != y).nonzero()[0]
+        less[open_] = x <= y
+        common[open_[hit]] = (d + place)[hit] * 8 + _first_difference((x ^ y)[hit])
     return less, common
 
 
@@ -540,10 +545,9 @@ def _removed(c: Chunk, row: dict) -> np.ndarray:
         np.bitwise_or.at(mask, unsqueeze(e, "<u4"), unsqueeze(m, np.uint32))
     own = mask[entry]
     later = c.ids[c.doc_of(at)] > least[entry]  # a smaller id has the same suffix in this chunk
-    steps = np.zeros(len(c.data) + 1, np.int64)
-    for j in range(LEFT + 1):
-        start = at[(low <= j) & (j <= high) & (later | (own >> np.uint32(j) & 1 > 0))] - j
-        steps += np.bincount(start, minlength=len(steps)) - np.bincount(start + LENGTH, minlength=len(steps))
+    starts = [at[(low <= j) & (j <= high) & (later | (own >> np.uint32(j) & 1 > 0))] - j for j in range(LEFT + 1)]
+    start = np.concatenate(starts)
+    steps = np.bincount(start, minlength=len(c.data) + 1) - np.bincount(start + LENGTH, minlength=len(c.data) + 1)
     return np.cumsum(steps[:-1]) > 0
 
 

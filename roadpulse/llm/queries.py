@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
+from . import divergence, embedding_dedup, fill_in_middle, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -75,6 +75,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "epoch", "lang", "source", mixing.token_count(F.col("text")).alias("n_tokens"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's texts and those restored from them, as digests."""
+    out = fill_in_middle.restore(fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents")))
+    digest = lambda c: F.sha2(F.col(c), 256).alias(f"{c}_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_join": op2_ngram_join,
@@ -86,6 +97,8 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
@@ -144,4 +157,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   n_stops, n_lines
 FROM b""",
     "op4_mixing": _mixing_sql(),
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT *, len(u) AS n, [('0x' || h[8 * i + 1 : 8 * i + 8])::BIGINT for i in range(4)] AS k FROM d),
+c AS (SELECT doc_id, t, u, n, least(k[1] % (n + 1), k[2] % (n + 1)) AS a, greatest(k[1] % (n + 1), k[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR k[3] % 100 >= 90 THEN 'plain' WHEN k[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS x, array_to_string(u[a + 1 : b], '') AS y, array_to_string(u[b + 1 : n], '') AS z FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(x) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p""",
+    "op13_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM x GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM x SEMI JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS kept, sum(n) AS n FROM k GROUP BY lang),
+s AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (s.n + v.kept) AS p, 1 + 1000000000::HUGEINT * (k.n + 1) // (v.n + v.kept) AS q
+  FROM s JOIN k ON k.lang = s.lang JOIN v ON v.lang = s.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+o AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(o.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN o ON o.lang = a.lang AND o.source = a.source AND o.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM r QUALIFY part = 'pair' OR rank <= 200""",
 }

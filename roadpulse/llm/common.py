@@ -64,7 +64,7 @@ class _CleanUp:
                 self.conf.unset(_CLEAN_UP) if _CleanUp.before is None else self.conf.set(_CLEAN_UP, _CleanUp.before)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage in a way that survives lost executors.
@@ -72,7 +72,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     with _CleanUp(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

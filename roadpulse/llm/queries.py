@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, embedding_dedup, fill_in_middle, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
+from . import divergence, embedding_dedup, fill_in_middle, fingerprint, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
 from .common import read
 from .ngrams import flagged
 
@@ -75,6 +75,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "epoch", "lang", "source", mixing.token_count(F.col("text")).alias("n_tokens"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_report(read(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The operator's texts and those restored from them, as digests."""
     out = fill_in_middle.restore(fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents")))
@@ -97,6 +101,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_fingerprints": op11_fingerprints,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_source_divergence": op13_source_divergence,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.config import CorridorConfig
 from roadpulse.functions import geometry as g
 from roadpulse.functions.scalars import elapsed_micros, heading_difference, link_family
+from roadpulse.operators.pieces import HOT_ROWS, PIECE_S, cold_and_hot, in_pieces, with_previous
 from roadpulse.operators.sequence import journey_order
 from roadpulse.operators.speed import posted_speed
 from roadpulse.sources.scratch import few
@@ -25,6 +26,19 @@ def link_transitions(observations: DataFrame, gap_s: float = 120.0) -> DataFrame
     return rows.groupBy("from_link", F.col("link_key").alias("to_link")).agg(F.count("*").alias("support"))
 
 
+def split_link_transitions(observations: DataFrame, gap_s: float = 120.0, most: int = HOT_ROWS, piece_s: int = PIECE_S) -> DataFrame:
+    """``link_transitions`` where a journey may hold any share of the observations."""
+    cold, hot = cold_and_hot(observations, most)
+    counts = link_transitions(cold, gap_s)
+    if hot is None:
+        return counts
+    rows = with_previous(in_pieces(hot.select("obs_id", "journey_id", "capture_time", "link_key"), "capture_time", piece_s), "capture_time", "previous", ["capture_time", "link_key"])
+    gap, before = elapsed_micros(F.col("previous.capture_time"), F.col("capture_time")), F.col("previous.link_key")
+    rows = rows.filter((gap <= F.lit(int(gap_s * 1_000_000))) & (before != F.col("link_key")))
+    own = rows.groupBy(before.alias("from_link"), F.col("link_key").alias("to_link")).agg(F.count("*").alias("support"))
+    return counts.unionByName(own).groupBy("from_link", "to_link").agg(F.sum("support").alias("support"))
+
+
 def outgoing_totals(transitions: DataFrame) -> DataFrame:
     return transitions.groupBy(F.col("from_link").alias("link_key")).agg(F.sum("support").alias("outgoing_total"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.config import FIVE_MINUTES, MoeConfig
 from roadpulse.functions.scalars import elapsed_micros, exact, inexact, ratio, time_bin, total
+from roadpulse.operators.pieces import HOT_ROWS, PIECE_S, cold_and_hot, piece_segments, with_previous
 from roadpulse.operators.sequence import journey_order, with_segments
 
 
@@ -33,14 +34,18 @@ def binned_runs(segments: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFr
 
     A change of speed is taken between valid rows that follow each other in a run, so it bridges rows without
     a valid speed. Runs and bins rise in the journey's order, so the order of the trips serves here too, and so does its
-    distribution by journey. Speeds are summed as decimals; those that no decimal holds (infinite ones) apart.
+    distribution by journey. Speeds are summed as decimals; those that no decimal holds (infinite ones) apart. Segments in pieces
+    (of ``pieces.piece_segments``) stay in them.
     """
     groups = [*keys(config), "journey_id", "trip_segment", "run_id"]
     inner = [c for c in ("run_id", "time_bin") if c in groups]
     valid = _valid(config)
-    earlier = journey_order().rowsBetween(Window.unboundedPreceding, -1)
-    before = F.last(F.when(valid, F.struct(*inner, "speed_mph")), ignorenulls=True).over(earlier)
-    rows = segments.withColumns({"valid": valid, "before": before})
+    rows = segments.withColumn("valid", valid)
+    if "major" in segments.columns:
+        rows = with_previous(rows, "event_time", "before", [*inner, "speed_mph"], F.col("valid"))
+    else:
+        earlier = journey_order().rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("before", F.last(F.when(F.col("valid"), F.struct(*inner, "speed_mph")), ignorenulls=True).over(earlier))
     same = F.col("valid")
     for c in inner:
         same = same & F.col(c).eqNullSafe(F.col(f"before.{c}"))
@@ -108,23 +113,45 @@ def travel_time_metrics(crossings: DataFrame, config: MoeConfig = FIVE_MINUTES)
     return rows.groupBy(*keys(config)).agg(F.count("*").alias("complete_traversal_count"), (F.sum("travel_time_us") / 1_000_000.0).alias("travel_time_sum_s"))
 
 
-def _with_travel(runs: DataFrame) -> DataFrame:
+#: Runs of a hot trip that stay together.
+_RUNS = 4096
+
+
+def _with_travel(runs: DataFrame, spread: bool = False) -> DataFrame:
     """Runs (and bins) with ``travel_time_us`` where a complete traversal begins: from a run's first time to that of the next run of the trip.
 
-    Runs of a trip have consecutive numbers, so their neighbours are one number away.
+    Runs of a trip have consecutive numbers, so their neighbours are one number away. With ``spread`` a trip is cut into stretches of
+    runs, and the runs at their ends are in the next stretch too, as neighbours.
     """
     trip = Window.partitionBy("journey_id", "trip_segment").orderBy("run_id")
+    if spread:
+        near = F.array_distinct(F.array(*[F.floor((F.col("run_id") + k) / _RUNS).cast("long") for k in (0, -1, 1)]))
+        runs = runs.withColumn("stretch", F.explode(near))
+        trip = Window.partitionBy("journey_id", "trip_segment", "stretch").orderBy("run_id")
     beside = lambda c, k: F.min(c).over(trip.rangeBetween(k, k))
     runs = runs.withColumns({"entry": beside("first_time", 0), "previous_link": beside("link_key", -1), "next_link": beside("link_key", 1), "next_entry": beside("first_time", 1)})
     took = elapsed_micros(F.col("entry"), F.col("next_entry"))
     complete = (F.col("first_time") == F.col("entry")) & F.col("previous_link").isNotNull() & F.col("next_link").isNotNull() & (took > 0)
-    return runs.withColumn("travel_time_us", F.when(complete, took))
+    runs = runs.withColumn("travel_time_us", F.when(complete, took))
+    return runs.filter(F.col("stretch") == F.floor(F.col("run_id") / _RUNS)).drop("stretch") if spread else runs
+
+
+def runs_with_travel(observations: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
+    """All runs (and bins) with their sums and traversals: one scan and one shuffle by journey."""
+    return _with_travel(binned_runs(with_segments(observations, config), config))
 
 
-def _combined(observations: DataFrame, links: DataFrame, config: MoeConfig) -> DataFrame:
-    """All sums by link (and bin). One scan and one shuffle by journey; each journey's share of a cell is summed there, then one shuffle by cell."""
+def split_runs_with_travel(observations: DataFrame, config: MoeConfig = FIVE_MINUTES, most: int = HOT_ROWS, piece_s: int = PIECE_S) -> DataFrame:
+    """The rows of ``runs_with_travel``; a journey with more than ``most`` observations is worked on in pieces."""
+    cold, hot = cold_and_hot(observations, most)
+    runs = runs_with_travel(cold, config)
+    return runs if hot is None else runs.unionByName(_with_travel(binned_runs(piece_segments(hot, config, piece_s), config), spread=True))
+
+
+def _combined(runs: DataFrame, links: DataFrame, config: MoeConfig) -> DataFrame:
+    """All sums by link (and bin). Each journey's share of a cell is summed where its runs are, then one shuffle by cell."""
     by = keys(config)
-    runs = selected(_with_travel(binned_runs(with_segments(observations, config), config)), links)
+    runs = selected(runs, links)
     sums = ["n", "speed_sum", "speed_more", "slow", "slow_sum", "runs", "dsh", "crossed", "travel"]
     own = runs.withColumns({
         "runs": (F.col("n") > 0).cast("long"), "dsh": F.when(F.col("n") > 0, _dsh()), "crossed": F.col("travel_time_us").isNotNull().cast("long"), "travel": F.col("travel_time_us"),
@@ -148,7 +175,12 @@ CORRIDOR_MOE_COLUMNS = ["corridor_order", "link_key", "time_bin", "distance_star
 
 def link_moe(observations: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
     """All measures of the given links. A cell without valid waypoints has no row; one without complete traversals has nulls there."""
-    return _combined(observations, links, config).select(*keys(config), *MOE_COLUMNS)
+    return _combined(runs_with_travel(observations, config), links, config).select(*keys(config), *MOE_COLUMNS)
+
+
+def split_link_moe(observations: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES, most: int = HOT_ROWS, piece_s: int = PIECE_S) -> DataFrame:
+    """``link_moe`` where a journey may hold any share of the observations."""
+    return _combined(split_runs_with_travel(observations, config, most, piece_s), links, config).select(*keys(config), *MOE_COLUMNS)
 
 
 def corridor_moe(observations: DataFrame, corridor: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
@@ -157,7 +189,7 @@ def corridor_moe(observations: DataFrame, corridor: DataFrame, config: MoeConfig
     ``corridor`` should be a stored table (as of ``corridor.build_corridor``), as it is read twice.
     """
     own = ["corridor_order", "link_key", "distance_start_ft", "distance_end_ft", "link_length_ft", "posted_speed_limit_mph"]
-    moe = _combined(observations, corridor, config).withColumn("avg_speed_mph", F.col("total_speed") / F.col("waypoint_count"))
+    moe = _combined(runs_with_travel(observations, config), corridor, config).withColumn("avg_speed_mph", F.col("total_speed") / F.col("waypoint_count"))
     limit = F.col("posted_speed_limit_mph")
     moe = moe.join(corridor.select(*own), "link_key", "left").withColumn("speed_reduction_pct", ratio(limit - F.col("avg_speed_mph"), limit) * 100.0)
     return moe.select("corridor_order", *keys(config), *own[2:], "avg_speed_mph", "speed_reduction_pct", *MOE_COLUMNS)

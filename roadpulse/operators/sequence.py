@@ -16,6 +16,13 @@ def journey_order(time: str = "event_time") -> WindowSpec:
     return Window.partitionBy("journey_id").orderBy(F.col(time).asc_nulls_last(), "obs_id")
 
 
+def segment_flags(before_time: Column, before_link: Column, config: MoeConfig = FIVE_MINUTES) -> tuple[Column, Column]:
+    """Whether a row begins a trip, and whether it begins a run, by its journey's row before."""
+    late = F.coalesce(elapsed_micros(before_time, F.col("event_time")) > F.lit(int(config.gap_s * 1_000_000)), F.lit(False))
+    new_trip = late | F.col("link_key").isNull() | before_link.isNull()
+    return new_trip, new_trip | (F.col("link_key") != before_link)
+
+
 def with_segments(observations: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
     """(obs_id, journey_id, event_time, speed_mph, link_key, trip_segment, run_id[, time_bin]).
 
@@ -26,12 +33,11 @@ def with_segments(observations: DataFrame, config: MoeConfig = FIVE_MINUTES) ->
     w = journey_order()
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = observations.filter(F.col("journey_id").isNotNull()).select("obs_id", "journey_id", F.col("local_time").alias("event_time"), "speed_mph", "link_key")
-    rows = rows.withColumns({"gap": elapsed_micros(F.lag("event_time").over(w), F.col("event_time")), "before": F.lag("link_key").over(w)})
-    late: Column = F.coalesce(F.col("gap") > F.lit(int(config.gap_s * 1_000_000)), F.lit(False))
-    new_trip = late | F.col("link_key").isNull() | F.col("before").isNull()
-    rows = rows.withColumns({"new_trip": new_trip, "new_run": new_trip | (F.col("link_key") != F.col("before"))})
+    rows = rows.withColumns({"before_time": F.lag("event_time").over(w), "before": F.lag("link_key").over(w)})
+    new_trip, new_run = segment_flags(F.col("before_time"), F.col("before"), config)
+    rows = rows.withColumns({"new_trip": new_trip, "new_run": new_run})
     rows = rows.withColumns({"trip_segment": F.sum(F.col("new_trip").cast("long")).over(running), "run_id": F.sum(F.col("new_run").cast("long")).over(running)})
-    rows = rows.drop("gap", "before", "new_trip", "new_run")
+    rows = rows.drop("before_time", "before", "new_trip", "new_run")
     return rows if config.bin_minutes is None else rows.withColumn("time_bin", time_bin(F.col("event_time"), config.bin_minutes))
 
 

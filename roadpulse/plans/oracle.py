@@ -6,7 +6,7 @@ import re
 
 from roadpulse.functions import geometry as g
 from roadpulse.operators.report import HEATMAP_METRICS, TIMESPACE_METRICS
-from roadpulse.plans.fixtures import NETWORK_SQL, OBSERVATIONS_SQL, SEGMENTS_SQL, duck
+from roadpulse.plans.fixtures import HOT_OBSERVATIONS_SQL, NETWORK_SQL, OBSERVATIONS_SQL, SEGMENTS_SQL, duck
 
 
 def _plane(x: str, y: str) -> tuple[str, str]:
@@ -120,6 +120,10 @@ STEPS = {
       round(avg(avg_travel_time_s), 6) AS mean_avg_travel_time_s, sum(waypoint_count)::BIGINT AS total_waypoints, round(avg(slow_movement_pct), 6) AS mean_slow_movement_pct, round(avg(DSH), 6) AS "mean_DSH", coalesce(sum(complete_traversal_count), 0)::BIGINT AS total_complete_traversals FROM cmoe GROUP BY link_key""",
 }
 
+# The same steps over observations of which a third belong to one journey.
+_HOT = {"obs": "hobs", "spine": "hspine", "stats5": "hstats5", "statsh": "hstatsh", "way5": "hway5", "wayh": "hwayh", "entries": "hentries", "cross": "hcross", "tra5": "htra5", "trah": "htrah", "moe5": "hmoe5", "trans": "htrans"}
+STEPS |= {new: HOT_OBSERVATIONS_SQL if old == "obs" else re.sub(r"(FROM|JOIN) (\w+)", lambda x: f"{x[1]} {_HOT.get(x[2], x[2])}", STEPS[old]) for old, new in _HOT.items()}
+
 _URL = "'https://www.google.com/maps/search/?api=1&query=' || {0} || ',' || {1}"
 _POINTS = ", ".join(
     f"round({y}, 9) AS {n}_lat, round({x}, 9) AS {n}_lon, coalesce({_URL.format(f'round({y}, 9)', f'round({x}, 9)')}, '') AS {n}_google_maps_url"
@@ -167,6 +171,10 @@ FINAL = {
     "corridor_diagnostic": f"SELECT c.corridor_order, c.link_key, n.heading, n.heading AS heading_network, n.Matched_GID AS \"Matched_GID_network\", n.length, s.posted_speed_limit_mph, {_POINTS}, m.* EXCLUDE (link_key) FROM corr c JOIN net n USING (link_key) LEFT JOIN speed s USING (link_key) LEFT JOIN summ m USING (link_key)",
     "corridor_layer": "SELECT n.net_id, n.link_key, n.from_node_id, n.heading, n.name, n.geometry, c.corridor_order, c.link_length_ft, c.Matched_GID AS \"Matched_GID_corridor\", c.name AS name_corridor, c.posted_speed_limit_mph FROM net n JOIN ctab c USING (link_key) JOIN lines l ON l.lk = n.link_key WHERE l.x1 IS NOT NULL",
     "geopackage_layers": f"SELECT 'corridor_links' AS layer, link_key AS key, 1 AS parts FROM corr WHERE x1 IS NOT NULL UNION ALL SELECT 'txdot_segments', LinkID::VARCHAR, 1 FROM segl WHERE x1 IS NOT NULL AND {_GID.format('GID')} IN (SELECT {_GID.format('Matched_GID')} FROM ctab)",
+    "hot_trip_segments": "SELECT obs_id, journey_id, event_time, link_key, trip_segment, run_id FROM hspine",
+    "hot_link_moe_5min": "SELECT * FROM hmoe5",
+    "hot_link_moe_hourly": f"SELECT link_key, {_MEASURES} FROM hwayh LEFT JOIN htrah USING (link_key)",
+    "hot_link_transitions": "SELECT * FROM htrans",
     "scan_observations": "SELECT journey_id, event_time AS capture_time, event_time AS local_time, speed_mph, link_key FROM obs",
     "scan_network": f"SELECT link_key, from_node_id::BIGINT AS from_node_id, to_node_id::BIGINT AS to_node_id, geometry, heading, length, {_GID.format('Matched_GID')} AS \"Matched_GID\", name, 'r' AS \"RDBD_TYPE\" FROM net WHERE net_id < 100",
     "scan_segments": f"SELECT LinkID::INT AS LinkID, {_GID.format('GID')} AS \"GID_norm\", Geometry, Heading, SpeedLimit FROM seg WHERE {_GID.format('GID')} IN (SELECT {_GID.format('Matched_GID')} FROM net WHERE net_id < 20)",

@@ -13,7 +13,7 @@ from roadpulse.functions.scalars import heading_difference, link_family, micros,
 from roadpulse.operators import corridor as c
 from roadpulse.operators import moe as m
 from roadpulse.operators import report as r
-from roadpulse.operators import sequence, speed
+from roadpulse.operators import pieces, sequence, speed
 from roadpulse.plans import fixtures as fx
 from roadpulse.sources import readers, sinks
 from roadpulse.sources.scratch import scratch_path, stored
@@ -247,6 +247,23 @@ def stream_waypoints_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_waypoints(fx.observations(spark, sf_dir), fx.links(spark)).drop("journey_count")
 
 
+#: Journeys of the test tables with more observations than this are worked on in pieces.
+_HOT = 1000
+
+
+def hot_trip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pieces.split_segments(fx.hot_observations(spark, sf_dir), most=_HOT)
+    return rows.select("obs_id", "journey_id", "event_time", "link_key", "trip_segment", "run_id")
+
+
+def _hot_moe(config: MoeConfig) -> Query:
+    return lambda spark, sf_dir: m.split_link_moe(fx.hot_observations(spark, sf_dir), fx.links(spark), config, most=_HOT)
+
+
+def hot_link_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c.split_link_transitions(fx.hot_observations(spark, sf_dir), most=_HOT)
+
+
 QUERIES: dict[str, Query] = {
     "trip_segments": trip_segments,
     "link_runs": link_runs,
@@ -294,5 +311,9 @@ QUERIES: dict[str, Query] = {
     "scan_link_moe": scan_link_moe,
     "scan_corridor": scan_corridor,
     "scan_corridor_moe": scan_corridor_moe,
+    "hot_trip_segments": hot_trip_segments,
+    "hot_link_moe_5min": _hot_moe(FIVE_MINUTES),
+    "hot_link_moe_hourly": _hot_moe(HOURLY),
+    "hot_link_transitions": hot_link_transitions,
     "stream_waypoints": stream_waypoints_table,
 }

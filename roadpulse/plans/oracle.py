@@ -171,6 +171,8 @@ FINAL = {
     "corridor_diagnostic": f"SELECT c.corridor_order, c.link_key, n.heading, n.heading AS heading_network, n.Matched_GID AS \"Matched_GID_network\", n.length, s.posted_speed_limit_mph, {_POINTS}, m.* EXCLUDE (link_key) FROM corr c JOIN net n USING (link_key) LEFT JOIN speed s USING (link_key) LEFT JOIN summ m USING (link_key)",
     "corridor_layer": "SELECT n.net_id, n.link_key, n.from_node_id, n.heading, n.name, n.geometry, c.corridor_order, c.link_length_ft, c.Matched_GID AS \"Matched_GID_corridor\", c.name AS name_corridor, c.posted_speed_limit_mph FROM net n JOIN ctab c USING (link_key) JOIN lines l ON l.lk = n.link_key WHERE l.x1 IS NOT NULL",
     "geopackage_layers": f"SELECT 'corridor_links' AS layer, link_key AS key, 1 AS parts FROM corr WHERE x1 IS NOT NULL UNION ALL SELECT 'txdot_segments', LinkID::VARCHAR, 1 FROM segl WHERE x1 IS NOT NULL AND {_GID.format('GID')} IN (SELECT {_GID.format('Matched_GID')} FROM ctab)",
+    "selected_link_moe_5min": "SELECT * FROM moe5 WHERE link_key IN (SELECT link_key FROM top ORDER BY total_waypoints DESC, link_key LIMIT 10)",
+    "reduced_corridor_moe_5min": "SELECT * FROM cmoe",
     "hot_trip_segments": "SELECT obs_id, journey_id, event_time, link_key, trip_segment, run_id FROM hspine",
     "hot_link_moe_5min": "SELECT * FROM hmoe5",
     "hot_link_moe_hourly": f"SELECT link_key, {_MEASURES} FROM hwayh LEFT JOIN htrah USING (link_key)",

@@ -247,6 +247,18 @@ def stream_waypoints_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_waypoints(fx.observations(spark, sf_dir), fx.links(spark)).drop("journey_count")
 
 
+def selected_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of the links of a key list: the ten with most waypoints, written and read as a file; journeys on none of them go before the sort."""
+    moe = _moe(FIVE_MINUTES)(spark, sf_dir)
+    links = readers.read_links(spark, _as_csv(r.top_links(moe, 10).select("link_key")))
+    return m.link_moe(m.touching(fx.observations(spark, sf_dir), links), links)
+
+
+def reduced_corridor_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corridor = corridor_table(spark, sf_dir)
+    return m.corridor_moe(m.touching(fx.observations(spark, sf_dir), corridor), corridor)
+
+
 #: Journeys of the test tables with more observations than this are worked on in pieces.
 _HOT = 1000
 
@@ -311,6 +323,8 @@ QUERIES: dict[str, Query] = {
     "scan_link_moe": scan_link_moe,
     "scan_corridor": scan_corridor,
     "scan_corridor_moe": scan_corridor_moe,
+    "selected_link_moe_5min": selected_link_moe_5min,
+    "reduced_corridor_moe_5min": reduced_corridor_moe_5min,
     "hot_trip_segments": hot_trip_segments,
     "hot_link_moe_5min": _hot_moe(FIVE_MINUTES),
     "hot_link_moe_hourly": _hot_moe(HOURLY),

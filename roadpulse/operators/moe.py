@@ -169,25 +169,41 @@ def split_runs_with_travel(observations: DataFrame, config: MoeConfig = FIVE_MIN
     return runs if hot is None else runs.unionByName(_with_travel(binned_runs(piece_segments(hot, config, piece_s), config), spread=True))
 
 
-def _combined(runs: DataFrame, links: DataFrame, config: MoeConfig) -> DataFrame:
-    """All sums by link (and bin). Each journey's share of a cell is summed where its runs are, then one shuffle by cell."""
-    by = keys(config)
-    runs = selected(runs, links)
-    sums = ["n", "speed_sum", "speed_more", "slow", "slow_sum", "runs", "dsh", "crossed", "travel"]
-    own = runs.withColumns({
+#: What is added up to a cell; partial results of a journey in a cell have these columns too.
+SUMS = ["n", "speed_sum", "speed_more", "slow", "slow_sum", "runs", "dsh", "crossed", "travel"]
+
+
+def partial_sums(runs: DataFrame, links: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
+    """A row with ``SUMS`` for each cell and journey, from runs with travel times: summed where a journey's runs are."""
+    own = selected(runs, links).withColumns({
         "runs": (F.col("n") > 0).cast("long"), "dsh": F.when(F.col("n") > 0, _dsh()), "crossed": F.col("travel_time_us").isNotNull().cast("long"), "travel": F.col("travel_time_us"),
     })
-    journeys = own.groupBy(*by, "journey_id").agg(*[F.sum(c).alias(c) for c in sums])
-    cells = journeys.groupBy(*by).agg(F.count_if(F.col("n") > 0).alias("journey_count"), *[F.sum(c).alias(c) for c in sums]).filter("n > 0")
+    return own.groupBy(*keys(config), "journey_id").agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def final_measures(partials: DataFrame, config: MoeConfig = FIVE_MINUTES, merge: bool = False) -> DataFrame:
+    """The measures of each cell, with total_speed and slow_speed_sum, from partial sums; ``merge`` where a journey may have several rows in a cell."""
+    by = keys(config)
+    if merge:
+        partials = partials.groupBy(*by, "journey_id").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return measured(partials.groupBy(*by).agg(F.count_if(F.col("n") > 0).alias("journey_count"), *[F.sum(c).alias(c) for c in SUMS]), by)
+
+
+def measured(cells: DataFrame, by: list[str]) -> DataFrame:
+    """The measures of cells of which ``SUMS`` and journey_count are known; cells without valid waypoints go."""
     speed = total(F.col("speed_sum"), F.col("speed_more"))
     crossed = F.when(F.col("crossed") > 0, F.col("crossed"))
-    return cells.select(
+    return cells.filter("n > 0").select(
         *by, F.col("n").alias("waypoint_count"), "journey_count", speed.alias("total_speed"), F.col("slow").alias("slow_movement_count"), F.col("slow_sum").cast("double").alias("slow_speed_sum"),
         (ratio(F.col("slow_sum").cast("double"), speed) * 100.0).alias("slow_movement_pct"), F.col("runs").alias("dsh_trip_count"), F.round(F.col("dsh") / F.col("runs"), 9).alias("DSH"),
         crossed.alias("complete_traversal_count"), F.round(F.col("travel") / 1_000_000.0 / F.col("crossed"), 6).alias("avg_travel_time_s"),
     )
 
 
+def _combined(runs: DataFrame, links: DataFrame, config: MoeConfig) -> DataFrame:
+    return final_measures(partial_sums(runs, links, config), config)
+
+
 MOE_COLUMNS = ["waypoint_count", "journey_count", "slow_movement_count", "slow_movement_pct", "dsh_trip_count", "DSH", "complete_traversal_count", "avg_travel_time_s"]
 
 

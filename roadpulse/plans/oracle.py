@@ -173,6 +173,9 @@ FINAL = {
     "geopackage_layers": f"SELECT 'corridor_links' AS layer, link_key AS key, 1 AS parts FROM corr WHERE x1 IS NOT NULL UNION ALL SELECT 'txdot_segments', LinkID::VARCHAR, 1 FROM segl WHERE x1 IS NOT NULL AND {_GID.format('GID')} IN (SELECT {_GID.format('Matched_GID')} FROM ctab)",
     "selected_link_moe_5min": "SELECT * FROM moe5 WHERE link_key IN (SELECT link_key FROM top ORDER BY total_waypoints DESC, link_key LIMIT 10)",
     "reduced_corridor_moe_5min": "SELECT * FROM cmoe",
+    "stream_trip_segments": "SELECT obs_id, journey_id, event_time, link_key, trip_segment, run_id FROM spine",
+    "stream_link_moe_5min": "SELECT * FROM moe5",
+    "kept_link_moe_5min": "SELECT * FROM moe5",
     "hot_trip_segments": "SELECT obs_id, journey_id, event_time, link_key, trip_segment, run_id FROM hspine",
     "hot_link_moe_5min": "SELECT * FROM hmoe5",
     "hot_link_moe_hourly": f"SELECT link_key, {_MEASURES} FROM hwayh LEFT JOIN htrah USING (link_key)",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from roadpulse.operators import pieces, sequence, speed
 from roadpulse.plans import fixtures as fx
 from roadpulse.sources import readers, sinks
 from roadpulse.sources.scratch import scratch_path, stored
+from roadpulse.streaming.journeys import stream_cells, stream_records, stream_trips
+from roadpulse.streaming.steps import run_in_steps
+from roadpulse.streaming.upkeep import add_increment, current_measures
 from roadpulse.streaming.waypoints import stream_waypoints
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,6 +280,41 @@ def hot_link_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.split_link_transitions(fx.hot_observations(spark, sf_dir), most=_HOT)
 
 
+def _arriving(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All observations in the parts in which they arrive, up to seven minutes late; then rows of other journeys far later, which end the stream."""
+    rows = fx.observations(spark, sf_dir)
+    minutes = F.floor(micros(F.col("local_time")) / 60_000_000) + F.col("obs_id") % 7
+    rows = stored(rows.withColumn("part", F.floor(minutes / 30).cast("long")))
+    first, last = rows.agg(F.min("part"), F.max("part")).first()
+    parts = [rows.filter(F.col("part") == p).drop("part") for p in range(first, last + 1)] if first is not None else [rows.drop("part")]
+    ends = [(datetime(9000 + i, 1, 1), f"end {i}") for i in (1, 2)]
+    schema = rows.drop("part").schema
+    return [*parts, *[spark.createDataFrame([(-1, j, t, t, 1.0, "no link")], schema) for t, j in ends]]
+
+
+def stream_trip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = run_in_steps(spark, _arriving(spark, sf_dir), stream_trips)
+    rows = spark.read.parquet(out).filter("obs_id >= 0")
+    return rows.select("obs_id", "journey_id", "event_time", "link_key", "trip_segment", "run_id")
+
+
+def stream_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of runs by one stream, their cells by another one over the records."""
+    records = spark.read.parquet(run_in_steps(spark, _arriving(spark, sf_dir), stream_records))
+    last = records.filter("link_key = 'no link'")
+    parts = [records.filter("link_key <> 'no link'"), last]
+    return spark.read.parquet(run_in_steps(spark, parts, lambda df: stream_cells(df, fx.links(spark))))
+
+
+def kept_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures kept over increments of whole journeys, one of which comes twice."""
+    store, rows = scratch_path(spark), fx.observations(spark, sf_dir)
+    for i in (0, 1, 2, 1):
+        own = rows.filter(F.crc32("journey_id") % 3 == i)
+        add_increment(store, m.partial_sums(m.runs_with_travel(own), fx.links(spark)), i)
+    return current_measures(spark, store)
+
+
 QUERIES: dict[str, Query] = {
     "trip_segments": trip_segments,
     "link_runs": link_runs,
@@ -329,5 +368,8 @@ QUERIES: dict[str, Query] = {
     "hot_link_moe_5min": _hot_moe(FIVE_MINUTES),
     "hot_link_moe_hourly": _hot_moe(HOURLY),
     "hot_link_transitions": hot_link_transitions,
+    "stream_trip_segments": stream_trip_segments,
+    "stream_link_moe_5min": stream_link_moe_5min,
+    "kept_link_moe_5min": kept_link_moe_5min,
     "stream_waypoints": stream_waypoints_table,
 }

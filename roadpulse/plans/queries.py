@@ -287,7 +287,7 @@ def _arriving(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     rows = stored(rows.withColumn("part", F.floor(minutes / 30).cast("long")))
     first, last = rows.agg(F.min("part"), F.max("part")).first()
     parts = [rows.filter(F.col("part") == p).drop("part") for p in range(first, last + 1)] if first is not None else [rows.drop("part")]
-    ends = [(datetime(9000 + i, 1, 1), f"end {i}") for i in (1, 2)]
+    ends = [(datetime(2200 + i, 1, 1), f"end {i}") for i in (1, 2)]
     schema = rows.drop("part").schema
     return [*parts, *[spark.createDataFrame([(-1, j, t, t, 1.0, "no link")], schema) for t, j in ends]]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.config import CorridorConfig
@@ -13,7 +13,7 @@ from roadpulse.operators.sequence import journey_order
 from roadpulse.operators.speed import posted_speed
 from roadpulse.sources.scratch import few
 
-#: Successor rows that the driver takes at once; larger tables are looked up step by step.
+#: Choices that the driver takes at once; of more the walk is made by joins.
 DRIVER_ROWS = 100_000
 
 
@@ -73,46 +73,73 @@ def next_link_choices(network: DataFrame, transitions: DataFrame) -> DataFrame:
     return best.select("link_key", "is_first", "next_link", "support", method.alias("selection_method"))
 
 
-def walk(network: DataFrame, transitions: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
-    """(corridor_order, link_key, transition_support, selection_method) of at most ``max_links`` links.
+_STEP = "struct<link_key:string,transition_support:bigint,selection_method:string>"
+_START = "start_highest_transition_support"
+
+
+def _step(link: str, support: Column, method: Column) -> Column:
+    return F.struct(F.col(link).alias("link_key"), support.cast("long").alias("transition_support"), method.alias("selection_method"))
 
-    The next link depends on the current one alone, so all choices are made by one distributed job. The walk follows them:
-    a small table is taken to the driver (its size is checked), of a large one a row for each step. It stops
-    at a dead end or at a link that it has visited. Without a start (no transitions out of a link of the network) it is empty: no error.
+
+def walks(network: DataFrame, transitions: DataFrame, starts: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
+    """(start_link, corridor_order, link_key, transition_support, selection_method): the walk from every ``link_key`` of ``starts``, as one plan.
+
+    The next link depends on the current one alone (but for the first step), so paths are doubled: what follows a link within two steps, four,
+    eight, by joining each path with that of its last link. A walk has at most ``max_links`` links, and stops at a dead end or
+    at a link that it has visited. Starts that aren't in the network, or lead nowhere, are walks of one link.
     """
-    spark = network.sparkSession
-    transitions = transitions.persist()
-    choices = next_link_choices(network, transitions).persist()
-    try:
-        rows = _walked(choices, transitions, network, config)
-    finally:
-        choices.unpersist()
-        transitions.unpersist()
-    return spark.createDataFrame(rows, "corridor_order int, link_key string, transition_support long, selection_method string")
+    choices = next_link_choices(network, transitions)
+    step = F.array(_step("next_link", F.col("support"), F.col("selection_method")))
+    ahead = choices.filter(~F.col("is_first")).select("link_key", F.col("next_link").alias("last"), step.alias("path"))
+    steps = 1
+    while steps < config.max_links - 2:
+        beyond = ahead.select(F.col("link_key").alias("last"), F.col("last").alias("beyond"), F.col("path").alias("more"))
+        joined = ahead.join(beyond, "last", "left")
+        ahead = joined.select("link_key", F.col("beyond").alias("last"), F.concat("path", F.coalesce("more", F.array().cast(f"array<{_STEP}>"))).alias("path"))
+        steps *= 2
+    own = starts.select(F.col("link_key").alias("start_link")).dropna().distinct()
+    totals = outgoing_totals(transitions).select(F.col("link_key").alias("start_link"), "outgoing_total")
+    first = choices.filter("is_first").select(F.col("link_key").alias("start_link"), "next_link", step.alias("first"))
+    rows = own.join(totals, "start_link", "left").join(first, "start_link", "left").join(ahead.select(F.col("link_key").alias("next_link"), "path"), "next_link", "left")
+    none = F.array().cast(f"array<{_STEP}>")
+    path = F.concat(F.array(_step("start_link", F.coalesce("outgoing_total", F.lit(0)), F.lit(_START))), F.coalesce("first", none), F.coalesce("path", none))
+    rows = rows.select("start_link", F.slice(path, 1, config.max_links).alias("path"))
+    keys = F.transform("path", lambda x: x["link_key"])
+    rows = rows.withColumn("keys", keys)
+    again = F.array_min(F.filter(F.transform("keys", lambda k, i: F.when(F.array_position("keys", k) <= i, i)), lambda i: i.isNotNull()))
+    rows = rows.select("start_link", F.posexplode(F.slice("path", F.lit(1), F.coalesce(again, F.size("path")))).alias("place", "s"))
+    return rows.select("start_link", (F.col("place") + 1).cast("int").alias("corridor_order"), "s.*")
+
 
+def walk(network: DataFrame, transitions: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
+    """(corridor_order, link_key, transition_support, selection_method) of at most ``max_links`` links, from the start or ``config.start_link``.
 
-def _walked(choices: DataFrame, transitions: DataFrame, network: DataFrame, config: CorridorConfig) -> list[tuple]:
-    totals = outgoing_totals(transitions)
+    Start and choices come to the driver in one job if they are few (their number is checked), which leaves a table of known size; else the walk is that
+    of ``walks``. Without a start (no transitions out of a link of the network) it is empty: no error.
+    """
+    spark = network.sparkSession
     if config.start_link is None:
-        found = start_link(transitions, network).collect()
-        start = (found[0]["link_key"], found[0]["outgoing_total"]) if found else None
+        start = start_link(transitions, network)
     else:
-        own = totals.filter(F.col("link_key") == config.start_link).collect()
-        start = (config.start_link, own[0]["outgoing_total"] if own else 0)
-    rows = []
-    if start is not None:
-        few = choices.limit(DRIVER_ROWS + 1).collect()
-        known = {(r["link_key"], r["is_first"]): r for r in few} if len(few) <= DRIVER_ROWS else None
-        link, support, method, seen = start[0], start[1], "start_highest_transition_support", set()
+        named = spark.createDataFrame([(config.start_link,)], "link_key string")
+        start = named.join(outgoing_totals(transitions), "link_key", "left").select("link_key", F.coalesce("outgoing_total", F.lit(0)).alias("outgoing_total"))
+    choices = next_link_choices(network, transitions)
+    begun = start.select("link_key", F.lit(None).cast("boolean").alias("is_first"), F.lit(None).cast("string").alias("next_link"), F.col("outgoing_total").alias("support"), F.lit(_START).alias("selection_method"))
+    known = begun.unionByName(choices).limit(DRIVER_ROWS + 1).toArrow().to_pylist()
+    if len(known) > DRIVER_ROWS:
+        return walks(network, transitions, start, config).drop("start_link")
+    steps = {(r["link_key"], r["is_first"]): r for r in known}
+    rows: list[tuple] = []
+    for link, support in [(r["link_key"], r["support"]) for r in known if r["is_first"] is None]:
+        method, seen = _START, set()
         while link not in seen and len(rows) < config.max_links:
             seen.add(link)
             rows.append((len(rows) + 1, link, support, method))
-            first = len(rows) == 1
-            step = known.get((link, first)) if known is not None else next(iter(choices.filter((F.col("link_key") == link) & (F.col("is_first") == first)).collect()), None)
+            step = steps.get((link, len(rows) == 1))
             if step is None:
                 break
             link, support, method = step["next_link"], step["support"], step["selection_method"]
-    return rows
+    return spark.createDataFrame(rows, "corridor_order int, link_key string, transition_support long, selection_method string")
 
 
 def with_attributes(corridor: DataFrame, network: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:

@@ -91,6 +91,7 @@ STEPS = {
     "pairs": f"SELECT a.link_key, b.link_key AS next_link, b.net_id, coalesce(t.support, 0) AS support, (array_to_string(string_split(a.link_key, '_')[1:2], '_') = array_to_string(string_split(b.link_key, '_')[1:2], '_'))::INT AS same_family, coalesce({_TURN.format('a.heading', 'b.heading')}, 999.0) AS turn, coalesce(b.to_node_id = a.from_node_id, false) AS back FROM net a JOIN net b ON a.to_node_id = b.from_node_id LEFT JOIN trans t ON t.from_link = a.link_key AND t.to_link = b.link_key",
     "succ": "SELECT link_key, is_first, next_link, support, CASE WHEN support > 0 THEN 'topology_cv_transition' WHEN same_family = 1 THEN 'topology_same_family' ELSE 'topology_heading' END AS selection_method FROM (SELECT *, row_number() OVER (PARTITION BY link_key, is_first ORDER BY support DESC, same_family DESC, turn, net_id) AS place FROM (SELECT *, true AS is_first FROM pairs UNION ALL SELECT *, false FROM pairs WHERE NOT back)) WHERE place = 1",
     "walk": "SELECT 1 AS corridor_order, link_key, outgoing_total AS transition_support, 'start_highest_transition_support' AS selection_method, [link_key] AS path FROM startl UNION ALL SELECT corridor_order + 1, s.next_link, s.support, s.selection_method, list_append(path, s.next_link) FROM walk w JOIN succ s ON s.link_key = w.link_key AND s.is_first = (corridor_order = 1) WHERE corridor_order < 40 AND NOT list_contains(path, s.next_link)",
+    "walks": "SELECT link_key AS start_link, 1 AS corridor_order, link_key, coalesce(outgoing_total, 0) AS transition_support, 'start_highest_transition_support' AS selection_method, [link_key] AS path FROM net LEFT JOIN totals USING (link_key) UNION ALL SELECT start_link, corridor_order + 1, s.next_link, s.support, s.selection_method, list_append(path, s.next_link) FROM walks w JOIN succ s ON s.link_key = w.link_key AND s.is_first = (corridor_order = 1) WHERE corridor_order < 40 AND NOT list_contains(path, s.next_link)",
     "lines": _line("net", "link_key AS lk, heading AS lh, Matched_GID AS lg", "geometry"),
     "segl": _line("seg", "*", "Geometry"),
     "corr": """SELECT corridor_order, link_key, transition_support, selection_method, length AS link_length_ft, sum(length) OVER w - length AS distance_start_ft, sum(length) OVER w AS distance_end_ft,
@@ -151,6 +152,8 @@ FINAL = {
     "start_link": "SELECT * FROM startl",
     "next_link_choices": "SELECT * FROM succ",
     "corridor_walk": "SELECT corridor_order, link_key, transition_support, selection_method FROM walk",
+    "corridor_walks": "SELECT start_link, corridor_order, link_key, transition_support, selection_method FROM walks",
+    "corridor_walk_from": "SELECT corridor_order, link_key, transition_support, selection_method FROM walks WHERE start_link = 'W3_0_12'",
     "corridor_links": "SELECT * EXCLUDE (x1, y1, x2, y2) FROM corr",
     "corridor_length": "SELECT coalesce(sum(link_length_ft), 0.0) AS total_length_ft, count(*) AS links FROM corr",
     "network_scalars": f"SELECT link_key, {_GID.format('Matched_GID')} AS gid, array_to_string(string_split(link_key, '_')[1:2], '_') AS family, {_TURN.format('heading', '350.0')} AS turn FROM net",

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.config import FIVE_MINUTES, HOURLY, MoeConfig
+from roadpulse.config import FIVE_MINUTES, HOURLY, CorridorConfig, MoeConfig
 from roadpulse.functions import geometry as g
 from roadpulse.functions.scalars import heading_difference, link_family, micros, normalize_gid
 from roadpulse.operators import corridor as c
@@ -23,6 +23,9 @@ from roadpulse.streaming.steps import run_in_steps
 from roadpulse.streaming.upkeep import add_increment, current_measures
 from roadpulse.streaming.waypoints import stream_waypoints
 
+#: A start that a user may name.
+START = "W3_0_12"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -90,6 +93,17 @@ def corridor_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.walk(fx.network(spark), link_transitions(spark, sf_dir))
 
 
+def corridor_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The walks from every link of the network."""
+    net = fx.network(spark)
+    return c.walks(net, link_transitions(spark, sf_dir), net)
+
+
+def corridor_walk_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The walk from a link that the user names."""
+    return c.walk(fx.network(spark), link_transitions(spark, sf_dir), CorridorConfig(start_link=START))
+
+
 def _corridor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.with_attributes(corridor_walk(spark, sf_dir), fx.network(spark))
 
@@ -334,6 +348,8 @@ QUERIES: dict[str, Query] = {
     "start_link": start_link,
     "next_link_choices": next_link_choices,
     "corridor_walk": corridor_walk,
+    "corridor_walks": corridor_walks,
+    "corridor_walk_from": corridor_walk_from,
     "corridor_links": corridor_links,
     "corridor_length": corridor_length,
     "network_scalars": network_scalars,

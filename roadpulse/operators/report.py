@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import geometry as g
 from roadpulse.functions.scalars import clip_percent, clock, maps_url
+from roadpulse.operators.quantile import exact_quantile
+from roadpulse.sources.scratch import stored
 
 #: Metrics of the link heat maps, and of the corridor's figures with how their colours are limited.
 HEATMAP_METRICS = ["avg_travel_time_s", "slow_movement_count", "slow_movement_pct", "DSH"]
@@ -88,8 +90,9 @@ def timespace_edges(moe: DataFrame) -> DataFrame:
 def color_limits(moe: DataFrame, metrics: dict[str, str] = TIMESPACE_METRICS) -> DataFrame:
     """(metric, mode, vmin, vmax): robust ends at the 95th percentile of the values that aren't negative."""
     stack = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(mode).alias("mode"), F.col(m).cast("double").alias("value")) for m, mode in metrics.items()]))
-    cells = moe.select("link_key", "time_bin", stack.alias("s")).groupBy("link_key", "time_bin", "s.metric", "s.mode").agg(F.avg("s.value").alias("value"))
-    found = cells.groupBy("metric", "mode").agg(F.count("value").alias("n"), F.expr("percentile(value, 0.95) FILTER (WHERE value >= 0)").alias("high"), F.max("value").alias("most"))
+    cells = stored(moe.select("link_key", "time_bin", stack.alias("s")).groupBy("link_key", "time_bin", "s.metric", "s.mode").agg(F.avg("s.value").alias("value")))
+    high = exact_quantile(cells.filter("value >= 0"), ["metric"], "value", 0.95, "high")
+    found = cells.groupBy("metric", "mode").agg(F.count("value").alias("n"), F.max("value").alias("most")).join(high, "metric", "left")
     robust = F.coalesce("high", "most")
     vmax = F.when(F.col("n") == 0, 1.0).when(F.col("mode").startswith("percent"), 100.0).when(robust > 0, robust).otherwise(1.0)
     return found.select("metric", "mode", F.lit(0.0).alias("vmin"), F.round(vmax, 6).alias("vmax"))

@@ -179,6 +179,8 @@ FINAL = {
     "stream_trip_segments": "SELECT obs_id, journey_id, event_time, link_key, trip_segment, run_id FROM spine",
     "stream_link_moe_5min": "SELECT * FROM moe5",
     "kept_link_moe_5min": "SELECT * FROM moe5",
+    "speed_quantiles": "SELECT link_key, round(quantile_cont(speed_mph, 0.85), 9) AS speed_85 FROM obs WHERE speed_mph >= 0 AND link_key IS NOT NULL GROUP BY link_key",
+    "bucketed_link_moe_5min": "SELECT * FROM moe5",
     "hot_trip_segments": "SELECT obs_id, journey_id, event_time, link_key, trip_segment, run_id FROM hspine",
     "hot_link_moe_5min": "SELECT * FROM hmoe5",
     "hot_link_moe_hourly": f"SELECT link_key, {_MEASURES} FROM hwayh LEFT JOIN htrah USING (link_key)",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,8 +16,10 @@ from roadpulse.operators import corridor as c
 from roadpulse.operators import moe as m
 from roadpulse.operators import report as r
 from roadpulse.operators import pieces, sequence, speed
+from roadpulse.operators.quantile import exact_quantile
 from roadpulse.plans import fixtures as fx
 from roadpulse.sources import readers, sinks
+from roadpulse.sources.layout import store_by_journey
 from roadpulse.sources.scratch import scratch_path, stored
 from roadpulse.streaming.journeys import stream_cells, stream_records, stream_trips
 from roadpulse.streaming.steps import run_in_steps
@@ -265,6 +268,18 @@ def stream_waypoints_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_waypoints(fx.observations(spark, sf_dir), fx.links(spark)).drop("journey_count")
 
 
+def speed_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speed that 85 of 100 waypoints of a link stay below."""
+    rows = fx.observations(spark, sf_dir).filter("speed_mph >= 0 AND link_key IS NOT NULL")
+    return exact_quantile(rows, ["link_key"], "speed_mph", 0.85, "speed_85").select("link_key", F.round("speed_85", 9).alias("speed_85"))
+
+
+def bucketed_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of observations that are stored by journey."""
+    table = store_by_journey(fx.observations(spark, sf_dir), f"observations_{uuid.uuid4().hex}", 8)
+    return m.link_moe(table, fx.links(spark))
+
+
 def selected_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of the links of a key list: the ten with most waypoints, written and read as a file; journeys on none of them go before the sort."""
     moe = _moe(FIVE_MINUTES)(spark, sf_dir)
@@ -378,6 +393,8 @@ QUERIES: dict[str, Query] = {
     "scan_link_moe": scan_link_moe,
     "scan_corridor": scan_corridor,
     "scan_corridor_moe": scan_corridor_moe,
+    "speed_quantiles": speed_quantiles,
+    "bucketed_link_moe_5min": bucketed_link_moe_5min,
     "selected_link_moe_5min": selected_link_moe_5min,
     "reduced_corridor_moe_5min": reduced_corridor_moe_5min,
     "hot_trip_segments": hot_trip_segments,

@@ -31,3 +31,20 @@ def few(df: DataFrame, most: int) -> DataFrame:
     if rows.num_rows > most:
         raise ValueError(f"more than {most} rows")
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``stored`` that nothing reads any more."""
+    for df in tables:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            _delete(df.sparkSession, folder)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every scratch table of this application, those behind results that are still lazy included."""
+    _delete(spark, scratch_path(spark).rpartition("/")[0])

@@ -79,7 +79,18 @@ def _in_order(observations: DataFrame, advance: Advance, schema: str, lateness:
             rows = [tuple(r) for r in self.waiting.get()]
             ready, rest = sorted((r for r in rows if r[0] <= now), key=lambda r: r[:2]), [r for r in rows if r[0] > now]
             state = pickle.loads(self.carried.get()[0]) if self.carried.exists() else {}
-            made = advance(state, ready, now)
+            made: list[tuple] = []
+            at = 0
+            while at < len(ready):
+                # a silence longer than ``forget`` begins the journey anew, whether its state was dropped meanwhile or not
+                if state and ready[at][0] - state["time"] > forget:
+                    made += advance(state, [], now)
+                    state = {}
+                to = next((i for i in range(at + 1, len(ready)) if ready[i][0] - ready[i - 1][0] > forget), len(ready))
+                made += advance(state, ready[at:to], now)
+                at = to
+            if not ready:
+                made += advance(state, [], now)
             if rest:
                 self.waiting.put(rest)
             else:
@@ -89,7 +100,8 @@ def _in_order(observations: DataFrame, advance: Advance, schema: str, lateness:
                 self.carried.clear()
             else:
                 self.carried.update((pickle.dumps(state),))
-                self.wake(min([end, *([state["open"]] if state.get("open") else []), *(r[0] for r in rest)]))
+                # timers are set ahead of the watermark: one behind it would not go off
+                self.wake(min([*([state["open"]] if state.get("open") else []), *([r[0] for r in rest] or [end])]))
             if made:
                 yield frame(key[0], made)
 
@@ -122,7 +134,8 @@ def stream_trips(observations: DataFrame, config: MoeConfig = FIVE_MINUTES, late
     """The rows of ``with_segments`` over a stream, each given out once the watermark (``lateness`` behind the latest time) has passed it.
 
     Rows later than that are dropped by the watermark, rows without a time cannot be placed and are left out. A journey's state is dropped
-    ``forget_s`` after its last row: should it go on even later, its numbers begin anew. The session needs ``STATE_STORE``.
+    ``forget_s`` after its last row: should it go on even later, its numbers begin anew. Times must be before 2262. The session needs
+    ``STATE_STORE``.
     """
     step = _steps(config)
 

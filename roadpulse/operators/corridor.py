@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,7 +126,7 @@ def walk(network: DataFrame, transitions: DataFrame, config: CorridorConfig = Co
         start = named.join(outgoing_totals(transitions), "link_key", "left").select("link_key", F.coalesce("outgoing_total", F.lit(0)).alias("outgoing_total"))
     choices = next_link_choices(network, transitions)
     begun = start.select("link_key", F.lit(None).cast("boolean").alias("is_first"), F.lit(None).cast("string").alias("next_link"), F.col("outgoing_total").alias("support"), F.lit(_START).alias("selection_method"))
-    known = begun.unionByName(choices).limit(DRIVER_ROWS + 1).toArrow().to_pylist()
+    known = begun.unionByName(choices).limit(DRIVER_ROWS + 1).coalesce(1).toArrow().to_pylist()
     if len(known) > DRIVER_ROWS:
         return walks(network, transitions, start, config).drop("start_link")
     steps = {(r["link_key"], r["is_first"]): r for r in known}
@@ -139,20 +140,24 @@ def walk(network: DataFrame, transitions: DataFrame, config: CorridorConfig = Co
             if step is None:
                 break
             link, support, method = step["next_link"], step["support"], step["selection_method"]
-    return spark.createDataFrame(rows, "corridor_order int, link_key string, transition_support long, selection_method string")
+    # of known size, unlike a table made of Python rows
+    columns = zip(*rows, strict=True) if rows else [()] * 4
+    types = (pa.int32(), pa.string(), pa.int64(), pa.string())
+    names = ["corridor_order", "link_key", "transition_support", "selection_method"]
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names))
 
 
 def with_attributes(corridor: DataFrame, network: DataFrame, config: CorridorConfig = CorridorConfig()) -> DataFrame:
     """The corridor with its links' attributes, running distance, and how each link joins the one before.
 
-    A corridor has at most ``max_links`` rows (that many are broadcast), so one ordered window is fine.
+    A corridor has at most ``max_links`` rows, so one ordered window is fine; Spark broadcasts it where it knows that (a local or stored table).
     """
     w = Window.orderBy("corridor_order")
     size = F.coalesce("length", F.lit(0.0))
     scale = 1.0 if config.distance_unit == "crs" else 1 / g.US_FOOT
     # the network is cut down to the corridor's links before anything else is done with it
-    own = network.join(F.broadcast(corridor.select("link_key")), "link_key", "left_semi")
-    rows = corridor.join(F.broadcast(own), "link_key", "left").withColumn("lines", g.parse_lines(F.col("geometry")))
+    own = network.join(corridor.select("link_key"), "link_key", "left_semi")
+    rows = corridor.join(own, "link_key", "left").withColumn("lines", g.parse_lines(F.col("geometry")))
     rows = rows.withColumns({
         "link_length_ft": F.col("length"),
         "distance_end_ft": F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)),
@@ -161,7 +166,7 @@ def with_attributes(corridor: DataFrame, network: DataFrame, config: CorridorCon
         "begin": g.first_point(F.col("lines")),
         "place": F.row_number().over(w),
     })
-    gap = F.round(g.distance(g.project_point(F.col("before_end")), g.project_point(F.col("begin"))) * scale, 6)
+    gap = g.distance(g.project_point(F.col("before_end")), g.project_point(F.col("begin"))) * scale
     return rows.withColumns({
         "distance_start_ft": F.col("distance_end_ft") - size,
         "topology_connected_from_previous": F.when(F.col("place") > 1, F.coalesce(F.col("before_to") == F.col("from_node_id"), F.lit(False))),
@@ -173,7 +178,7 @@ def corridor_length(corridor: DataFrame) -> DataFrame:
     return corridor.agg(F.coalesce(F.sum("link_length_ft"), F.lit(0.0)).alias("total_length_ft"), F.count("*").alias("links"))
 
 
-#: The corridor's table, in this order; columns that the network lacks are left out.
+#: The corridor's table, in this order; columns that the network lacks are left out.
 CORRIDOR_COLUMNS = [
     "corridor_order", "link_key", "from_node_id", "to_node_id", "Matched_GID", "txdot_gid",
     "heading", "transition_support", "selection_method", "link_length_ft", "distance_start_ft",
@@ -188,5 +193,5 @@ def build_corridor(observations: DataFrame, network: DataFrame, segments: DataFr
     """The finished corridor: walk, attributes and posted speed, at most ``max_links`` rows, which are computed here and now."""
     # each step is a few rows, which the next ones name several times
     links = few(with_attributes(walk(network, link_transitions(observations, config.gap_s), config), network, config), config.max_links)
-    links = links.join(F.broadcast(posted_speed(links, segments, config)), "link_key", "left")
+    links = links.join(posted_speed(links, segments, config), "link_key", "left")
     return few(links.select(*[F.col(f"`{c}`") for c in CORRIDOR_COLUMNS if c in links.columns]), config.max_links)

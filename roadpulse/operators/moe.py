@@ -111,7 +111,7 @@ def dsh_runs(stats: DataFrame) -> DataFrame:
 
 
 def dsh_metrics(stats: DataFrame, config: MoeConfig = FIVE_MINUTES) -> DataFrame:
-    return dsh_runs(stats).groupBy(*keys(config)).agg(F.count("*").alias("dsh_trip_count"), F.round(F.sum("trip_dsh"), 9).alias("dsh_sum"))
+    return dsh_runs(stats).groupBy(*keys(config)).agg(F.count("*").alias("dsh_trip_count"), F.sum("trip_dsh").alias("dsh_sum"))
 
 
 def run_entries(segments: DataFrame) -> DataFrame:
@@ -195,8 +195,8 @@ def measured(cells: DataFrame, by: list[str]) -> DataFrame:
     crossed = F.when(F.col("crossed") > 0, F.col("crossed"))
     return cells.filter("n > 0").select(
         *by, F.col("n").alias("waypoint_count"), "journey_count", speed.alias("total_speed"), F.col("slow").alias("slow_movement_count"), F.col("slow_sum").cast("double").alias("slow_speed_sum"),
-        (ratio(F.col("slow_sum").cast("double"), speed) * 100.0).alias("slow_movement_pct"), F.col("runs").alias("dsh_trip_count"), F.round(F.col("dsh") / F.col("runs"), 9).alias("DSH"),
-        crossed.alias("complete_traversal_count"), F.round(F.col("travel") / 1_000_000.0 / F.col("crossed"), 6).alias("avg_travel_time_s"),
+        (ratio(F.col("slow_sum").cast("double"), speed) * 100.0).alias("slow_movement_pct"), F.col("runs").alias("dsh_trip_count"), (F.col("dsh") / F.col("runs")).alias("DSH"),
+        crossed.alias("complete_traversal_count"), (F.col("travel") / 1_000_000.0 / F.col("crossed")).alias("avg_travel_time_s"),
     )
 
 

@@ -42,7 +42,7 @@ def heatmap_grid(moe: DataFrame, *metrics: str, n: int = 30) -> DataFrame:
     ``moe`` should be a stored table, as it is read several times.
     """
     links = _ranked(top_links(moe, n)).select("rank", "link_key")
-    cells = moe.join(F.broadcast(links), "link_key").select("rank", "link_key", "time_bin", _values(moe, list(metrics or HEATMAP_METRICS)).alias("v"))
+    cells = moe.join(links, "link_key").select("rank", "link_key", "time_bin", _values(moe, list(metrics or HEATMAP_METRICS)).alias("v"))
     cells = cells.groupBy("rank", "link_key", "time_bin", F.col("v.metric").alias("metric")).agg(F.avg("v.value").alias("value"))
     rows = links.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics or HEATMAP_METRICS])))
     grid = _with_times(rows, cells.filter(F.col("value").isNotNull()), "metric")
@@ -50,8 +50,8 @@ def heatmap_grid(moe: DataFrame, *metrics: str, n: int = 30) -> DataFrame:
 
 
 def pivoted(grid: DataFrame) -> DataFrame:
-    """One row per link and one column per time, of the grid of one metric; of times at the same clock on several days the mean."""
-    return grid.groupBy("rank", "link_key").pivot("label").agg(F.avg("value")).orderBy("rank")
+    """One row per link and one column per time (named by day and clock), of the grid of one metric; the clock alone labels an axis."""
+    return grid.withColumn("at", F.date_format("time_bin", "yyyy-MM-dd HH:mm")).groupBy("rank", "link_key").pivot("at").agg(F.avg("value")).orderBy("rank")
 
 
 def time_step(moe: DataFrame) -> DataFrame:
@@ -95,20 +95,19 @@ def color_limits(moe: DataFrame, metrics: dict[str, str] = TIMESPACE_METRICS) ->
     found = cells.groupBy("metric", "mode").agg(F.count("value").alias("n"), F.max("value").alias("most")).join(high, "metric", "left")
     robust = F.coalesce("high", "most")
     vmax = F.when(F.col("n") == 0, 1.0).when(F.col("mode").startswith("percent"), 100.0).when(robust > 0, robust).otherwise(1.0)
-    return found.select("metric", "mode", F.lit(0.0).alias("vmin"), F.round(vmax, 6).alias("vmax"))
+    return found.select("metric", "mode", F.lit(0.0).alias("vmin"), vmax.alias("vmax"))
 
 
 def corridor_summary(moe: DataFrame) -> DataFrame:
     """Unweighted means of the bins of each link."""
-    mean = lambda c: F.round(F.avg(c), 6)
     return moe.groupBy("link_key").agg(
-        mean("avg_speed_mph").alias("mean_avg_speed_mph"),
-        mean("speed_reduction_pct").alias("mean_speed_reduction_pct"),
-        F.round(F.max("speed_reduction_pct"), 6).alias("max_speed_reduction_pct"),
-        mean("avg_travel_time_s").alias("mean_avg_travel_time_s"),
+        F.avg("avg_speed_mph").alias("mean_avg_speed_mph"),
+        F.avg("speed_reduction_pct").alias("mean_speed_reduction_pct"),
+        F.max("speed_reduction_pct").alias("max_speed_reduction_pct"),
+        F.avg("avg_travel_time_s").alias("mean_avg_travel_time_s"),
         F.coalesce(F.sum("waypoint_count"), F.lit(0)).alias("total_waypoints"),
-        mean("slow_movement_pct").alias("mean_slow_movement_pct"),
-        mean("DSH").alias("mean_DSH"),
+        F.avg("slow_movement_pct").alias("mean_slow_movement_pct"),
+        F.avg("DSH").alias("mean_DSH"),
         F.coalesce(F.sum("complete_traversal_count"), F.lit(0)).alias("total_complete_traversals"),
     )
 
@@ -123,7 +122,7 @@ def map_points(corridor: DataFrame) -> DataFrame:
     points = {"start": g.first_point(F.col("lines")), "mid": g.midpoint(F.col("lines")), "end": g.last_point(F.col("lines"))}
     cols, urls = [], []
     for name, p in points.items():
-        lat, lon = F.round(p["y"], 9), F.round(p["x"], 9)
+        lat, lon = p["y"], p["x"]
         cols += [lat.alias(f"{name}_lat"), lon.alias(f"{name}_lon")]
         urls.append(maps_url(lat, lon).alias(f"{name}_google_maps_url"))
     return rows.select("corridor_order", "link_key", "distance_start_ft", "distance_end_ft", *cols, *urls)
@@ -136,12 +135,12 @@ def _suffixed(right: DataFrame, left: DataFrame, suffix: str) -> DataFrame:
 
 def diagnostic(corridor: DataFrame, network: DataFrame, summary: DataFrame) -> DataFrame:
     """The corridor with the network's attributes (suffix _network where names clash), map points and the summary of its measures."""
-    own = network.join(F.broadcast(corridor.select("link_key")), "link_key", "left_semi")  # a corridor is a few dozen links
+    own = network.join(corridor.select("link_key"), "link_key", "left_semi")
     points = map_points(corridor).drop("corridor_order", "distance_start_ft", "distance_end_ft")
     return corridor.join(_suffixed(own, corridor, "_network"), "link_key", "left").join(points, "link_key", "left").join(summary, "link_key", "left")
 
 
 def export_layer(network: DataFrame, corridor: DataFrame) -> DataFrame:
     """The network's links that are in the corridor, in its order, with the corridor's attributes but its geometry (suffix _corridor where names clash)."""
-    own = network.join(F.broadcast(corridor.select("link_key")), "link_key", "left_semi")  # a corridor is a few dozen links
+    own = network.join(corridor.select("link_key"), "link_key", "left_semi")
     return own.join(_suffixed(corridor.drop("geometry"), network, "_corridor"), "link_key", "left").orderBy(F.col("corridor_order").cast("int"))

@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.config import FIVE_MINUTES, HOURLY, CorridorConfig, MoeConfig
 from roadpulse.functions import geometry as g
-from roadpulse.functions.scalars import heading_difference, link_family, micros, normalize_gid
+from roadpulse.functions.scalars import heading_difference, link_family, maps_url, micros, normalize_gid
 from roadpulse.operators import corridor as c
 from roadpulse.operators import moe as m
 from roadpulse.operators import report as r
@@ -45,7 +45,7 @@ def link_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, sf_dir: str, config: MoeConfig) -> DataFrame:
-    return m.run_stats(_segments(spark, sf_dir, config), fx.links(spark), config)
+    return m.run_stats(_segments(spark, sf_dir, config), fx.links(spark, sf_dir), config)
 
 
 def _waypoints(config: MoeConfig) -> Query:
@@ -65,15 +65,15 @@ def run_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def traversals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.traversals(_segments(spark, sf_dir), fx.links(spark))
+    return m.traversals(_segments(spark, sf_dir), fx.links(spark, sf_dir))
 
 
 def _travel(config: MoeConfig) -> Query:
-    return lambda spark, sf_dir: m.travel_time_metrics(m.traversals(_segments(spark, sf_dir, config), fx.links(spark)), config)
+    return lambda spark, sf_dir: m.travel_time_metrics(m.traversals(_segments(spark, sf_dir, config), fx.links(spark, sf_dir)), config)
 
 
 def _moe(config: MoeConfig) -> Query:
-    return lambda spark, sf_dir: m.link_moe(fx.observations(spark, sf_dir), fx.links(spark), config)
+    return lambda spark, sf_dir: m.link_moe(fx.observations(spark, sf_dir), fx.links(spark, sf_dir), config)
 
 
 def link_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,30 +85,30 @@ def outgoing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def start_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.start_link(link_transitions(spark, sf_dir), fx.network(spark))
+    return c.start_link(link_transitions(spark, sf_dir), fx.network(spark, sf_dir))
 
 
 def next_link_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.next_link_choices(fx.network(spark), link_transitions(spark, sf_dir))
+    return c.next_link_choices(fx.network(spark, sf_dir), link_transitions(spark, sf_dir))
 
 
 def corridor_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.walk(fx.network(spark), link_transitions(spark, sf_dir))
+    return c.walk(fx.network(spark, sf_dir), link_transitions(spark, sf_dir))
 
 
 def corridor_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The walks from every link of the network."""
-    net = fx.network(spark)
+    net = fx.network(spark, sf_dir)
     return c.walks(net, link_transitions(spark, sf_dir), net)
 
 
 def corridor_walk_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The walk from a link that the user names."""
-    return c.walk(fx.network(spark), link_transitions(spark, sf_dir), CorridorConfig(start_link=START))
+    return c.walk(fx.network(spark, sf_dir), link_transitions(spark, sf_dir), CorridorConfig(start_link=START))
 
 
 def _corridor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.with_attributes(corridor_walk(spark, sf_dir), fx.network(spark))
+    return c.with_attributes(corridor_walk(spark, sf_dir), fx.network(spark, sf_dir))
 
 
 def corridor_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ def corridor_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def network_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.network(spark).select(
+    return fx.network(spark, sf_dir).select(
         "link_key", normalize_gid(F.col("Matched_GID")).alias("gid"), link_family(F.col("link_key")).alias("family"), heading_difference(F.col("heading"), F.lit(350.0)).alias("turn")
     )
 
@@ -130,22 +130,22 @@ def network_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = g.parse_lines(F.col("geometry"))
     plane = g.project(lines)
     start, middle = g.first_point(plane), g.midpoint(plane)
-    return fx.network(spark).select(
+    return fx.network(spark, sf_dir).select(
         "link_key", F.round(g.length(lines), 9).alias("degrees"), F.round(g.length(plane), 6).alias("metres"),
         F.round(start["x"], 6).alias("start_x"), F.round(start["y"], 6).alias("start_y"), F.round(middle["x"], 6).alias("mid_x"), F.round(middle["y"], 6).alias("mid_y"),
     )
 
 
 def speed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speed.speed_candidates(fx.network(spark), fx.segments(spark))
+    return speed.speed_candidates(fx.network(spark, sf_dir), fx.segments(spark, sf_dir))
 
 
 def posted_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speed.posted_speed(fx.network(spark), fx.segments(spark))
+    return speed.posted_speed(fx.network(spark, sf_dir), fx.segments(spark, sf_dir))
 
 
 def corridor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.build_corridor(fx.observations(spark, sf_dir), fx.network(spark), fx.segments(spark))
+    return c.build_corridor(fx.observations(spark, sf_dir), fx.network(spark, sf_dir), fx.segments(spark, sf_dir))
 
 
 def corridor_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +161,8 @@ def heatmap_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def heatmap_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.pivoted(stored(r.heatmap_grid(stored(_moe(FIVE_MINUTES)(spark, sf_dir)), "DSH")))
+    grid = r.heatmap_grid(stored(_moe(FIVE_MINUTES)(spark, sf_dir)), "DSH")
+    return r.pivoted(stored(grid.withColumn("value", F.round("value", 9))))
 
 
 def timespace_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,8 +197,16 @@ def worst_travel_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.worst(corridor_summary(spark, sf_dir), "mean_avg_travel_time_s")
 
 
+def _points_rounded(df: DataFrame) -> DataFrame:
+    """Points to nine digits and the map links of these: the last digits differ between engines."""
+    for p in ("start", "mid", "end"):
+        lat, lon = F.round(f"{p}_lat", 9), F.round(f"{p}_lon", 9)
+        df = df.withColumns({f"{p}_lat": lat, f"{p}_lon": lon, f"{p}_google_maps_url": maps_url(lat, lon)})
+    return df
+
+
 def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.map_points(_corridor(spark, sf_dir))
+    return _points_rounded(r.map_points(_corridor(spark, sf_dir)))
 
 
 _POINT_COLUMNS = [f"{p}_{x}" for p in ("start", "mid", "end") for x in ("lat", "lon", "google_maps_url")]
@@ -207,22 +216,22 @@ def corridor_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corridor beside what is known of its links; of the clashing columns some."""
     corridor = corridor_table(spark, sf_dir)
     moe = m.corridor_moe(fx.observations(spark, sf_dir), corridor)
-    out = r.diagnostic(corridor, fx.network(spark), r.corridor_summary(moe))
+    out = _points_rounded(r.diagnostic(corridor, fx.network(spark, sf_dir), r.corridor_summary(moe)))
     summary = [x for x in out.columns if x.startswith(("mean_", "max_", "total_"))]
     return out.select("corridor_order", "link_key", "heading", "heading_network", "Matched_GID_network", "length", "posted_speed_limit_mph", *_POINT_COLUMNS, *summary)
 
 
 def corridor_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layer = sinks.geopackage_layer(r.export_layer(fx.network(spark), corridor_table(spark, sf_dir)), "geometry")
+    layer = sinks.geopackage_layer(r.export_layer(fx.network(spark, sf_dir), corridor_table(spark, sf_dir)), "geometry")
     return layer.select("net_id", "link_key", "from_node_id", "heading", "name", "geometry", "corridor_order", "link_length_ft", "Matched_GID_corridor", "name_corridor", "posted_speed_limit_mph")
 
 
 def geopackage_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two layers of the export, by name."""
     corridor = corridor_table(spark, sf_dir)
-    a = sinks.geopackage_layer(r.export_layer(fx.network(spark), corridor), "geometry").select(F.lit("corridor_links").alias("layer"), F.col("link_key").alias("key"), "geom")
+    a = sinks.geopackage_layer(r.export_layer(fx.network(spark, sf_dir), corridor), "geometry").select(F.lit("corridor_links").alias("layer"), F.col("link_key").alias("key"), "geom")
     wanted = corridor.select(normalize_gid(F.col("Matched_GID")).alias("gid")).dropna().distinct()
-    own = fx.segments(spark).withColumn("gid", normalize_gid(F.col("GID"))).join(wanted, "gid", "left_semi")
+    own = fx.segments(spark, sf_dir).withColumn("gid", normalize_gid(F.col("GID"))).join(wanted, "gid", "left_semi")
     b = sinks.geopackage_layer(own, "Geometry").select(F.lit("txdot_segments").alias("layer"), F.col("LinkID").cast("string").alias("key"), "geom")
     return a.unionByName(b).select("layer", "key", F.size("geom").alias("parts"))
 
@@ -235,20 +244,26 @@ def _as_csv(df: DataFrame, *order: str) -> str:
 
 
 def scan_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_observations(spark, _as_csv(fx.observations(spark, sf_dir).drop("obs_id"))).drop("obs_id")
+    """Several files; the place of each row in the order of files and rows, by its number."""
+    path = _as_csv(fx.observations(spark, sf_dir).repartitionByRange(4, "obs_id").sortWithinPartitions("obs_id").drop("obs_id"))
+    rows = readers.read_observations(spark, path)
+    earlier = Window.partitionBy("journey_id").orderBy("obs_id")
+    return rows.withColumn("place", F.row_number().over(earlier)).drop("obs_id")
 
 
 def scan_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each link twice in the file; the first row counts."""
-    net = fx.network(spark).withColumns({"facility_type": F.lit("f"), "rdbd_type": F.lit("r"), "functional_class": F.lit("c")}).withColumnRenamed("Matched_GID", "matched_gid")
+    net = fx.network(spark, sf_dir).withColumns({"facility_type": F.lit("f"), "rdbd_type": F.lit("r"), "functional_class": F.lit("c")}).withColumnRenamed("Matched_GID", "matched_gid")
     twice = net.withColumn("copy", F.lit(1)).unionByName(net.withColumns({"copy": F.lit(2), "name": F.lit("again")}))
-    out = readers.read_network(spark, _as_csv(twice, "copy", "net_id"), fx.links(spark))
+    out = readers.read_network(spark, _as_csv(twice, "copy", "net_id"), fx.links(spark, sf_dir))
     return out.select("link_key", "from_node_id", "to_node_id", "geometry", "heading", "length", "Matched_GID", "name", "RDBD_TYPE")
 
 
 def scan_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = readers.read_segments(spark, _as_csv(fx.segments(spark)), fx.network(spark).filter("net_id < 20"))
-    return out.select(F.col("LinkID").cast("int").alias("LinkID"), "GID_norm", "Geometry", "Heading", "SpeedLimit")
+    """The segments with an identifier of the observed links."""
+    own = fx.network(spark, sf_dir).join(fx.links(spark, sf_dir), "link_key", "left_semi")
+    out = readers.read_segments(spark, _as_csv(fx.segments(spark, sf_dir)), own)
+    return out.select(F.col("LinkID").cast("long").alias("LinkID"), "GID_norm", "Geometry", "Heading", "SpeedLimit")
 
 
 def scan_link_moe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +280,7 @@ def scan_corridor_moe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_waypoints_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream's plan over a table, without the approximate column."""
-    return stream_waypoints(fx.observations(spark, sf_dir), fx.links(spark)).drop("journey_count")
+    return stream_waypoints(fx.observations(spark, sf_dir), fx.links(spark, sf_dir)).drop("journey_count")
 
 
 def speed_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,7 +292,7 @@ def speed_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of observations that are stored by journey."""
     table = store_by_journey(fx.observations(spark, sf_dir), f"observations_{uuid.uuid4().hex}", 8)
-    return m.link_moe(table, fx.links(spark))
+    return m.link_moe(table, fx.links(spark, sf_dir))
 
 
 def selected_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +317,7 @@ def hot_trip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hot_moe(config: MoeConfig) -> Query:
-    return lambda spark, sf_dir: m.split_link_moe(fx.hot_observations(spark, sf_dir), fx.links(spark), config, most=_HOT)
+    return lambda spark, sf_dir: m.split_link_moe(fx.hot_observations(spark, sf_dir), fx.links(spark, sf_dir), config, most=_HOT)
 
 
 def hot_link_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +347,7 @@ def stream_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = spark.read.parquet(run_in_steps(spark, _arriving(spark, sf_dir), stream_records))
     last = records.filter("link_key = 'no link'")
     parts = [records.filter("link_key <> 'no link'"), last]
-    return spark.read.parquet(run_in_steps(spark, parts, lambda df: stream_cells(df, fx.links(spark))))
+    return spark.read.parquet(run_in_steps(spark, parts, lambda df: stream_cells(df, fx.links(spark, sf_dir))))
 
 
 def kept_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +355,7 @@ def kept_link_moe_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, rows = scratch_path(spark), fx.observations(spark, sf_dir)
     for i in (0, 1, 2, 1):
         own = rows.filter(F.crc32("journey_id") % 3 == i)
-        add_increment(store, m.partial_sums(m.runs_with_travel(own), fx.links(spark)), i)
+        add_increment(store, m.partial_sums(m.runs_with_travel(own), fx.links(spark, sf_dir)), i)
     return current_measures(spark, store)
 
 
@@ -406,3 +421,24 @@ QUERIES: dict[str, Query] = {
     "kept_link_moe_5min": kept_link_moe_5min,
     "stream_waypoints": stream_waypoints_table,
 }
+
+#: Results that add up fractions in any order, or that hang on an engine's sines, to so many digits; the operators round nothing.
+ROUNDED: dict[str, dict[str, int]] = (
+    dict.fromkeys(["dsh_5min", "dsh_hourly"], {"dsh_sum": 9})
+    | dict.fromkeys([q for q in QUERIES if "link_moe" in q or "corridor_moe" in q], {"DSH": 9})
+    | {"corridor_links": {"geometry_connection_gap_ft": 6}, "speed_candidates": {"distance": 6}, "posted_speed": {"txdot_match_distance_ft": 6}}
+    | dict.fromkeys(["corridor_table", "scan_corridor"], {"geometry_connection_gap_ft": 6, "txdot_match_distance_ft": 6})
+    | dict.fromkeys(["heatmap_grid", "timespace_grid"], {"value": 9})
+    | {"color_limits": {"vmax": 6}}
+    | dict.fromkeys(
+        ["corridor_summary", "worst_speed_reduction", "worst_travel_time", "corridor_diagnostic"],
+        dict.fromkeys(["mean_avg_speed_mph", "mean_speed_reduction_pct", "max_speed_reduction_pct", "mean_avg_travel_time_s", "mean_slow_movement_pct", "mean_DSH"], 6),
+    )
+)
+
+
+def _rounded(query: Query, digits: dict[str, int]) -> Query:
+    return lambda spark, sf_dir: query(spark, sf_dir).withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+QUERIES |= {name: _rounded(QUERIES[name], digits) for name, digits in ROUNDED.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ _TEXT = {"link_key", "Matched_GID", "txdot_gid", "txdot_link_id", "selection_met
 
 #: Bits of a row's ordinal for its place in the file.
 _PLACE = 44
+#: Bytes of files' names that are broadcast.
+_NAMES = 64 << 20
 _HEAD = "^[a-z0-9]+:(//[^/]*)?"
 
 
@@ -28,11 +31,13 @@ def _ordered(df: DataFrame, place: Column) -> DataFrame:
     """``df`` with ``file_order``: by the files' names, then by ``place`` in the file."""
     # Spark writes the head of a path in several ways
     files = sorted({re.sub(_HEAD, "", f) for f in df.inputFiles()})
+    # the names are all that is known of a file here; Spark holds them on the driver too
     named = df.select("*", F.regexp_replace("_metadata.file_path", _HEAD, "").alias("__path"), place.alias("__place"))
     if len(files) < 2:
         return named.withColumn("file_order", F.col("__place")).drop("__path", "__place")
-    ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "__rank long, __path string")
-    both = named.join(ranks, "__path", "left")
+    ranks = df.sparkSession.createDataFrame(pa.table([pa.array(range(len(files)), pa.int64()), pa.array(files, pa.string())], ["__rank", "__path"]))
+    # no shuffle of the rows unless the names alone are too large to be sent to all machines
+    both = named.join(F.broadcast(ranks) if sum(map(len, files)) < _NAMES else ranks, "__path", "left")
     return both.withColumn("file_order", F.shiftleft(F.coalesce("__rank", F.lit(len(files))), _PLACE) + F.col("__place")).drop("__path", "__rank", "__place")
 
 
@@ -53,17 +58,22 @@ def _number(df: DataFrame, column: str) -> Column:
     return safe_double(c) if dict(df.dtypes)[column] == "string" else F.when(~F.isnan(c.cast("double")), c.cast("double"))
 
 
+def _whole(text: Column) -> Column:
+    """A whole number of any 64 bits, also of a text such as '12.0'; others are null."""
+    return F.coalesce(text.try_cast("long"), safe_double(text).try_cast("long"))
+
+
 def _time(df: DataFrame, column: str, formats: tuple[str, ...]) -> Column:
     c = F.col(f"`{column}`")
     return safe_timestamp(c, *formats) if dict(df.dtypes)[column] == "string" else c.cast("timestamp_ntz")
 
 
-def read_observations(spark: SparkSession, path: str, *formats: str) -> DataFrame:
-    """Observations from CSV or Parquet; ``obs_id`` numbers the rows in the order of the input.
+def read_observations(spark: SparkSession, path: str, *formats: str, source: str | None = None) -> DataFrame:
+    """Observations from CSV or Parquet (``source``; by the name's ending if none is given); ``obs_id`` numbers the rows in the order of the input.
 
     Typed columns of Parquet keep their types, so that filters on keys reach its scan; instants become times of the session's zone.
     """
-    if path.rstrip("/").endswith(".parquet"):
+    if (source or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")) == "parquet":
         df = spark.read.parquet(path)
         df = _ordered(df, F.col("_metadata.row_index")).select(*OBSERVATIONS, "file_order")
     else:
@@ -86,7 +96,7 @@ def _read_result(spark: SparkSession, path: str, columns: list[str]) -> DataFram
             return safe_timestamp(F.col(c))
         if c == "topology_connected_from_previous":
             return F.col(c).try_cast("boolean")
-        return safe_double(F.col(c)).cast("long") if c in _WHOLE else safe_double(F.col(c))
+        return _whole(F.col(c)) if c in _WHOLE else safe_double(F.col(c))
 
     return df.select(*[typed(c).alias(c) for c in columns if c in df.columns])
 
@@ -126,7 +136,7 @@ def read_network(spark: SparkSession, path: str, links: DataFrame | None = None,
     df = df.select(*[F.col(f"`{c}`") for c in NETWORK], F.col("file_order").alias("net_id"))
     if links is not None:
         df = df.join(links.select("link_key").dropna().distinct(), "link_key", "left_semi")
-    typed = {c: safe_double(F.col(c)).cast(t) for c, t in (("from_node_id", "long"), ("to_node_id", "long"), ("heading", "double"), ("length", "double"))}
+    typed = {c: _whole(F.col(c)) for c in ("from_node_id", "to_node_id")} | {c: safe_double(F.col(c)) for c in ("heading", "length")}
     return first_of(df.withColumns(typed | {"Matched_GID": normalize_gid(F.col("Matched_GID"))}), "link_key", "net_id")
 
 

@@ -27,7 +27,8 @@ def stored(df: DataFrame) -> DataFrame:
 
 def few(df: DataFrame, most: int) -> DataFrame:
     """The rows of a table that has at most ``most``, computed here and now; Spark knows how small they are then."""
-    rows = df.limit(most + 1).toArrow()
+    # one partition: else Spark looks for the rows in one job after the other
+    rows = df.limit(most + 1).coalesce(1).toArrow()
     if rows.num_rows > most:
         raise ValueError(f"more than {most} rows")
     return df.sparkSession.createDataFrame(rows, df.schema)

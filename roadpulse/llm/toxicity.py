@@ -4,14 +4,15 @@ Two models, one of toxic and one of ordinary text, give each word a probability.
 it took to its model of stems (the first STEM letters), and what that takes to one model of the stems of both classes; within a
 stem both classes share the counts of its words. So a word or stem that is too rare to tell gets nearly the same
 probability from both, and no ratio exceeds what the sizes of the classes allow. A discount takes at least a constant, and all that
-the other class's rate would explain several times over: a class that by chance holds more of one language or topic doesn't shift
-the ratio of every common word then. As in Kneser-Ney's counts of contexts, a word counts once for each text that has it, so that
+the other class's rate would explain so many times over: a class that by chance holds more of one language or topic doesn't shift
+the ratio of every common word then. Both are chosen from a grid by the labelled rows that are kept out of the counts. As in Kneser-Ney's counts of contexts, a word counts once for each text that has it, so that
 a text that repeats itself is no evidence. A document's score compares the two log-likelihoods divided by the number of
 words, through a logistic calibration on labelled rows kept out of the counts.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,12 +25,12 @@ from pyspark.sql import functions as F
 from .common import discard, hash_words, materialize, share, small, split_words, text_bytes
 
 STEM = 4
-#: Taken from each count that both classes share, and at least from each count of a class.
+#: Taken from each count that both classes share.
 DISCOUNT = 0.75
-CLASS_DISCOUNT = 3.0
-#: A class keeps what a count has beyond this many times the other class's rate (with UNSEEN more occurrences there than were seen).
-EXPLAINED = 7.4
-UNSEEN = 3.0
+#: The grid: what is taken from each count of a class at least, and how many times the other class's rate (with one more occurrence there than
+#: were seen) is taken where that is more.
+CLASS_DISCOUNTS = (0.75, 3.0)
+EXPLAINED = (1.0, 4.0, 8.0, 16.0)
 #: Labelled rows, and bytes of their texts, that the model is fitted on, at most (in expectation; rows are chosen by a hash of the id).
 MAX_TRAINING_ROWS = 24_000
 MAX_TRAINING_BYTES = 64 << 20
@@ -100,18 +101,18 @@ def _by_hash(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[order], values[order]
 
 
-def _keep(counts: DataFrame) -> DataFrame:
+def _keep(counts: DataFrame, least: float, explained: float) -> DataFrame:
     """``counts`` with what the toxic and the ordinary class keep of them (k0, k1), as shares of all counts of the class (n0, n1)."""
     total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("toxic", "n0"), ("ordinary", "n1"))])
 
     def kept(own: str, other: str, n: str, m: str) -> Column:
-        rate = (F.col(other) + UNSEEN) / (F.col(m) + UNSEEN)
-        return F.greatest(F.lit(0.0), F.col(own) - F.greatest(F.lit(CLASS_DISCOUNT), EXPLAINED * F.col(n) * rate)) / F.greatest(F.col(n), F.lit(1))
+        rate = (F.col(other) + 1) / (F.col(m) + 1)
+        return F.greatest(F.lit(0.0), F.col(own) - F.greatest(F.lit(least), explained * F.col(n) * rate)) / F.greatest(F.col(n), F.lit(1))
 
     return counts.crossJoin(F.broadcast(total)).withColumns({"k0": kept("toxic", "ordinary", "n0", "n1"), "k1": kept("ordinary", "toxic", "n1", "n0")})  # one row
 
 
-def _model(words: DataFrame) -> Model:
+def _model(words: DataFrame, least: float, explained: float) -> Model:
     """From the counts of all words; only words and stems of which a class keeps something reach the driver."""
 
     def down(kept: DataFrame) -> list[float]:
@@ -121,7 +122,7 @@ def _model(words: DataFrame) -> Model:
 
     n, total = F.col("toxic") + F.col("ordinary"), F.col("n0") + F.col("n1")
     stems = words.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    kept_stems, words = materialize(_keep(stems)), materialize(_keep(words))
+    kept_stems, words = materialize(_keep(stems, least, explained)), materialize(_keep(words, least, explained))
     # of a stem: kept by the class, the rest from the counts of both; what their discount takes is dealt to all stems alike
     rest = down(kept_stems)
     spread = (kept_stems.count() or 1, kept_stems.agg(F.sum(F.least(n, F.lit(DISCOUNT))).alias("n")).first()["n"] or 0.0)
@@ -175,33 +176,52 @@ def _score_with(rows: DataFrame, id_col: str, text: str, model: Model) -> DataFr
     return rows.select(id_col, text).mapInArrow(score, schema)
 
 
+def _draw(seed: str, id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1_000_000)) / 1e6
+
+
+def drawn(labels: DataFrame, id_col: str = "doc_id", max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+    """The labels that ``fit`` would draw: about ``max_rows`` rows whatever the size of ``labels``, so that they may be broadcast."""
+    n = labels.count()
+    return labels.filter(_draw("row", id_col) < F.lit(min(1.0, max_rows / max(n, 1))))
+
+
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS, max_bytes: int = MAX_TRAINING_BYTES
 ) -> Model:
     """Fit on rows with ``label`` 1 or 0 (others are left out); on a sample of about ``max_rows`` rows and ``max_bytes`` of text if there are more.
 
-    The sample bounds all that reaches the driver: the words and stems that tell the classes apart and
-    a few thousand calibration rows. Rows are drawn whole, by id: repeated rows and those with a null id stand or fall together, and
+    The sample bounds all that reaches the driver: the words and stems that tell the classes apart and a few thousand rows kept out of
+    the counts, which choose from the grid (by the loss of their calibrated scores) and calibrate. Texts of any length are taken whole. Rows are drawn whole, by id: repeated rows and those with a null id stand or fall together, and
     repeated rows count each time. Null and empty texts add nothing. With no labelled rows at all, an empty table included, every
     score is the same. Other columns aren't read.
     """
     rows = labelled.filter(F.col(label).isin(0, 1)).select(id_col, text, (F.col(label) == 1).alias(label))
     n = rows.count()
-    draw = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1_000_000)) / 1e6
+    draw = lambda seed: _draw(seed, id_col)
     sample = materialize(rows.filter(draw("row") < F.lit(min(1.0, max_rows / max(n, 1)))))
     size = sample.agg(F.sum(text_bytes(F.col(text))).alias("bytes")).first()["bytes"] or 0
     rows = sample.filter(draw("size") < F.lit(min(1.0, max_bytes / max(size, 1))))
     spared = draw("calibrate") < CALIBRATION
     counted = rows.filter(~spared)
     words = materialize(_class_words(counted, text, label))
-    model = _model(words)
-    held = _score_with(rows.filter(spared).withColumn(label, F.struct(id_col, label)), label, text, model).select(F.col(f"{label}.{label}").alias("y"), "log_ratio").toPandas()
-    if held["y"].nunique() == 2:
-        x = held["log_ratio"].to_numpy()
-        scale = max(float(x.std()), 1e-9)
-        model.weights = _logistic(np.c_[np.ones(len(x)), x / scale], held["y"].to_numpy(float)) / [1.0, scale]
-    elif n and (one := rows.first()) is not None:
-        model.weights = np.array([6.0 if one[label] else -6.0, 0.0])
+    best, model = np.inf, None
+    for least, explained in itertools.product(CLASS_DISCOUNTS, EXPLAINED):
+        one = _model(words, least, explained)
+        held = _score_with(rows.filter(spared).withColumn(label, F.struct(id_col, label)), label, text, one).select(F.col(f"{label}.{label}").alias("y"), "log_ratio").toPandas()
+        two = held["y"].nunique() == 2
+        y, x = held["y"].to_numpy(bool), held["log_ratio"].to_numpy()
+        loss = 0.0
+        if two:
+            scale = max(float(x.std()), 1e-9)
+            one.weights = _logistic(np.c_[np.ones(len(x)), x / scale], y.astype(float)) / [1.0, scale]
+            loss = float(np.logaddexp(0, np.where(y, -1, 1) * (one.weights[0] + one.weights[1] * x)).mean())
+        if loss < best:
+            best, model = loss, one
+        if not two:
+            break
+    if not two and n and (row := rows.first()) is not None:
+        model.weights = np.array([6.0 if row[label] else -6.0, 0.0])
     discard(sample, words)
     return model
 

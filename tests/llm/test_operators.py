@@ -285,6 +285,8 @@ def test_toxicity_finds_held_out_labels(spark):
 def test_toxicity_probabilities_match_plain_loops(spark, monkeypatch):
     """Both models from counts by words as strings; each adds up to one over all words."""
     monkeypatch.setattr(toxicity, "CALIBRATION", 0.0)
+    monkeypatch.setattr(toxicity, "CLASS_DISCOUNTS", (least := 3.0,))
+    monkeypatch.setattr(toxicity, "EXPLAINED", (explained := 4.0,))
     rng = random.Random(4)
     vocabulary = ["".join(rng.choice("abc") for _ in range(rng.randint(2, 7))) for _ in range(60)]
     bad = ["nastyone", "nastytwo", "nasty", "vile"]
@@ -301,8 +303,8 @@ def test_toxicity_probabilities_match_plain_loops(spark, monkeypatch):
     total = [sum(x.values()) for x in n]
 
     def kept(counts, c, x):
-        rate = (counts[1 - c][x] + toxicity.UNSEEN) / (total[1 - c] + toxicity.UNSEEN)
-        return max(0, counts[c][x] - max(toxicity.CLASS_DISCOUNT, toxicity.EXPLAINED * total[c] * rate)) / total[c]
+        rate = (counts[1 - c][x] + 1) / (total[1 - c] + 1)
+        return max(0, counts[c][x] - max(least, explained * total[c] * rate)) / total[c]
 
     words, heads = set(n[0]) | set(n[1]), set(stems[0]) | set(stems[1])
     spread = sum(min(stems[0][s] + stems[1][s], toxicity.DISCOUNT) for s in heads) / len(heads)

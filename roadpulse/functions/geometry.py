@@ -110,13 +110,14 @@ def midpoint(lines: Column) -> Column:
     return F.when(lines.isNotNull(), F.aggregate(segments(lines), start, step, lambda t: _point(t["x"], t["y"])))
 
 
-def point_line_distance(p: Column, lines: Column) -> Column:
-    """Distance of a point to the nearest point of a line."""
+def point_piece_distance(p: Column, a: Column, b: Column) -> Column:
+    """Distance of a point to the nearest point of the straight piece from a to b."""
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    t = F.coalesce(F.try_divide((p["x"] - a["x"]) * dx + (p["y"] - a["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    return F.hypot(p["x"] - (a["x"] + t * dx), p["y"] - (a["y"] + t * dy))
 
-    def one(s: Column) -> Column:
-        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
-        t = F.coalesce(F.try_divide((p["x"] - s["a"]["x"]) * dx + (p["y"] - s["a"]["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))
-        t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
-        return F.hypot(p["x"] - (s["a"]["x"] + t * dx), p["y"] - (s["a"]["y"] + t * dy))
 
-    return F.array_min(F.transform(segments(lines), one))
+def point_line_distance(p: Column, lines: Column) -> Column:
+    """Distance of a point to the nearest point of a line."""
+    return F.array_min(F.transform(segments(lines), lambda s: point_piece_distance(p, s["a"], s["b"])))

@@ -10,7 +10,8 @@ from roadpulse.functions import geometry as g
 from roadpulse.functions.scalars import heading_difference, normalize_gid
 
 
-def _links(corridor: DataFrame) -> DataFrame:
+def link_lines(corridor: DataFrame) -> DataFrame:
+    """The links with their identifier and their line in the plane."""
     return corridor.select("link_key", F.col("heading").alias("link_heading"), normalize_gid(F.col("Matched_GID")).alias("gid"), g.project(g.parse_lines(F.col("geometry"))).alias("line"))
 
 
@@ -20,7 +21,7 @@ def _pairs(corridor: DataFrame, segments: DataFrame, config: CorridorConfig, how
     parts = segments.select(
         F.col("LinkID").alias("segment_id"), normalize_gid(F.col("GID")).alias("gid"), F.col("Heading").alias("segment_heading"), F.col("SpeedLimit").alias("limit"), F.col("Geometry").alias("segment_text")
     )
-    links = _links(corridor).withColumn("middle", g.midpoint(F.col("line")))
+    links = link_lines(corridor).withColumn("middle", g.midpoint(F.col("line")))
     pairs = links.join(parts, "gid", how).withColumn("segment", g.project(g.parse_lines(F.col("segment_text"))))
     return pairs.select(
         "link_key", "gid", F.col("line").isNotNull().alias("drawn"), F.col("segment").isNotNull().alias("candidate"), "segment_id", "limit",

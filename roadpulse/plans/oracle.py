@@ -178,6 +178,7 @@ FINAL = {
     "network_geometry": "SELECT lk AS link_key, round(degrees, 9) AS degrees, round(metres, 6) AS metres, round(px, 6) AS start_x, round(py, 6) AS start_y, round(mx, 6) AS mid_x, round(my, 6) AS mid_y FROM lines",
     "speed_candidates": 'SELECT link_key, segment_id, limit_mph AS "limit", distance, turn FROM cand',
     "posted_speed": "SELECT * FROM speed",
+    "posted_speed_by_cells": "SELECT * FROM speed",
     "corridor_moe_5min": "SELECT * FROM cmoe",
     "top_links": "SELECT * FROM top",
     "heatmap_grid": "SELECT * FROM heat",

@@ -15,7 +15,7 @@ from roadpulse.functions.scalars import heading_difference, link_family, maps_ur
 from roadpulse.operators import corridor as c
 from roadpulse.operators import moe as m
 from roadpulse.operators import report as r
-from roadpulse.operators import pieces, sequence, speed
+from roadpulse.operators import near, pieces, sequence, speed
 from roadpulse.operators.quantile import exact_quantile
 from roadpulse.plans import fixtures as fx
 from roadpulse.sources import readers, sinks
@@ -144,6 +144,11 @@ def posted_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed.posted_speed(fx.network(spark, sf_dir), fx.segments(spark, sf_dir))
 
 
+def posted_speed_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole network's posted speeds without the pairs of each identifier."""
+    return near.posted_speed_by_cells(fx.network(spark, sf_dir), fx.segments(spark, sf_dir))
+
+
 def corridor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.build_corridor(fx.observations(spark, sf_dir), fx.network(spark, sf_dir), fx.segments(spark, sf_dir))
 
@@ -386,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "network_geometry": network_geometry,
     "speed_candidates": speed_candidates,
     "posted_speed": posted_speed,
+    "posted_speed_by_cells": posted_speed_by_cells,
     "corridor_table": corridor_table,
     "corridor_moe_5min": corridor_moe_5min,
     "top_links": top_links,
@@ -426,7 +432,7 @@ QUERIES: dict[str, Query] = {
 ROUNDED: dict[str, dict[str, int]] = (
     dict.fromkeys(["dsh_5min", "dsh_hourly"], {"dsh_sum": 9})
     | dict.fromkeys([q for q in QUERIES if "link_moe" in q or "corridor_moe" in q], {"DSH": 9})
-    | {"corridor_links": {"geometry_connection_gap_ft": 6}, "speed_candidates": {"distance": 6}, "posted_speed": {"txdot_match_distance_ft": 6}}
+    | {"corridor_links": {"geometry_connection_gap_ft": 6}, "speed_candidates": {"distance": 6}, **dict.fromkeys(["posted_speed", "posted_speed_by_cells"], {"txdot_match_distance_ft": 6})}
     | dict.fromkeys(["corridor_table", "scan_corridor"], {"geometry_connection_gap_ft": 6, "txdot_match_distance_ft": 6})
     | dict.fromkeys(["heatmap_grid", "timespace_grid"], {"value": 9})
     | {"color_limits": {"vmax": 6}}

@@ -38,5 +38,5 @@ def test_one_shuffle_by_journey(spark):
 def test_measures_scan_the_observations_once(spark):
     for name in ("link_moe_5min", "link_moe_hourly", "corridor_moe_5min"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("FileScan parquet") == 1, name
+        assert plan.count("FileScan parquet [event_id") == 1, name
         assert plan.count("Exchange hashpartitioning(journey_id") == 1, name

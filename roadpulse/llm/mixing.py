@@ -93,7 +93,7 @@ def mix_sources(
     md5(seed, epoch, id), add up to no more than the rest; rows with the same id and leaf stand or fall
     together. Null and empty texts have no tokens: they come along for free where the order
     reaches them. An empty table gives an empty one; an input column named like ``epoch_col`` is
-    replaced, and the others keep their names.
+    replaced, and the others keep their names. A text of any length counts with all its words.
     """
     levels, names = list(tree), [c for c in docs.columns if c != epoch_col]
     cols = [_P + x for x in levels]

@@ -68,7 +68,8 @@ def _byte_alphabet() -> dict[str, int]:
 def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Every document's tokens cut at multiples of ``window``: one row per piece, with the CRC of its ids.
 
-    A null or empty text is one piece that holds the end id alone. Repeated rows give repeated pieces.
+    A null or empty text is one piece that holds the end id alone. Repeated rows give repeated pieces. A text of any length is
+    tokenized whole, in one task.
     ``vocabulary``: a path that executors can read (the file is installed with the library).
     """
     out = PIECES.format(id=f"`{id_col}`")

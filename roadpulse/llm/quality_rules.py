@@ -143,7 +143,8 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row with its measures, ``base_failed`` and ``kept``.
 
     A null text has no words, so it fails; an empty text likewise. Repeated rows give repeated
-    results, an empty table an empty one. Other input columns are not read and don't appear.
+    results, an empty table an empty one. Other input columns are not read and don't appear. A text of any length is
+    measured whole, in the memory of some arrays of its words.
     """
     df = _measured(df.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col)), text_col)
     c = lambda name: F.col(_T + name).alias(name)

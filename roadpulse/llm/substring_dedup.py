@@ -153,7 +153,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     as the texts are in the input. spans: (start, length) of the maximal removed runs, in words. kept_text: the
     other words joined by one space. Null and empty texts have no words; a null id stands after all
     others; rows with one id don't remove each other's words; repeated rows give repeated results. Other
-    columns aren't read; an empty table gives an empty one.
+    columns aren't read; an empty table gives an empty one. Texts of any length are taken whole, hashed in segments.
     """
     chunks = distinct_chunks(docs, id_col, text_col)
     covered = _covered(chunks, window)

@@ -559,7 +559,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed runs, in bytes. kept_text: the other bytes; what is left of a character that was cut goes. Null texts are
     empty; a null id stands after all others; rows with one id don't remove each other's bytes; repeated
     rows give repeated results. Other columns aren't read (``keep``: they come along as __rp_own_0, ... in place of the
-    id); an empty table gives an empty one.
+    id); an empty table gives an empty one. Texts of any length are taken whole.
     """
     chunks = distinct_chunks(docs, id_col, text_col)
     runs = _runs(chunks)

@@ -16,13 +16,15 @@ def link_lines(corridor: DataFrame) -> DataFrame:
 
 
 def _pairs(corridor: DataFrame, segments: DataFrame, config: CorridorConfig, how: str) -> DataFrame:
-    """Links beside the segments with their identifier; only those are parsed."""
+    """Links beside the segments with their identifier; only such segments are parsed, each once."""
     scale = 1.0 if config.distance_unit == "crs" else 1 / g.US_FOOT
     parts = segments.select(
         F.col("LinkID").alias("segment_id"), normalize_gid(F.col("GID")).alias("gid"), F.col("Heading").alias("segment_heading"), F.col("SpeedLimit").alias("limit"), F.col("Geometry").alias("segment_text")
     )
     links = link_lines(corridor).withColumn("middle", g.midpoint(F.col("line")))
-    pairs = links.join(parts, "gid", how).withColumn("segment", g.project(g.parse_lines(F.col("segment_text"))))
+    parts = parts.join(corridor.select(normalize_gid(F.col("Matched_GID")).alias("gid")).dropna().distinct(), "gid", "left_semi")
+    parts = parts.withColumn("segment", g.project(g.parse_lines(F.col("segment_text"))))
+    pairs = links.join(parts, "gid", how)
     return pairs.select(
         "link_key", "gid", F.col("line").isNotNull().alias("drawn"), F.col("segment").isNotNull().alias("candidate"), "segment_id", "limit",
         (g.point_line_distance(F.col("middle"), F.col("segment")) * scale).alias("distance"),

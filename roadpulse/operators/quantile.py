@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.sources.scratch import discard, stored
@@ -11,12 +11,25 @@ from roadpulse.sources.scratch import discard, stored
 BUCKETS = 4096
 
 
+def _stretch(v: Column, low: Column, high: Column, buckets: int) -> Column:
+    """Where in the range a value lies, rising with the value: its ends alone, by sign if it has both, by magnitude if it is wide, else evenly."""
+
+    def between(at: Column, a: Column, b: Column) -> Column:
+        share = F.try_divide(at - a, b - a)
+        return F.when(F.coalesce(F.isnan(share), F.lit(True)), buckets // 2).otherwise(1 + F.least(F.floor(share * (buckets - 2)), F.lit(buckets - 3)))
+
+    sign = F.when(v < 0, 1).when(v == 0, buckets // 2).otherwise(buckets - 2)
+    up, down = between(F.ln(v), F.ln(low), F.ln(high)), between(-F.ln(-v), -F.ln(-low), -F.ln(-high))
+    inside = F.when((low < 0) & (high > 0), sign).when((low > 0) & (high / 65536 > low), up).when((high < 0) & (low / 65536 < high), down).otherwise(between(v, low, high))
+    return F.when(v == low, 0).when(v == high, buckets - 1).otherwise(inside).cast("int")
+
+
 def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, name: str = "quantile", buckets: int = BUCKETS) -> DataFrame:
     """(*by, name): the quantile of each group's values that aren't null, with linear interpolation, as ``percentile`` gives it.
 
     ``percentile`` holds all values of a group in one buffer. Here a pass counts values by ``buckets`` stretches of the range in which the wanted one
-    lies, and goes on in its stretch, until that has one value: three or four passes unless the values lie very unevenly. No task holds
-    more than these counts of a group. Groups without values have no row; infinite values are values.
+    lies, and goes on in its stretch, until that has one value: some three to seven passes. No task holds more than these counts of a
+    group. Groups without values have no row; infinite values are values.
     """
     counted = stored(df.select(*by, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull()).groupBy(*by, "__v").agg(F.count("*").alias("__n")))
     totals = counted.groupBy(*by).agg(F.sum("__n").alias("__total"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
@@ -26,11 +39,9 @@ def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, name: str
     rounds = [stored(wanted)]
     keys = [*by, "__place", "__rank"]
     while not (todo := rounds[-1].filter("__low < __high")).isEmpty():
-        # the values that are still possible, by stretch of the range; halves, as the whole range may overflow
+        # the values that are still possible, by stretch of the range
         rows = counted.join(todo, by).filter("__v BETWEEN __low AND __high")
-        share = F.try_divide(F.col("__v") / 2 - F.col("__low") / 2, F.col("__high") / 2 - F.col("__low") / 2)
-        inside = F.when(F.isnan(share), buckets // 2).otherwise(F.least(F.floor(share * buckets), F.lit(buckets - 1)))
-        stretch = F.when(F.col("__v") == F.col("__low"), 0).when(F.col("__v") == F.col("__high"), buckets - 1).otherwise(inside).cast("int")
+        stretch = _stretch(F.col("__v"), F.col("__low"), F.col("__high"), buckets)
         counts = rows.groupBy(*keys, "__below", stretch.alias("__stretch")).agg(F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
         until = F.col("__below") + F.sum("__n").over(Window.partitionBy(*keys).orderBy("__stretch"))
         found = counts.withColumn("__until", until).filter("__rank < __until AND __rank >= __until - __n")

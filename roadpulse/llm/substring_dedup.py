@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialize
-from .textchunks import Chunk, RunHash, batch, distinct_chunks, for_all_rows, gathered, group_starts, is_in, part_of, parts_for, rows_of, shared_hashes, squeeze, unpack48, unsqueeze
+from .textchunks import Chunk, RunHash, batch, distinct_chunks, exchange, for_all_rows, gathered, group_starts, is_in, parts_for, rows_of, shared_hashes, split_by_part, squeeze, unpack48, unsqueeze
 
 WINDOW = 50
 #: Words whose hashes are found together.
@@ -116,33 +116,46 @@ def _covered(chunks: DataFrame, window: int) -> DataFrame:
     hits = gathered(shared_hashes(chunks, emit, parts), "hits")
     hits = materialize(hits)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(chunk: int, h: np.ndarray, more: np.ndarray, ids: np.ndarray, width: int) -> pa.RecordBatch:
+        rows = [(p, chunk, np.concatenate([h[s], more[s]]).tobytes(), squeeze(ids[s])) for p, s in split_by_part(_cut(h), parts, width)]
+        return batch(["part", "chunk", "hashes", "ids"], rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+
+    def send(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             c = Chunk(row)
             w = Words(c)
             at, h, more = _windows(w, row["hits"], window)
             g = group_starts(h, more)
-            if not len(g):
-                continue
-            ids = np.minimum.reduceat(c.ids[w.doc[at]], g)
-            h, more = h[g], more[g]
-            part = part_of(_cut(h), parts)
-            cuts = group_starts(part)
-            rows = [(int(part[a]), c.chunk, np.concatenate([h[a:b], more[a:b]]).tobytes(), squeeze(ids[a:b])) for a, b in zip(cuts, np.r_[cuts[1:], len(h)], strict=True)]
-            yield batch(["part", "chunk", "hashes", "ids"], rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
-
-    def meet(t: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in t.column("hashes").to_pylist()]
-        (h, more), ids = np.concatenate(lists, 1), np.concatenate([unsqueeze(x, "<i8") for x in t.column("ids").to_pylist()])
+            if len(g):
+                yield deal(c.chunk, h[g], more[g], np.minimum.reduceat(c.ids[w.doc[at]], g), width)
+
+    def together(t: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+        return [np.frombuffer(x, np.uint64).reshape(2, -1) for x in t.column("hashes").to_pylist()], np.concatenate([unsqueeze(x, "<i8") for x in t.column("ids").to_pylist()])
+
+    def merge(t: pa.Table, group: int, width: int) -> pa.Table:
+        lists, ids = together(t)
+        h, more = np.concatenate(lists, 1)
+        order = _order(h, more)
+        h, more, ids = h[order], more[order], ids[order]
+        g = group_starts(h, more)
+        return pa.Table.from_batches([deal(group, h[g], more[g], np.minimum.reduceat(ids, g), width)])
+
+    def meet(t: pa.Table, answers: pa.Table | None, width: int) -> pa.Table:
+        lists, ids = together(t)
+        if answers is not None:  # windows that a document elsewhere with a smaller id has, as if one before all had them
+            known = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in answers.column("earlier").to_pylist()]
+            lists, ids = lists + known, np.r_[ids, np.full(sum(x.shape[1] for x in known), np.iinfo(np.int64).min)]
+        h, more = np.concatenate(lists, 1)
         order = _order(h, more)
         least = np.empty(len(h), np.int64)
         least[order] = _least(ids[order], group_starts(h[order], more[order]))
         edge = np.cumsum([0, *[x.shape[1] for x in lists]])
-        out = [(c, x[:, e].tobytes()) for c, x, a, b in zip(t.column("chunk").to_pylist(), lists, edge[:-1], edge[1:], strict=True) if (e := least[a:b] < ids[a:b]).any()]
+        out = [(c, x[:, e].tobytes()) for c, x, a, b in zip(t.column("chunk").to_pylist(), lists, edge[:-1], edge[1:], strict=False) if (e := least[a:b] < ids[a:b]).any()]
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "earlier": pa.array([x[1] for x in out], pa.binary())})
 
-    sent = chunks.drop("keys").withColumn("keys", F.lit(b"")).join(hits, "chunk").mapInArrow(send, "part int, chunk long, hashes binary, ids binary")
-    earlier = gathered(sent.repartition(parts, "part").groupBy("part").applyInArrow(meet, "chunk long, earlier binary"), "earlier")
+    asked = chunks.drop("keys").withColumn("keys", F.lit(b"")).join(hits, "chunk")
+    answers = exchange(asked, send, merge, meet, parts, "part int, chunk long, hashes binary, ids binary", "chunk long, earlier binary")
+    earlier = gathered(answers, "earlier")
     return materialize(hits.join(earlier, "chunk", "left"))
 
 

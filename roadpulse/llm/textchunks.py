@@ -20,6 +20,8 @@ from .common import materialize, mix, small
 #: Bytes of text in a chunk (a longer text has a chunk of its own), and bytes of text whose hashes meet in one group.
 CHUNK = 2 << 20
 GROUP = 8 << 20
+#: Most rows that a chunk sends in one step of an exchange.
+FANOUT = 256
 #: A null id stands after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -151,9 +153,9 @@ def gathered(answers: DataFrame, *columns: str) -> DataFrame:
     return answers.groupBy("chunk").agg(*[F.collect_list(c).alias(c) for c in columns])
 
 
-def split_by_part(v: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
-    """Slices of sorted 48-bit numbers by part."""
-    part = part_of(v, parts)
+def split_by_part(v: np.ndarray, parts: int, width: int = 1) -> Iterator[tuple[int, slice]]:
+    """Slices of sorted 48-bit numbers by runs of ``width`` parts."""
+    part = part_of(v, parts) // width
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(v) else np.zeros(0, np.int64)
     for a, b in zip(cuts, np.r_[cuts[1:], len(v)], strict=True):
         yield int(part[a]), slice(int(a), int(b))
@@ -166,6 +168,50 @@ def group_starts(*sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, np.any([v[1:] != v[:-1] for v in sorted_values], 0)])
 
 
+def fan_of(parts: int) -> tuple[int, int]:
+    """Into how many groups a row is split in each step of an exchange, FANOUT at most, and the parts in each group of the first step."""
+    steps = 1
+    while FANOUT**steps < parts:
+        steps += 1
+    fan = max(1, int(parts ** (1 / steps)) - 1)
+    while fan**steps < parts:
+        fan += 1
+    return fan, fan ** (steps - 1)
+
+
+def exchange(
+    table: DataFrame,
+    send: Callable[[Iterator[pa.RecordBatch], int], Iterator[pa.RecordBatch]],
+    merge: Callable[[pa.Table, int, int], pa.Table],
+    meet: Callable[[pa.Table, pa.Table | None, int], pa.Table],
+    parts: int,
+    row: str,
+    answer: str,
+) -> DataFrame:
+    """Hashes of each chunk meet those of the other chunks, part by part, and the chunk gets answers, ``answer``: (chunk, ...).
+
+    ``send(batches, width)`` gives the rows of each chunk, ``row``: (part, chunk, ...), one for each ``width`` parts. With
+    FANOUT parts or fewer that width is 1 and ``meet(rows, None, 1)`` answers to the rows of a part. With more of them the rows would
+    grow with the square of the input, so they go in steps: in between, rows of some chunks and of some parts, as many bytes as a part has,
+    meet in a group, ``merge(rows, group, width)`` puts them together as rows of the group, as if that were a chunk, in which each hash
+    stands once, and the answers to these go back by ``meet(rows, answers, width)``. So a chunk sends FANOUT rows in a step at most, and a
+    hash that all chunks have comes to its part as often as there are groups in the last step, not chunks.
+    """
+    fan, width = fan_of(parts)
+
+    def step(sent: DataFrame, width: int) -> DataFrame:
+        if width == 1:
+            return sent.repartition(parts, "part").groupBy("part").applyInArrow(lambda t: meet(t, None, 1), answer)
+        group = F.col("part").cast("long") * width + F.pmod(F.xxhash64(F.lit(width), "chunk"), F.lit(width))
+        rows = materialize(sent.withColumn("group", group))
+        merged = rows.repartition(parts, "group").groupBy("group").applyInArrow(lambda key, t: merge(t, key[0].as_py(), width // fan), row)
+        answers = step(merged, width // fan)
+        groups = rows.repartition(parts, "group").groupBy("group")
+        return groups.cogroup(answers.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(lambda t, a: meet(t, a, width // fan), answer)
+
+    return step(table.mapInArrow(lambda batches: send(batches, width), row), width)
+
+
 def shared_hashes(chunks: DataFrame, emit: Callable[[Chunk], tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int) -> DataFrame:
     """(chunk, hits): the 48-bit hashes of each chunk that two documents have and that one has as a reference.
 
@@ -173,7 +219,11 @@ def shared_hashes(chunks: DataFrame, emit: Callable[[Chunk], tuple[np.ndarray, n
     once, whatever the number of its documents, so frequent ones don't pile up.
     """
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(chunk: int, v: np.ndarray, flags: np.ndarray, width: int) -> pa.RecordBatch:
+        rows = [(p, chunk, pack48(v[s]), squeeze(flags[s])) for p, s in split_by_part(v, parts, width)]
+        return batch(["part", "chunk", "hashes", "flags"], rows, [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+
+    def send(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             c = Chunk(row)
             v, doc, reference = emit(c)
@@ -184,13 +234,26 @@ def shared_hashes(chunks: DataFrame, emit: Callable[[Chunk], tuple[np.ndarray, n
             if not len(at):
                 continue
             flags = (doc[at] != doc[last]).astype(np.uint8) + 2 * np.maximum.reduceat(reference.astype(np.uint8), at)
-            v = v[at]
-            yield batch(["part", "chunk", "hashes", "flags"], [(p, c.chunk, pack48(v[s]), squeeze(flags[s])) for p, s in split_by_part(v, parts)], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+            yield deal(c.chunk, v[at], flags, width)
+
+    def together(t: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+        return [unpack48(x) for x in t.column("hashes").to_pylist()], np.concatenate([unsqueeze(x, np.uint8) for x in t.column("flags").to_pylist()])
+
+    def merge(t: pa.Table, group: int, width: int) -> pa.Table:
+        lists, flags = together(t)
+        v = np.concatenate(lists)
+        order = np.argsort(v, kind="stable")
+        v, flags = v[order], flags[order]
+        at = group_starts(v)
+        several = (np.diff(np.r_[at, len(v)]) > 1) | (np.maximum.reduceat(flags & 1, at) > 0)
+        return pa.Table.from_batches([deal(group, v[at], several.astype(np.uint8) + np.maximum.reduceat(flags & 2, at), width)])
 
-    def meet(t: pa.Table) -> pa.Table:
+    def meet(t: pa.Table, answers: pa.Table | None, width: int) -> pa.Table:
         chunk = t.column("chunk").to_pylist()
-        lists = [unpack48(x) for x in t.column("hashes").to_pylist()]
-        flags = np.concatenate([unsqueeze(x, np.uint8) for x in t.column("flags").to_pylist()])
+        lists, flags = together(t)
+        if answers is not None:  # what is known of all chunks stands beside the rows
+            known = [unpack48(x) for x in answers.column("hits").to_pylist()]
+            lists, flags = lists + known, np.r_[flags, np.full(sum(len(x) for x in known), 3, np.uint8)]
         v = np.concatenate(lists)
         order = np.argsort(v, kind="stable")
         at = group_starts(v[order])
@@ -199,13 +262,13 @@ def shared_hashes(chunks: DataFrame, emit: Callable[[Chunk], tuple[np.ndarray, n
         shared = np.zeros(len(v), bool)
         shared[order] = np.repeat(hit, n)
         out, edge = [], np.cumsum([0, *[len(x) for x in lists]])
-        for c, x, a, b in zip(chunk, lists, edge[:-1], edge[1:], strict=True):
+        for c, x, a, b in zip(chunk, lists, edge[:-1], edge[1:], strict=False):
             if shared[a:b].any():
                 out.append((c, pack48(x[shared[a:b]])))
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "hits": pa.array([x[1] for x in out], pa.binary())})
 
-    sent = chunks.drop("keys").withColumn("keys", F.lit(b"")).mapInArrow(send, "part int, chunk long, hashes binary, flags binary")
-    return sent.repartition(parts, "part").groupBy("part").applyInArrow(meet, "chunk long, hits binary")
+    bare = chunks.drop("keys").withColumn("keys", F.lit(b""))
+    return exchange(bare, send, merge, meet, parts, "part int, chunk long, hashes binary, flags binary", "chunk long, hits binary")
 
 
 def is_in(v: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:

@@ -67,10 +67,12 @@ def collected(df, n):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-@pytest.mark.parametrize("chunk", [1000, 20_000, 3 << 20])
-def test_words_match_brute_force(spark, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "group", "fanout"), [(1000, 3000, 256), (1000, 2500, 5), (1000, 2500, 3), (20_000, 60_000, 256), (3 << 20, 9 << 20, 256)])
+def test_words_match_brute_force(spark, monkeypatch, chunk, group, fanout):
+    """With few rows to a step the exchange has two or three of them."""
     monkeypatch.setattr(textchunks, "CHUNK", chunk)
-    monkeypatch.setattr(textchunks, "GROUP", chunk * 3)
+    monkeypatch.setattr(textchunks, "GROUP", group)
+    monkeypatch.setattr(textchunks, "FANOUT", fanout)
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     out = substring_dedup.remove_repeats(docs)
@@ -160,3 +162,15 @@ def test_front_coding_round_trip():
     common = suffix_dedup.common_prefixes(suffix_dedup._as_words(s))
     back, again = suffix_dedup.front_decode(suffix_dedup.front_code(s, common), len(s))
     assert (back == s).all() and (again == common).all()
+
+
+@pytest.mark.parametrize("parts", [1, 2, 255, 256, 257, 4096, 65536, 65537, 10**7, 5 * 10**7])
+def test_steps_of_an_exchange(parts):
+    """A chunk sends FANOUT rows in a step at most, whatever the number of parts; the steps reach every part."""
+    fan, width = textchunks.fan_of(parts)
+    assert -(-parts // width) <= fan <= textchunks.FANOUT
+    steps = 1
+    while width > 1:
+        assert width % fan == 0
+        width, steps = width // fan, steps + 1
+    assert fan**steps >= parts and (fan - 1) ** steps < parts or parts == 1

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import materialize, mix, small, split_words
-from .textchunks import batch, gathered, group_starts, rows_of, squeeze, unsqueeze
+from .textchunks import batch, exchange, fan_of, gathered, group_starts, rows_of, squeeze, unsqueeze
 
 #: Bytes of text in a chunk (a longer text has a chunk of its own), and bytes of text whose words and pairs meet in one group.
 CHUNK = 8 << 20
@@ -128,14 +128,15 @@ class _Grams:
         seen = np.bincount(self.word[here], minlength=len(self.key)) + np.bincount(self.pair[here], minlength=len(self.key))
         return seen, np.bincount(self.before[here], minlength=len(self.key))
 
-    def slices(self, parts: int) -> Iterator[tuple[int, slice, slice]]:
-        """Places of the words and of the pairs of each part; equal ranges of keys are parts."""
-        part = ((self.key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        w, p = part[: self.words], part[self.words :]
-        for k in np.unique(part).tolist():
-            a, b = np.searchsorted(w, [k, k + 1])
-            c, d = np.searchsorted(p, [k, k + 1]) + self.words
-            yield k, slice(int(a), int(b)), slice(int(c), int(d))
+
+def _slices(key: np.ndarray, words: int, parts: int, width: int) -> Iterator[tuple[int, slice, slice]]:
+    """Places of the words, which stand first, and of the pairs of each ``width`` parts; equal ranges of keys are parts."""
+    part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64) // width
+    w, p = part[:words], part[words:]
+    for k in np.unique(part).tolist():
+        a, b = np.searchsorted(w, [k, k + 1])
+        c, d = np.searchsorted(p, [k, k + 1]) + words
+        yield k, slice(int(a), int(b)), slice(int(c), int(d))
 
 
 def _sums(key: np.ndarray, more: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,21 +167,21 @@ def _totals(chunks: DataFrame, parts: int) -> DataFrame:
     names = ["part", "chunk", "words", "keys", "more", *_COUNTS]
     types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * (2 + len(_COUNTS))]
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(chunk: int, words: int, key: np.ndarray, more: np.ndarray, counts: np.ndarray | list[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
+        for part, w, p in _slices(key, words, parts, width):
+            both = lambda x: np.concatenate([x[w], x[p]])  # noqa: B023, E731
+            # only words stand before others
+            own = [_pack(both(c) if i % 2 == 0 else c[w]) for i, c in enumerate(counts)]
+            yield batch(names, [(part, chunk, w.stop - w.start, _pack_keys(both(key)), both(more).tobytes(), *own)], types)
+
+    def send(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             g = _Grams(row)
             flags = np.frombuffer(row["flags"], np.uint8).astype(bool)
-            counts = [*g.counts(np.ones(len(flags), bool)), *g.counts(flags)]
-            for part, w, p in g.slices(parts):
-                both = lambda x: np.concatenate([x[w], x[p]])  # noqa: B023, E731
-                # only words stand before others
-                own = [_pack(both(c) if i % 2 == 0 else c[w]) for i, c in enumerate(counts)]
-                yield batch(names, [(part, row["chunk"], w.stop - w.start, _pack_keys(both(g.key)), both(g.more).tobytes(), *own)], types)
-
-    out_names = ["chunk", "part", *_COUNTS, "distinct", "total", "target_total"]
-    out_types = [pa.int64(), pa.int32(), *[pa.binary()] * len(_COUNTS), *[pa.int64()] * 3]
+            yield from deal(row["chunk"], g.words, g.key, g.more, [*g.counts(np.ones(len(flags), bool)), *g.counts(flags)], width)
 
-    def meet(t: pa.Table) -> pa.Table:
+    def together(t: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of words and pairs of each row, and of these: key, more, is it a word, counts."""
         column = lambda n: t.column(n).to_pylist()
         keys = [_unpack_keys(x) for x in column("keys")]
         key, more = np.concatenate(keys), np.concatenate([np.frombuffer(x, "<u2") for x in column("more")])
@@ -188,24 +189,56 @@ def _totals(chunks: DataFrame, parts: int) -> DataFrame:
         counts = np.zeros((len(_COUNTS), len(key)), np.int64)
         for c, name in zip(counts, _COUNTS, strict=True):
             c[is_word if "before" in name else slice(None)] = np.concatenate([_unpack(x) for x in column(name)])
-        # the mark before a text's first word is no word: nothing predicts it
-        total, target_total = counts[0, is_word].sum(), counts[2, is_word].sum()
-        distinct = 0
+        return [len(k) for k in keys], key, more, is_word, counts
+
+    def summed(key: np.ndarray, more: np.ndarray, is_word: np.ndarray, counts: np.ndarray) -> tuple[int, np.ndarray]:
+        """Puts in ``counts`` the sums over equal words and pairs; how many words there are, and a place of each word, then of each pair."""
+        firsts = []
         for kind in (is_word, ~is_word):
-            some, first = _sums(key[kind], more[kind], counts[:, kind])
-            counts[:, kind] = some
-            if kind is is_word:
-                distinct = int((some[0, first] > 0).sum())
+            counts[:, kind], first = _sums(key[kind], more[kind], counts[:, kind])
+            firsts.append(np.flatnonzero(kind)[first])
+        return len(firsts[0]), np.concatenate(firsts)
+
+    def merge(t: pa.Table, group: int, width: int) -> pa.Table:
+        _, key, more, is_word, counts = together(t)
+        words, first = summed(key, more, is_word, counts)
+        return pa.Table.from_batches(deal(group, words, key[first], more[first], counts[:, first], width))
+
+    out_names = ["chunk", "part", *_COUNTS, "distinct", "total", "target_total"]
+    out_types = [pa.int64(), pa.int32(), *[pa.binary()] * len(_COUNTS), *[pa.int64()] * 3]
+
+    def meet(t: pa.Table, answers: pa.Table | None, width: int) -> pa.Table:
+        column = lambda n: t.column(n).to_pylist()
+        lengths, key, more, is_word, counts = together(t)
+        if answers is None:
+            # the mark before a text's first word is no word: nothing predicts it
+            totals = [int(counts[0, is_word].sum()), int(counts[2, is_word].sum())]
+            words, first = summed(key, more, is_word, counts)
+            totals = [int((counts[0, first[:words]] > 0).sum()), *totals]
+        else:
+            # the group's words and pairs, in the order in which they were sent, with the counts of all chunks
+            totals = [sum(answers.column(n).to_pylist()) for n in out_names[-3:]]
+            words, first = summed(key, more, is_word, counts)
+            sums = np.zeros((len(_COUNTS), len(first)), np.int64)
+            known = {r["part"]: r for r in answers.to_pylist()}
+            for part, w, p in _slices(key[first], words, parts, width):
+                for c, name in zip(sums, _COUNTS, strict=True):
+                    x = _unpack(known[part][name])
+                    c[w], c[p] = x[: w.stop - w.start], 0 if "before" in name else x[w.stop - w.start :]
+            joint, joint_more, joint_words = (np.concatenate([x, x[first]]) for x in (key, more, is_word))
+            joint_counts = np.concatenate([np.zeros_like(counts), sums], 1)
+            summed(joint, joint_more, joint_words, joint_counts)
+            counts = joint_counts[:, : len(key)]
         out = []
-        edge = np.cumsum([0, *[len(k) for k in keys]]).tolist()
+        edge = np.cumsum([0, *lengths]).tolist()
         for i, (chunk, part, a, b, n) in enumerate(zip(column("chunk"), column("part"), edge[:-1], edge[1:], column("words"), strict=True)):
             own = [_pack(c[a : a + n] if "before" in name else c[a:b]) for c, name in zip(counts, _COUNTS, strict=True)]
-            out.append((chunk, part, *own, *((0, 0, 0) if i else (distinct, int(total), int(target_total)))))
+            out.append((chunk, part, *own, *([0, 0, 0] if i else totals)))
         return pa.Table.from_batches([batch(out_names, out, out_types)])
 
     binary = ", ".join(f"{c} binary" for c in _COUNTS)
-    sent = chunks.mapInArrow(send, f"part int, chunk long, words long, keys binary, more binary, {binary}")
-    return sent.repartition(parts, "part").groupBy("part").applyInArrow(meet, f"chunk long, part int, {binary}, distinct long, total long, target_total long")
+    row = f"part int, chunk long, words long, keys binary, more binary, {binary}"
+    return exchange(chunks, send, merge, meet, parts, row, f"chunk long, part int, {binary}, distinct long, total long, target_total long")
 
 
 def loss_differences(docs: DataFrame, id_col: str = "doc_id", text: str = "text", target: str = "target") -> DataFrame:
@@ -225,6 +258,7 @@ def loss_differences(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     chunks = _chunks(docs, id_col, text, target)
     parts = max(1, -(-(chunks.agg(F.sum("size").alias("n")).first()["n"] or 0) // GROUP))
     totals = materialize(_totals(chunks, parts))
+    width = fan_of(parts)[1]
     sums = totals.agg(*[F.sum(c).alias(c) for c in ("distinct", "total", "target_total")]).first()
     vocabulary = max(1, sums["distinct"] or 0)
     n_target = sums["target_total"] or 0
@@ -241,7 +275,7 @@ def loss_differences(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
                 g = _Grams(row)
                 counts = np.zeros((len(_COUNTS), len(g.key)))
                 received = {part: k for k, part in enumerate(row["part"] or [])}
-                for part, w, p in g.slices(parts):
+                for part, w, p in _slices(g.key, g.words, parts, width):
                     for c, name in zip(counts, _COUNTS, strict=True):
                         x = _unpack(row[name][received[part]])
                         c[w] = x[: w.stop - w.start]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from roadpulse.llm import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, queries, substring_dedup, suffix_dedup, toxicity
+from roadpulse.llm import embedding_dedup, importance, lm_scoring, mixing, ngram_join, packing, quality_rules, queries, substring_dedup, suffix_dedup, textchunks, toxicity
 from roadpulse.llm.common import mix
 
 from ..compare import duck_rows, spark_rows
@@ -391,8 +391,9 @@ def losses_by_strings(rows):
     return [(r[0], len(w), loss(w, 1), loss(w, 0)) for r, w in zip(rows, texts, strict=True)]
 
 
-@pytest.mark.parametrize("chunk, group", [(lm_scoring.CHUNK, lm_scoring.GROUP), (2000, 3000)])
-def test_loss_differences_match_counts_by_strings(spark, monkeypatch, chunk, group):
+@pytest.mark.parametrize("chunk, group, fanout", [(lm_scoring.CHUNK, lm_scoring.GROUP, textchunks.FANOUT), (2000, 3000, textchunks.FANOUT), (4000, 5000, 6), (8000, 12000, 3)])
+def test_loss_differences_match_counts_by_strings(spark, monkeypatch, chunk, group, fanout):
+    monkeypatch.setattr(textchunks, "FANOUT", fanout)
     monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
     monkeypatch.setattr(lm_scoring, "GROUP", group)
     rng = random.Random(8)

@@ -202,7 +202,7 @@ def _totals(chunks: DataFrame, parts: int) -> DataFrame:
     def merge(t: pa.Table, group: int, width: int) -> pa.Table:
         _, key, more, is_word, counts = together(t)
         words, first = summed(key, more, is_word, counts)
-        return pa.Table.from_batches(deal(group, words, key[first], more[first], counts[:, first], width))
+        return pa.Table.from_batches(deal(group, words, key[first], more[first], counts[:, first], width)).combine_chunks()
 
     out_names = ["chunk", "part", *_COUNTS, "distinct", "total", "target_total"]
     out_types = [pa.int64(), pa.int32(), *[pa.binary()] * len(_COUNTS), *[pa.int64()] * 3]

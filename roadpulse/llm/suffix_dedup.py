@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, mix, share
-from .textchunks import Chunk, RunHash, batch, distinct_chunks, for_all_rows, gathered, group_starts, is_in, parts_for, rows_of, shared_hashes, squeeze, unpack48, unsqueeze
+from .textchunks import Chunk, RunHash, batch, distinct_chunks, exchange, for_all_rows, gathered, group_starts, is_in, parts_for, rows_of, shared_hashes, squeeze, unpack48, unsqueeze
 
 LENGTH = 50
 ANCHOR = 30
@@ -35,6 +35,8 @@ WIDTH = LENGTH + LEFT + 2
 #: Suffixes aimed at in a range; most ranges (each has a boundary that all tasks know); suffixes of a run for one in the sample.
 RANGE = 200_000
 MOST_RANGES = 4096
+#: Most anchors whose suffixes are dealt as strings; all tasks know them (30 bytes and two numbers each).
+MOST_HOT = 1 << 22
 SAMPLED = 64
 #: Suffixes with hot anchors whose strings are made together.
 STRINGS_OF = 1 << 15
@@ -389,9 +391,11 @@ def _spread(s: np.ndarray) -> np.ndarray:
 def _hot_anchors(runs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Anchors with about RANGE suffixes or more, sorted, and into how many parts the strings of each are split.
 
-    Counted by Spark in the runs' samples; there are at most about ``total`` / RANGE of them.
+    Counted by Spark in the runs' samples. So that there are at most about MOST_HOT of them, they need more suffixes where ``total`` is over
+    MOST_HOT * RANGE (some two million at a hundred terabytes of text, which is still one group).
     """
-    if total < RANGE:
+    least = max(RANGE, -(-total // MOST_HOT))
+    if total < least:
         return np.zeros(0, f"S{ANCHOR}"), np.zeros(0, np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +404,7 @@ def _hot_anchors(runs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
             yield batch(["anchor", "n"], list(zip(anchor.tolist(), n.tolist(), strict=True)), [pa.binary(), pa.int64()])
 
     counts = runs.select("sample").mapInArrow(count, "anchor binary, n long").groupBy("anchor").agg((F.sum("n") * SAMPLED).alias("n"))
-    found = counts.filter(F.col("n") >= RANGE).orderBy("anchor").toArrow()
+    found = counts.filter(F.col("n") >= least).orderBy("anchor").toArrow()
     n = found.column("n").to_numpy()
     return np.array(found.column("anchor").to_pylist(), f"S{ANCHOR}"), -(-n * (LEFT + 1) // RANGE)
 
@@ -437,12 +441,13 @@ def _marks(runs: DataFrame) -> DataFrame:
     hot, parts = _hot_anchors(runs, total)
     ordinary = (len(bounds) + 1) * salts
     firsts = ordinary + np.cumsum(parts) - parts
-    shared = share(runs.sparkSession, (bounds, hot, firsts, parts))  # at most MOST_RANGES suffixes and total / RANGE anchors
+    groups = ordinary + int(parts.sum())
+    shared = share(runs.sparkSession, (bounds, hot, firsts, parts))  # at most MOST_RANGES suffixes and about MOST_HOT anchors
 
-    names = ["range", "chunk", "n", "coded", "least", "entries", "owners", "own_least"]
-    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+    names = ["part", "chunk", "n", "coded", "least", "entries", "owners", "own_least", "ranges"]
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
 
-    def send_strings(chunk: int, s: np.ndarray, least: np.ndarray, entries: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def send_strings(chunk: int, s: np.ndarray, least: np.ndarray, entries: np.ndarray, place: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
         """The strings of suffixes with hot anchors, each once with its smallest id and with the suffixes it is in."""
         _, _, firsts, parts = shared()
         rows, own = strings_of(s)
@@ -452,24 +457,29 @@ def _marks(runs: DataFrame) -> DataFrame:
         new[0] = True
         g = np.flatnonzero(new)
         rows, at, ids = rows[g], place[own[g]], np.minimum.reduceat(least[own], g)
-        group = firsts[at] + (_spread(rows) % parts[at].astype(np.uint64)).astype(np.int64)
-        order = np.argsort(group, kind="stable")
+        ranges = firsts[at] + (_spread(rows) % parts[at].astype(np.uint64)).astype(np.int64)
+        order = np.argsort(ranges // width, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        rows, ids, group = rows[order], ids[order], group[order]
+        rows, ids, ranges = rows[order], ids[order], ranges[order]
         of = rank[np.cumsum(new) - 1]
         by_row = np.argsort(of, kind="stable")
         own, owners = own[by_row], np.bincount(of, minlength=len(rows))
-        ends = np.r_[0, np.cumsum(owners)]
-        common = common_prefixes(_as_words(rows))
-        cuts = group_starts(group)
-        for a, b in zip(cuts, np.r_[cuts[1:], len(rows)], strict=True):
+        yield from deal(chunk, rows, common_prefixes(_as_words(rows)), ids, ranges, entries, width, own, owners, least)
+
+    def deal(chunk: int, s: np.ndarray, common: np.ndarray, least: np.ndarray, ranges: np.ndarray, entries: np.ndarray, width: int, own: np.ndarray | None = None, owners: np.ndarray | None = None, own_least: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """Rows for each ``width`` ranges, by which ``s`` is sorted first. Of strings: ``owners`` gives how many suffixes each is in, ``own`` which."""
+        part = ranges // width
+        ends = np.r_[0, np.cumsum(owners)] if owners is not None else None
+        cuts = group_starts(part)
+        for a, b in zip(cuts, np.r_[cuts[1:], len(s)], strict=True):
             common[a] = 0
-            mine = own[ends[a] : ends[b]]
-            arrays = (ids[a:b], entries[mine].astype("<u4"), owners[a:b].astype("<u4"), least[mine])
-            yield batch(names, [(int(group[a]), chunk, int(b - a), front_code(rows[a:b], common[a:b]), *[squeeze(x) for x in arrays])], types)
+            mine = own[ends[a] : ends[b]] if owners is not None else slice(a, b)
+            of_string = (squeeze(owners[a:b].astype("<u4")), squeeze(own_least[mine])) if owners is not None else (None, None)
+            inner = squeeze(ranges[a:b].astype("<i4")) if width > 1 else None
+            yield batch(names, [(int(part[a]), chunk, int(b - a), front_code(s[a:b], common[a:b]), squeeze(least[a:b]), squeeze(entries[mine].astype("<u4")), *of_string, inner)], types)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
         bounds, hot, _, _ = shared()
         for row in rows_of(batches):
             s, common = front_decode(row["coded"], row["n"])
@@ -482,7 +492,7 @@ def _marks(runs: DataFrame) -> DataFrame:
                 some = np.flatnonzero(is_hot)
                 for a in range(0, len(some), STRINGS_OF):
                     i = some[a : a + STRINGS_OF]
-                    yield from send_strings(row["chunk"], s[i], least[i], i, at[i])
+                    yield from send_strings(row["chunk"], s[i], least[i], i, at[i], width)
                 if len(some):
                     entries = np.flatnonzero(~is_hot)
                     if not len(entries):
@@ -492,45 +502,80 @@ def _marks(runs: DataFrame) -> DataFrame:
             place = np.searchsorted(bounds, _keys(s), side="right")
             if salts > 1:
                 place = place * salts + (_spread(s[:, :ANCHOR]) % np.uint64(salts)).astype(np.int64)
-                order = np.argsort(place, kind="stable")
+                order = np.argsort(place // width, kind="stable")
                 s, least, place, entries = s[order], least[order], place[order], entries[order]
                 common = common_prefixes(_as_words(s))
-            cuts = group_starts(place)
-            for a, b in zip(cuts, np.r_[cuts[1:], len(s)], strict=True):
-                common[a] = 0
-                out = (int(place[a]), row["chunk"], int(b - a), front_code(s[a:b], common[a:b]), squeeze(least[a:b]), squeeze(entries[a:b].astype("<u4")), None, None)
-                yield batch(names, [out], types)
-
-    def merge(t: pa.Table) -> pa.Table:
-        rows = t.to_pylist()
-        decoded = [front_decode(r["coded"], r["n"]) for r in rows]
-        s, common = np.concatenate([x[0] for x in decoded]), np.concatenate([x[1] for x in decoded])
-        del decoded
-        ids = np.concatenate([unsqueeze(r["least"], "<i8") for r in rows])
-        ends = np.cumsum([r["n"] for r in rows]).tolist()
-        place, shared_prefix = _merged(s, common, ends)
-        of_string = rows[0]["owners"] is not None
-        if of_string:
+            yield from deal(row["chunk"], s, common, least, place, entries, width)
+
+    def kinds(t: pa.Table) -> Iterator[tuple[bool, list[dict], np.ndarray, np.ndarray, list[int], np.ndarray, np.ndarray]]:
+        """The suffixes, then the strings, of some rows: are they strings, rows, suffixes, ids, where rows end, sorted order and prefixes in common."""
+        all_rows = t.to_pylist()
+        for of_string in (False, True):
+            rows = [r for r in all_rows if (r["owners"] is not None) == of_string]
+            if rows:
+                decoded = [front_decode(r["coded"], r["n"]) for r in rows]
+                s, common = np.concatenate([x[0] for x in decoded]), np.concatenate([x[1] for x in decoded])
+                del decoded
+                ids = np.concatenate([unsqueeze(r["least"], "<i8") for r in rows])
+                ends = np.cumsum([r["n"] for r in rows]).tolist()
+                yield of_string, rows, s, ids, ends, *_merged(s, common, ends)
+
+    def merge(t: pa.Table, group: int, width: int) -> pa.Table:
+        """Equal suffixes of a group go on once, with their smallest id; entries are numbered in sorted order, suffixes first."""
+        out, before = [], 0
+        for of_string, rows, s, ids, _, place, shared_prefix in kinds(t):
+            starts = np.flatnonzero(np.r_[True, shared_prefix[1:] < WIDTH])
+            least = np.minimum.reduceat(ids[place], starts)
+            ranges = np.concatenate([unsqueeze(r["ranges"], "<i4") for r in rows])[place[starts]].astype(np.int64)
+            s, common, entries = s[place[starts]], shared_prefix[starts], before + np.arange(len(starts))
+            before += len(starts)
+            order = np.argsort(ranges // width, kind="stable")
+            if (order[1:] < order[:-1]).any():
+                s, least, ranges, entries = s[order], least[order], ranges[order], entries[order]
+                common = common_prefixes(_as_words(s))
+            alone = (np.arange(len(s)), np.ones(len(s), np.int64), least) if of_string else ()
+            out += deal(group, s, common, least, ranges, entries, width, *alone)
+        return pa.Table.from_batches(out).combine_chunks()
+
+    def meet(t: pa.Table, answers: pa.Table | None, width: int) -> pa.Table:
+        if answers is not None:
+            entries = np.concatenate([np.zeros(0, "<u4"), *[unsqueeze(x, "<u4") for x in answers.column("entries").to_pylist()]])
+            known_masks = np.concatenate([np.zeros(0, np.uint32), *[unsqueeze(x, np.uint32) for x in answers.column("masks").to_pylist()]])
+        out, before = [], 0
+        for of_string, rows, s, ids, ends, place, shared_prefix in kinds(t):
             starts = np.flatnonzero(np.r_[True, shared_prefix[1:] < WIDTH])
             smallest = np.empty(len(s), np.int64)
             smallest[place] = np.repeat(np.minimum.reduceat(ids[place], starts), np.diff(np.r_[starts, len(s)]))
-            mask = np.uint32(1) << (s[:, -2].astype(np.uint32) - np.uint32(1))
-        else:
-            mask = np.empty(len(s), np.uint32)
-            mask[place] = repeats(s[place], shared_prefix, ids[place])
-        out = []
-        for r, a, b in zip(rows, [0, *ends[:-1]], ends, strict=True):
-            entries, bits = unsqueeze(r["entries"], "<u4"), mask[a:b]
-            if of_string:
-                owners = unsqueeze(r["owners"], "<u4")
-                bits = np.where(np.repeat(smallest[a:b], owners) < unsqueeze(r["own_least"], "<i8"), np.repeat(bits, owners), 0).astype(np.uint32)
-            if (some := bits > 0).any():
-                out.append({"chunk": r["chunk"], "entries": squeeze(entries[some]), "masks": squeeze(bits[some])})
+            own = np.uint32(1) << (s[:, -2].astype(np.uint32) - np.uint32(1))
+            if answers is None and not of_string:
+                mask = np.empty(len(s), np.uint32)
+                mask[place] = repeats(s[place], shared_prefix, ids[place])
+            elif answers is None:
+                mask = np.zeros(len(s), np.uint32)
+            else:
+                # what other groups have of each entry that went on, and all strings of a suffix that a smaller id has here
+                found = np.zeros(before + len(starts), np.uint32)
+                mine = (entries >= before) & (entries < before + len(starts))
+                found[entries[mine]] = known_masks[mine]
+                mask = np.empty(len(s), np.uint32)
+                mask[place] = np.repeat(found[before:], np.diff(np.r_[starts, len(s)]))
+                if not of_string:
+                    every = (np.uint32(1) << s[:, -1].astype(np.uint32)) - own
+                    mask |= np.where(smallest < ids, every, 0).astype(np.uint32)
+            before += len(starts)
+            for r, a, b in zip(rows, [0, *ends[:-1]], ends, strict=True):
+                of, bits = unsqueeze(r["entries"], "<u4"), mask[a:b]
+                if of_string:
+                    owners = unsqueeze(r["owners"], "<u4")
+                    earlier = (np.repeat(bits, owners) > 0) | (np.repeat(smallest[a:b], owners) < unsqueeze(r["own_least"], "<i8"))
+                    bits = np.where(earlier, np.repeat(own[a:b], owners), 0).astype(np.uint32)
+                if (some := bits > 0).any():
+                    out.append({"chunk": r["chunk"], "entries": squeeze(of[some]), "masks": squeeze(bits[some])})
         return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("entries", pa.binary()), ("masks", pa.binary())]))
 
-    sent = runs.select("chunk", "n", "coded", "least").mapInArrow(send, "range int, chunk long, n long, coded binary, least binary, entries binary, owners binary, own_least binary")
-    groups = ordinary + int(parts.sum())
-    return gathered(sent.repartition(groups, "range").groupBy("range").applyInArrow(merge, "chunk long, entries binary, masks binary"), "entries", "masks")
+    row = "part int, chunk long, n long, coded binary, least binary, entries binary, owners binary, own_least binary, ranges binary"
+    answers = exchange(runs.select("chunk", "n", "coded", "least"), send, merge, meet, groups, row, "chunk long, entries binary, masks binary")
+    return gathered(answers, "entries", "masks")
 
 
 def _removed(c: Chunk, row: dict) -> np.ndarray:

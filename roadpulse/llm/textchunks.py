@@ -22,6 +22,8 @@ CHUNK = 2 << 20
 GROUP = 8 << 20
 #: Most rows that a chunk sends in one step of an exchange.
 FANOUT = 256
+#: Most tasks of a step; beyond, a task takes several parts one after another, as blocks of a shuffle grow with the square of its tasks.
+MOST_TASKS = 8192
 #: A null id stands after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -198,16 +200,17 @@ def exchange(
     hash that all chunks have comes to its part as often as there are groups in the last step, not chunks.
     """
     fan, width = fan_of(parts)
+    tasks = min(parts, MOST_TASKS)
 
     def step(sent: DataFrame, width: int) -> DataFrame:
         if width == 1:
-            return sent.repartition(parts, "part").groupBy("part").applyInArrow(lambda t: meet(t, None, 1), answer)
+            return sent.repartition(tasks, "part").groupBy("part").applyInArrow(lambda t: meet(t, None, 1), answer)
         group = F.col("part").cast("long") * width + F.pmod(F.xxhash64(F.lit(width), "chunk"), F.lit(width))
         rows = materialize(sent.withColumn("group", group))
-        merged = rows.repartition(parts, "group").groupBy("group").applyInArrow(lambda key, t: merge(t, key[0].as_py(), width // fan), row)
+        merged = rows.repartition(tasks, "group").groupBy("group").applyInArrow(lambda key, t: merge(t, key[0].as_py(), width // fan), row)
         answers = step(merged, width // fan)
-        groups = rows.repartition(parts, "group").groupBy("group")
-        return groups.cogroup(answers.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(lambda t, a: meet(t, a, width // fan), answer)
+        groups = rows.repartition(tasks, "group").groupBy("group")
+        return groups.cogroup(answers.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(lambda t, a: meet(t, a, width // fan), answer)
 
     return step(table.mapInArrow(lambda batches: send(batches, width), row), width)
 

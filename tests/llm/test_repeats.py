@@ -81,9 +81,11 @@ def test_words_match_brute_force(spark, monkeypatch, chunk, group, fanout):
         assert hashlib.sha256(r[0].encode()).hexdigest() == r[1]
 
 
-@pytest.mark.parametrize(("chunk", "ranges"), [(1000, 50), (1000, 4), (20_000, 200), (3 << 20, 400_000)])
-def test_bytes_match_brute_force(spark, monkeypatch, chunk, ranges):
+@pytest.mark.parametrize(("chunk", "ranges", "fanout"), [(1000, 50, 256), (1000, 50, 4), (1000, 80, 3), (1000, 4, 256), (20_000, 200, 256), (3 << 20, 400_000, 256)])
+def test_bytes_match_brute_force(spark, monkeypatch, chunk, ranges, fanout):
     monkeypatch.setattr(textchunks, "CHUNK", chunk)
+    monkeypatch.setattr(textchunks, "FANOUT", fanout)
+    monkeypatch.setattr(textchunks, "MOST_TASKS", 64)
     monkeypatch.setattr(textchunks, "GROUP", chunk * 3)
     monkeypatch.setattr(suffix_dedup, "RANGE", ranges)
     monkeypatch.setattr(suffix_dedup, "SAMPLED", 3)
@@ -95,9 +97,10 @@ def test_bytes_match_brute_force(spark, monkeypatch, chunk, ranges):
     assert collected(suffix_dedup.remove_repeats(docs, with_text=False), "n_bytes") == by_bytes(rows)
 
 
-@pytest.mark.parametrize("chunk", [500, 4000])
-def test_a_line_of_all_documents(spark, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "fanout"), [(500, 256), (500, 12), (4000, 256)])
+def test_a_line_of_all_documents(spark, monkeypatch, chunk, fanout):
     """A line of 30 to 49 bytes with other text around it in each document: its suffixes are dealt as strings."""
+    monkeypatch.setattr(textchunks, "FANOUT", fanout)
     hot = []
     found = suffix_dedup._hot_anchors
     monkeypatch.setattr(suffix_dedup, "_hot_anchors", lambda *a: hot.append(found(*a)) or hot[-1])

@@ -2,6 +2,7 @@
 
 from roadpulse.operators import near
 from roadpulse.plans import fixtures as fx
+from roadpulse.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,3 +17,10 @@ def test_speeds_by_cells_broadcast_nothing(spark, monkeypatch):
     out = near.posted_speed_by_cells(fx.network(spark, SF), fx.segments(spark, SF))
     joined = [p for p in [*plans, plan(out)] if "Join" in p]
     assert len(joined) > 3 and not any("BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p for p in joined)
+
+
+def test_each_line_is_parsed_once(spark):
+    text = plan(QUERIES["network_geometry"](spark, SF), "optimizedPlan")
+    assert text.count("regexp_extract(") == 1
+    # the parts of a JSON line are read once for each kind, not once more for each check of them
+    assert text.count("from_json(") + text.count("jsontostructs(") <= 2

@@ -1,9 +1,12 @@
 """Plans whose driver memory, seconds and shuffles must not grow faster than the tables."""
 
-from roadpulse.operators import near
+from roadpulse.config import CorridorConfig
+from roadpulse.operators import corridor, near
 from roadpulse.plans import fixtures as fx
 from roadpulse.plans.queries import QUERIES
 
+from .compare import spark_rows
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -24,3 +27,15 @@ def test_each_line_is_parsed_once(spark):
     assert text.count("regexp_extract(") == 1
     # the parts of a JSON line are read once for each kind, not once more for each check of them
     assert text.count("from_json(") + text.count("jsontostructs(") <= 2
+
+
+def test_walk_of_one_start_makes_no_other_walks(spark, monkeypatch):
+    net, moves = fx.network(spark, SF), corridor.link_transitions(fx.observations(spark, SF)).cache()
+    for config in (CorridorConfig(), CorridorConfig(start_link="W3_0_12", max_links=7), CorridorConfig(start_link="Q30_0_120"), CorridorConfig(start_link="none")):
+        want = spark_rows(corridor.walk(net, moves, config))
+        with monkeypatch.context() as m:
+            m.setattr(corridor, "DRIVER_ROWS", 0)
+            m.setattr(corridor, "walks", None)
+            assert spark_rows(corridor.walk(net, moves, config)) == want
+        assert 1 <= len(want) <= config.max_links
+    moves.unpersist()

@@ -39,3 +39,29 @@ def test_walk_of_one_start_makes_no_other_walks(spark, monkeypatch):
             assert spark_rows(corridor.walk(net, moves, config)) == want
         assert 1 <= len(want) <= config.max_links
     moves.unpersist()
+
+
+def test_walk_of_a_large_network_shuffles_none_of_it(spark, monkeypatch):
+    net, moves = fx.network(spark, SF), corridor.link_transitions(fx.observations(spark, SF))
+    plans, stored, begun, start = [], corridor.stored, [], corridor.start_link
+    monkeypatch.setattr(corridor, "DRIVER_ROWS", 0)
+    monkeypatch.setattr(corridor, "stored", lambda df: plans.append(plan(df)) or stored(df))
+    monkeypatch.setattr(corridor, "start_link", lambda *a: begun.append(start(*a)) or begun[0])
+    assert corridor.walk(net, moves).count() == 40
+    # transitions are stored, then the network as it is; choices of links that no walk visits are made by nobody
+    assert len(plans) == 2 and "Join" not in plans[1] and "Exchange" not in plans[1] and "Window" not in plans[1]
+    # one exchange, of the few totals: what is joined with them is not shuffled
+    assert plan(begun[0]).count("Exchange hashpartitioning") == 1
+
+
+def test_choices_of_one_link_are_those_of_all(spark, monkeypatch):
+    """A network with a link named twice, nodes and headings that are missing, and ways straight back."""
+    rows = [("A_1_a", 1, 2, 10.0, 0), ("B_1_b", 2, 1, 190.0, 1), ("C_1_c", 2, 3, None, 2), ("C_1_c", 2, 5, 40.0, 3), ("D_2_d", 3, 4, 80.0, 4), ("E_1_e", 5, 6, 40.0, 5), ("F_1_f", 6, None, 0.0, 6), ("G_1_g", None, 2, 0.0, 7)]
+    net = spark.createDataFrame(rows, "link_key string, from_node_id long, to_node_id long, heading double, net_id long").repartition(3)
+    for moves in ([("A_1_a", "B_1_b", 5)], [("A_1_a", "C_1_c", 5), ("C_1_c", "D_2_d", 2)], [("G_1_g", "C_1_c", 9), ("x", "y", 99)], []):
+        t = spark.createDataFrame(moves, "from_link string, to_link string, support long")
+        for config in (CorridorConfig(), CorridorConfig(start_link="B_1_b"), CorridorConfig(start_link="G_1_g"), CorridorConfig(start_link="F_1_f")):
+            want = spark_rows(corridor.walk(net, t, config))
+            with monkeypatch.context() as m:
+                m.setattr(corridor, "DRIVER_ROWS", 0)
+                assert spark_rows(corridor.walk(net, t, config)) == want

@@ -1,5 +1,9 @@
 """Plans whose driver memory, seconds and shuffles must not grow faster than the tables."""
 
+import time
+
+import pytest
+
 from roadpulse.config import CorridorConfig
 from roadpulse.operators import corridor, near
 from roadpulse.plans import fixtures as fx
@@ -65,3 +69,31 @@ def test_choices_of_one_link_are_those_of_all(spark, monkeypatch):
             with monkeypatch.context() as m:
                 m.setattr(corridor, "DRIVER_ROWS", 0)
                 assert spark_rows(corridor.walk(net, t, config)) == want
+
+
+def shuffled(spark) -> int:
+    """Bytes that this session has shuffled so far."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    time.sleep(1)  # totals are renewed ten times a second at most
+    executors = sc.statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+@pytest.mark.parametrize("name", ["corridor_diagnostic"])
+def test_links_that_nobody_visits_are_not_shuffled(spark, monkeypatch, name):
+    """Whole queries, from the walk to the result: the same rows and hardly more bytes with ten thousand links more."""
+    network, rows, moved = fx.network, {}, {}
+    monkeypatch.setattr(corridor, "DRIVER_ROWS", 0)
+    monkeypatch.setattr(corridor.build_corridor, "__defaults__", (CorridorConfig(max_links=5),))  # fewer steps, for time alone
+    for more in (1, 10_000):
+        far = spark.range(more).selectExpr(
+            "1000000 + id AS net_id", "concat('Z', id, '_9_', id) AS link_key", "1000000 + 2 * id AS from_node_id", "1000002 + 2 * id AS to_node_id", "CAST(id % 360 AS DOUBLE) AS heading",
+            "400D AS length", "concat(id, '.0') AS Matched_GID", "concat('LINESTRING (-97.1 30.1, -97.2 30.', id, ')') AS geometry", "concat('Road ', id) AS name",
+        )
+        monkeypatch.setattr(fx, "network", lambda *a, far=far: network(*a).unionByName(far))
+        before = shuffled(spark)
+        rows[more] = spark_rows(QUERIES[name](spark, SF))
+        moved[more] = shuffled(spark) - before
+    assert rows[1] == rows[10_000] and len(rows[1]) >= 5
+    assert 0 < moved[10_000] < 1.1 * moved[1]

@@ -80,7 +80,7 @@ def shuffled(spark) -> int:
     return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
 
 
-@pytest.mark.parametrize("name", ["corridor_diagnostic", "reduced_corridor_moe_5min"])
+@pytest.mark.parametrize("name", ["corridor_diagnostic", "reduced_corridor_moe_5min", "scan_corridor_moe"])
 def test_links_that_nobody_visits_are_not_shuffled(spark, monkeypatch, name):
     """Whole queries, from the walk to the result: the same rows and hardly more bytes with ten thousand links more."""
     network, rows, moved = fx.network, {}, {}
